@@ -72,7 +72,7 @@ class LineRuns:
             self._push(level + 1, merged)
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = BATCHES, fanout: int = FANOUT, keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_lines, n_dropped, kept): every line whose key an earlier document holds is dropped.
 
     The documents are fed to the runs in ascending ranges of ids, so that a key's owner is the smallest id
@@ -82,10 +82,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Null and empty texts are one empty line. Rows with equal ids are one holder, so they keep their lines;
     null ids are one holder that comes after all others. Ties cannot arise, as ids order the holders.
-    An empty table gives an empty result. Other columns of docs are not read.
+    An empty table gives an empty result. `keep` columns follow the others; no more are read.
     """
     spark = docs.sparkSession
-    d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    kept_columns = F.struct(*[docs[c] for c in keep]) if keep else F.lit(None)
+    d = docs.select(kept_columns.alias("rest"), F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     cuts = d.agg(F.percentile_approx("doc", [i / batches for i in range(1, batches)], 1000)).first()[0] or []
     runs = LineRuns(spark, fanout=fanout)
     bounds = [None, *sorted(set(cuts)), None]
@@ -101,12 +102,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     drops = again.groupBy("doc", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("drops")).select(F.col("doc").alias("d_doc"), F.col("text_hash").alias("d_hash"), "drops")
     d = d.withColumn("text_hash", F.xxhash64("text"))
     d = d.join(drops, (F.col("doc") == F.col("d_doc")) & (F.col("text_hash") == F.col("d_hash")), "left")
-    d = d.select("doc_id", F.split("text", "\n", -1).alias("lines"), F.coalesce("drops", F.array().cast("array<int>")).alias("drops"))
+    d = d.select("rest", "doc_id", F.split("text", "\n", -1).alias("lines"), F.coalesce("drops", F.array().cast("array<int>")).alias("drops"))
     # the stretches between dropped lines, as slices: linear in lines plus drops
     ends = F.concat(F.array(F.lit(-1)), F.col("drops"), F.array(F.size("lines")))
     stretch = F.transform(F.sequence(F.lit(1), F.size("drops") + 1), lambda j: F.slice(F.col("lines"), F.element_at("ends", j) + 2, F.element_at("ends", j + 1) - F.element_at("ends", j) - 1))
     d = d.withColumn("ends", ends)
-    return d.select("doc_id", F.size("lines").cast("long").alias("n_lines"), F.size("drops").cast("long").alias("n_dropped"), F.array_join(F.flatten(stretch), "\n").alias("kept"))
+    return d.select("doc_id", F.size("lines").cast("long").alias("n_lines"), F.size("drops").cast("long").alias("n_dropped"), F.array_join(F.flatten(stretch), "\n").alias("kept"), *[F.col("rest")[c].alias(c) for c in keep])
 
 
 ORACLE_SQL = r"""

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from lexigraph.llm import bpe, lines, media, mixing, pii, secrets, simhash
+from lexigraph.llm import bpe, lines, media, merkle, mixing, pii, quality, secrets, simhash, substrings
 
 QUERIES = {
     "op1_media_columns": media.op1_media_columns,
+    "op2_quality": quality.op2_quality,
     "op3_secret_scan": secrets.op3_secret_scan,
+    "op4_merkle_fingerprint": merkle.op4_merkle_fingerprint,
     "op5_line_dedup": lines.op5_line_dedup,
+    "op6_substring_dedup": substrings.op6_substring_dedup,
     "op7_simhash_near_dedup": simhash.op7_simhash_near_dedup,
     "op8_bpe": bpe.op8_bpe,
     "op9_personal_data": pii.op9_personal_data,

@@ -99,39 +99,33 @@ def _chain_masks(bits: int) -> list[list[tuple[np.uint64, int]]]:
         for k in range(1, m + 1):
             low, width = ring[(i + k - 1) % m]
             mask |= ((1 << width) - 1) << low
-            if k >= 3 or k == m:
+            if k >= min(3, m):
                 row.append((np.uint64(mask), k * bits // m))
         out.append(row)
     return out
 
 
 def _forest(fps: np.ndarray, exact: np.ndarray, tests: list[tuple[np.uint64, int]]) -> list[tuple[int, int]]:
-    """Edges that connect what is linked among the fingerprints of one key: a breadth-first forest, so fewer edges than fingerprints, and no pair is lost as a connection."""
-    out = []
-    if len(fps) * int(exact.sum()) <= 4096:
-        near = fps[exact]
-        differ = fps[:, None] ^ near[None, :]
-        ok = differ != 0
-        for mask, most in tests:
-            ok &= np.bitwise_count(differ & mask) <= most
-        a, b = np.nonzero(ok)
-        return list(zip(fps[a].tolist(), near[b].tolist()))
-    left = fps.copy()
-    while len(left):
-        queue, left = [left[0]], left[1:]
-        while queue and len(left):
-            x = queue.pop()
-            reached = np.zeros(len(left), bool)
-            for i in range(0, len(left), BLOCK):
-                differ = left[i : i + BLOCK] ^ x
-                ok = np.ones(len(differ), bool)
-                for mask, most in tests:
-                    ok &= np.bitwise_count(differ & mask) <= most
-                reached[i : i + BLOCK] = ok
-            for y in left[reached].tolist():
-                out.append((int(x), y))
-                queue.append(np.uint64(y))
-            left = left[~reached]
+    """Edges that connect what is linked among the fingerprints of one key: each edge joins two groups, so they are fewer than the fingerprints, and no link is lost as a connection."""
+    out: list[tuple[int, int]] = []
+    own = np.flatnonzero(exact)
+    group = np.arange(len(fps))
+    step = max(1, BLOCK // len(fps))
+    for at in range(0, len(own), step):
+        rows = own[at : at + step]
+        differ = fps[rows][:, None] ^ fps[None, :]
+        i, j = np.nonzero((np.bitwise_count(differ & tests[0][0]) <= tests[0][1]) & (differ != 0))
+        for mask, most in tests[1:]:
+            near = np.bitwise_count(differ[i, j] & mask) <= most
+            i, j = i[near], j[near]
+        for r in np.unique(i).tolist():
+            me = rows[r]
+            linked = j[i == r] if len(i) > 1 else j
+            other = linked[group[linked] != group[me]]
+            if len(other):
+                labels, first = np.unique(group[other], return_index=True)
+                out += [(int(fps[me]), int(fps[k])) for k in other[first]]
+                group[np.isin(group, labels)] = group[me]
     return out
 
 
@@ -179,6 +173,12 @@ def fingerprint_links(fps: DataFrame, bits: int = BITS) -> DataFrame:
     return links.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
 
 
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, bits: int = BITS) -> DataFrame:
+    """The rows of docs whose id is that of their component: of every group of near-duplicates the smallest id stays. Rows with equal ids stay or go together; null ids go if they have a partner with an id."""
+    chosen = simhash_components(docs, id_col, text_col, words, bits).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(chosen, F.col(id_col).eqNullSafe(F.col("kept_id")), "left_semi")
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, bits: int = BITS) -> DataFrame:
     """(doc_id, fp, component_id): the smallest doc_id that is reachable over fingerprints at `bits` or fewer differing bits.
 
