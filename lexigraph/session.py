@@ -19,6 +19,7 @@ def get_spark(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "l
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
