@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lexigraph.session import checkpointed
 
@@ -32,3 +32,82 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     else:
         raise RuntimeError(f"no fixpoint after {max_rounds} rounds")
     return e.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(e.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct())
+
+
+def bfs_levels(edges: DataFrame, sources: DataFrame, max_depth: int, step: Column | None = None, state: list[str] | None = None) -> DataFrame:
+    """(node, parent, depth, state...): breadth-first from sources (node, state...) over edges (src, dst, ...).
+
+    `step` is a condition over the edge's columns and the state of its start (columns state of the reached
+    node come from the edge as n_<name>). Of several ways to a node in one round the smallest parent wins.
+    One join and one anti-join a round, cut by checkpoint; ends when nothing new is reached.
+    """
+    state = state or []
+    seen = checkpointed(sources.select("node", F.lit(None).cast(dict(sources.dtypes)["node"]).alias("parent"), F.lit(0).alias("depth"), *state))
+    frontier = seen
+    for depth in range(1, max_depth + 1):
+        f = frontier.select(F.col("node").alias("src"), *state)
+        met = edges.join(f, "src")
+        if step is not None:
+            met = met.where(step)
+        met = met.join(seen.select(F.col("node").alias("dst")), "dst", "left_anti")
+        new = met.groupBy("dst").agg(F.min(F.struct("src", *[F.col(f"n_{s}").alias(s) for s in state])).alias("x"))
+        frontier = checkpointed(new.select(F.col("dst").alias("node"), F.col("x.src").alias("parent"), F.lit(depth).alias("depth"), *[F.col(f"x.{s}").alias(s) for s in state]))
+        if frontier.isEmpty():
+            break
+        seen = seen.union(frontier)
+    return seen
+
+
+def shortest_paths(edges: DataFrame, sources: DataFrame, max_rounds: int = 60) -> DataFrame:
+    """(origin, node, km, path): least sum of weights from every source over edges (src, dst, km), with the nodes on the way.
+
+    Relaxation in rounds: each round extends every best path by one edge and keeps the best a pair of origin
+    and node (ties: the smaller path). Ends when no distance changes.
+    """
+    best = checkpointed(sources.select(F.col("node").alias("origin"), "node", F.lit(0.0).alias("km"), F.array(F.col("node")).alias("path")))
+    for _ in range(max_rounds):
+        longer = best.select("origin", F.col("node").alias("src"), F.col("km").alias("so_far"), "path").join(edges, "src")
+        longer = longer.select("origin", F.col("dst").alias("node"), (F.col("so_far") + F.col("km")).alias("km"), F.concat("path", F.array("dst")).alias("path"))
+        new = best.union(longer).groupBy("origin", "node").agg(F.min(F.struct("km", "path")).alias("x"))
+        new = checkpointed(new.select("origin", "node", "x.km", "x.path"))
+        changed = new.join(best.select("origin", "node", F.col("km").alias("old")), ["origin", "node"], "left").where("old is null or old > km").isEmpty()
+        best = new
+        if changed:
+            return best
+    raise RuntimeError(f"no fixpoint after {max_rounds} rounds")
+
+
+def roots(children: DataFrame, max_hops: int = 20) -> DataFrame:
+    """(node, root, hops): up the tree of (node, parent) by pointer doubling; null parents are roots. Cycles end at max_hops doublings."""
+    up = checkpointed(children.select("node", F.coalesce("parent", "node").alias("root"), F.when(F.col("parent").isNull(), 0).otherwise(1).alias("hops")))
+    for _ in range(max(1, max_hops.bit_length())):
+        above = up.select(F.col("node").alias("root"), F.col("root").alias("next"), F.col("hops").alias("more"))
+        up = checkpointed(up.join(above, "root", "left").select("node", F.coalesce("next", "root").alias("root"), (F.col("hops") + F.coalesce("more", F.lit(0))).alias("hops")))
+    return up
+
+
+def barycentre_layout(nodes: DataFrame, edges: DataFrame, sweeps: int = 24) -> DataFrame:
+    """(node, layer, pos): order in layers by the mean position of neighbours, all layers at once in each sweep.
+
+    The simultaneous (Jacobi) form of the sweep, so that a sweep is one join and one window a layer; a
+    sequential sweep may settle at other positions.
+    """
+    from pyspark.sql import Window
+
+    pos = checkpointed(nodes.select("node", "layer", F.row_number().over(Window.partitionBy("layer").orderBy("node")).cast("double").alias("pos")))
+    both = checkpointed(edges.select("src", "dst").union(edges.select("dst", "src")).distinct())
+    for _ in range(sweeps):
+        mean = both.join(pos.select(F.col("node").alias("dst"), "pos"), "dst").groupBy(F.col("src").alias("node")).agg(F.avg("pos").alias("mean"))
+        pulled = pos.join(mean, "node", "left").select("node", "layer", F.coalesce("mean", "pos").alias("want"))
+        pos = checkpointed(pulled.select("node", "layer", F.row_number().over(Window.partitionBy("layer").orderBy("want", "node")).cast("double").alias("pos")))
+    return pos
+
+
+def impute_years(nodes: DataFrame, edges: DataFrame, step: int = 30, sweeps: int = 20) -> DataFrame:
+    """(node, year, guessed): unknown years from neighbours, a teacher `step` before and a student `step` after; all at once in each sweep."""
+    y = checkpointed(nodes.select("node", F.col("year").cast("double").alias("year"), F.col("year").isNull().alias("guessed")))
+    links = checkpointed(edges.select(F.col("src").alias("node"), F.col("dst").alias("other"), F.lit(-step).alias("shift")).union(edges.select("dst", "src", F.lit(step))))
+    for _ in range(sweeps):
+        means = links.join(y.select(F.col("node").alias("other"), "year").where("year is not null"), "other").groupBy("node").agg(F.avg(F.col("year") + F.col("shift")).alias("mean"))
+        y = checkpointed(y.join(means, "node", "left").select("node", F.when(F.col("guessed"), F.coalesce("mean", "year")).otherwise(F.col("year")).alias("year"), "guessed"))
+    return y
