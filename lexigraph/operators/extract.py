@@ -64,7 +64,8 @@ def window_hits(triggers: DataFrame, places: DataFrame, reach: int) -> DataFrame
     return met.groupBy("id", "at", "kind").agg(F.min_by("place", "pos").alias("place"))
 
 
-NAME = "struct<chain:array<string>,kunya:string,nisbas:array<string>,laqabs:array<string>>"
+_WORDS = T.ArrayType(T.StringType())
+NAME = T.StructType([T.StructField("chain", _WORDS), T.StructField("kunya", T.StringType()), T.StructField("nisbas", _WORDS), T.StructField("laqabs", _WORDS)])
 
 
 @F.pandas_udf(NAME)
@@ -116,7 +117,7 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y, autojunk=False).ratio() for x, y in zip(a, b)], dtype="float64")
 
 
-@F.pandas_udf("array<array<double>>")
+@F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
 def simplify(lines: pd.Series, tolerance: pd.Series) -> pd.Series:
     """Polylines with the points that lie within the tolerance of the line through their neighbours left out (Douglas-Peucker), ends kept."""
 
