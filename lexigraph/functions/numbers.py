@@ -106,18 +106,30 @@ def pick_number(numbers: Column, last: Column, most: int = 6) -> Column:
 
 
 def spelled_number(words: Column, ones: dict[str, int] = ONES, tens: dict[str, int] = TENS, hundred: tuple[str, ...] = ("hundred",), thousand: tuple[str, ...] = ("thousand",), fillers: tuple[str, ...] = ("and",)) -> Column:
-    """Value of leading number words: a fold over the array that stops at the first word of another kind. Null without any."""
-    table = F.create_map(*[F.lit(x) for k, v in {**ones, **tens}.items() for x in (k, v)])
-    start = F.struct(F.lit(0).cast("bigint").alias("total"), F.lit(0).cast("bigint").alias("part"), F.lit(False).alias("used"), F.lit(False).alias("over"))
+    """Value of leading number words, in either order of tens and ones: a fold over the array that stops at the first word of another kind.
+
+    Hundreds and thousands multiply the ones that stand right before them. Null without any number word.
+    """
+
+    def table(words_: dict[str, int]) -> Column:
+        return F.create_map(*[F.lit(x) for pair in words_.items() for x in pair])
+
+    one_of, ten_of = table(ones), table(tens)
+
+    def state(total, held, used, over):
+        return F.struct(total.cast("bigint").alias("total"), held.cast("bigint").alias("ones"), used.alias("used"), over.alias("over"))
 
     def step(a, w):
-        value = F.try_element_at(table, w).cast("bigint")
-        is_h, is_t, skip = w.isin(*hundred), w.isin(*thousand), w.isin(*fillers)
-        known = value.isNotNull() | is_h | is_t
-        part = F.when(is_h, F.greatest(a["part"], F.lit(1)) * 100).when(is_t, F.lit(0)).otherwise(a["part"] + F.coalesce(value, F.lit(0)))
-        total = F.when(is_t, a["total"] + F.greatest(a["part"], F.lit(1)) * 1000).otherwise(a["total"])
-        go = F.struct(total.cast("bigint").alias("total"), part.cast("bigint").alias("part"), F.lit(True).alias("used"), F.lit(False).alias("over"))
-        stop = F.struct(a["total"].alias("total"), a["part"].alias("part"), a["used"].alias("used"), F.lit(True).alias("over"))
-        return F.when(a["over"] | (skip & a["used"]), a).when(known, go).otherwise(stop)
-
-    return F.aggregate(words, start, step, lambda a: F.when(a["used"], a["total"] + a["part"]))
+        one, ten = F.try_element_at(one_of, w), F.try_element_at(ten_of, w)
+        yes, no, none = F.lit(True), F.lit(False), F.lit(0)
+        times = F.greatest(a["ones"], F.lit(1))
+        return (
+            F.when(a["over"] | ((w.isin(*fillers) if fillers else F.lit(False)) & a["used"]), a)
+            .when(one.isNotNull(), state(a["total"], one, yes, no))
+            .when(ten.isNotNull(), state(a["total"] + ten + a["ones"], none, yes, no))
+            .when(w.isin(*hundred), state(a["total"] + times * 100, none, yes, no))
+            .when(w.isin(*thousand), state(a["total"] + times * 1000, none, yes, no))
+            .otherwise(state(a["total"], a["ones"], a["used"], yes))
+        )
+
+    return F.aggregate(words, state(F.lit(0), F.lit(0), F.lit(False), F.lit(False)), step, lambda a: F.when(a["used"], a["total"] + a["ones"]))
