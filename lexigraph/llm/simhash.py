@@ -20,6 +20,8 @@ from lexigraph.operators.graph import connected_components
 from lexigraph.session import checkpointed
 
 WORDS, BITS, SEED = 4, 4, 42
+#: Documents of a group that are compared in one part at first.
+PART = 64
 #: Comparisons that a task makes at once.
 BLOCK = 1 << 20
 _ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -173,10 +175,64 @@ def fingerprint_links(fps: DataFrame, bits: int = BITS) -> DataFrame:
     return links.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
 
 
-def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, bits: int = BITS) -> DataFrame:
-    """The rows of docs whose id is that of their component: of every group of near-duplicates the smallest id stays. Rows with equal ids stay or go together; null ids go if they have a partner with an id."""
-    chosen = simhash_components(docs, id_col, text_col, words, bits).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(chosen, F.col(id_col).eqNullSafe(F.col("kept_id")), "left_semi")
+def _alike(a: np.ndarray, b: np.ndarray, least: float) -> bool:
+    """Whether two sorted sets of shingles have at least that Jaccard similarity; two empty ones are equal."""
+    small, large = sorted((len(a), len(b)))
+    if small < least * large:
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= least * (small + large - both)
+
+
+def _copies(members: DataFrame, words: int, similarity: float) -> DataFrame:
+    """members (component, part, doc_id, text): ids of those that are similar to an earlier id of their part which is itself kept.
+
+    Parts are dealt whole and read in the order of ids; a task holds the shingles of what it keeps of one part.
+    """
+    members = members.repartition("component", "part").sortWithinPartitions("component", "part", "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, kept = None, []
+        for batch in batches:
+            gone = []
+            for component, part, doc, text in zip(*(batch[c].to_pylist() for c in ("component", "part", "doc_id", "text"))):
+                if (component, part) != here:
+                    here, kept = (component, part), []
+                shingles = np.unique(shingle_hashes(text or "", words))
+                match = next((i for i, other in kept if _alike(shingles, other, similarity)), None)
+                if match is None:
+                    kept.append((doc, shingles))
+                elif match != doc:
+                    gone.append(doc)
+            yield pa.RecordBatch.from_arrays([pa.array(gone, pa.int64())], names=["gone"])
+
+    return members.mapInArrow(run, "gone long")
+
+
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, bits: int = BITS, similarity: float = 0.8) -> DataFrame:
+    """The rows of docs without near-duplicates of what stays.
+
+    Fingerprints at `bits` or fewer differing bits make groups of candidates. Inside a group, in the order of
+    ids, a document goes if the Jaccard similarity of its shingles to one that stays is at least `similarity`:
+    first in parts of about PART documents, then among what the parts of a group have left, so that a large
+    group is never in one task before its copies are gone. Rows with equal ids stay or go together; rows
+    without id stay; empty texts are copies of each other. An empty table gives an empty result.
+    """
+    groups = simhash_components(docs, id_col, text_col, words, bits).where("doc_id is not null").groupBy("component_id", "doc_id").agg(F.max("fp").alias("fp"))
+    groups = checkpointed(groups.select(F.col("component_id").alias("component"), F.col("doc_id").cast("long").alias("member")))
+    sizes = groups.groupBy("component").agg(F.count("*").alias("n")).where("n > 1")
+    members = groups.join(sizes, "component").withColumn("part", F.pmod(F.xxhash64("member"), F.ceil(F.col("n") / PART))).drop("n")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+
+    def round_(left: DataFrame) -> DataFrame:
+        return checkpointed(_copies(left.join(texts, left["member"] == texts["doc_id"]).select("component", "part", "doc_id", "text"), words, similarity).distinct())
+
+    gone = round_(members)
+    left = members.join(gone, members["member"] == gone["gone"], "left_anti").withColumn("part", F.lit(0).cast("long"))
+    # a group of one part is done
+    several = sizes.where(F.col("n") > PART).select("component")
+    gone = gone.union(round_(left.join(several, "component", "left_semi")))
+    return docs.join(gone, F.col(id_col) == F.col("gone"), "left_anti")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, bits: int = BITS) -> DataFrame:

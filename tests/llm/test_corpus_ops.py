@@ -146,8 +146,34 @@ def test_simhash_components(spark):
     assert len(got) == len(rows) and all(r.component_id == want[r.doc_id] for r in got if r.doc_id is not None)
     assert [r.component_id for r in got if r.doc_id is None] == [3]
     assert simhash.simhash_components(table(spark, [])).count() == 0
-    kept = sorted(r.doc_id for r in simhash.one_of_each_group(table(spark, rows)).collect())
-    assert kept == sorted([3, 3, 1, 9] if want[5] == 3 else [3, 3, 1, 9, 5])
+
+
+def test_one_of_each_group(spark, monkeypatch):
+    random.seed(11)
+    vocabulary = ["w" + str(i) for i in range(500)]
+    rows = []
+    for g in range(6):
+        base = [random.choice(vocabulary) for _ in range(300)]
+        for _ in range(25):
+            w = list(base)
+            for _ in range(random.choice([0, 1, 1, 2, 30])):
+                w[random.randrange(300)] = "new" + str(random.randrange(10**6))
+            rows.append(" ".join(w))
+    random.shuffle(rows)
+    rows = [*enumerate(rows), (900, None), (901, ""), (902, " \n"), (None, rows[0]), (3, rows[3])]
+    shingles = {i: {tuple((t or "").split()[k : k + 5]) for k in range(max(0, len((t or "").split()) - 4))} for i, t in rows if i is not None}
+    like = lambda a, b: 1.0 if not a and not b else len(a & b) / max(1, len(a | b))
+    for part in (64, 5):
+        monkeypatch.setattr(simhash, "PART", part)
+        kept = [r.doc_id for r in simhash.one_of_each_group(table(spark, rows), words=5, bits=10).collect()]
+        assert kept.count(3) in (0, 2) and kept.count(None) == 1
+        ids = sorted({k for k in kept if k is not None})
+        pairs = [(a, b) for a in ids for b in ids if a < b and like(shingles[a], shingles[b]) >= 0.8]
+        assert len(pairs) <= 3  # what fingerprints miss
+        assert 900 in ids and 901 not in ids and 902 not in ids
+        if part == 64:
+            assert all(i in ids or any(like(shingles[i], shingles[k]) >= 0.8 for k in ids if k < i) for i in shingles)
+    assert simhash.one_of_each_group(table(spark, [])).count() == 0
 
 
 def test_mix(spark):
