@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lexigraph.llm import bpe, lines, mixing, quality, simhash
 from lexigraph.session import written
 
-#: Near-duplicates of the pipeline: shingles of five words, fingerprints at seven or fewer differing bits.
-NEAR_WORDS, NEAR_BITS = 5, 7
+#: Near-duplicates of the pipeline: shingles of five words, fingerprints at ten or fewer differing bits, Jaccard similarity of 0.8 or more.
+NEAR_WORDS, NEAR_BITS, NEAR_SIMILARITY = 5, 10, 0.8
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,8 +26,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id."""
-    return simhash.one_of_each_group(docs, words=NEAR_WORDS, bits=NEAR_BITS)
+    """Documents without near-duplicates of a document with a smaller id that stays."""
+    return simhash.one_of_each_group(docs, words=NEAR_WORDS, bits=NEAR_BITS, similarity=NEAR_SIMILARITY)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
