@@ -25,8 +25,9 @@ LENGTH, GRAM = 100, 32
 PIECE = 1 << 19
 _LAST = 2**63 - 1
 _PLACE = 28  # bits of a hash that give way to its place
-#: A place is one integer that sorts like the corpus: row with the same id, byte (40 bits), bytes of the phrase (8 bits), known (1 bit).
-_NTH, _BYTE_AT = 49, 9
+#: A place is one integer that sorts like the corpus: row with the same id (14 bits), byte (31), bytes of the phrase (8),
+#: bytes before its trigger (7), and three flags: strings that hold the bytes right of the trigger, those left of it, repeated.
+_NTH, _BYTE_AT, _SIZE, _BEFORE, _RIGHT, _LEFT, _KNOWN = 49, 18, 10, 3, 4, 2, 1
 
 
 def _constants() -> tuple[np.ndarray, list[np.uint64]]:
@@ -68,13 +69,17 @@ def window_minima(h: np.ndarray, size: int) -> np.ndarray:
 
 
 def parse(buffers: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(text index, first byte, bytes, trigger, phrase hash) of the phrases of several texts."""
+    """(text index, first byte, bytes, bytes before the trigger, trigger, phrase hash) of the phrases of several texts.
+
+    The lowest 16 bits of a phrase hash are those of its sides: half of what a string holds besides the
+    trigger, to the left and to the right of it.
+    """
     data = np.frombuffer(b"".join(buffers), np.uint8)
     sizes = np.fromiter(map(len, buffers), np.int64, len(buffers))
     offsets = np.cumsum(sizes) - sizes
     none = np.empty(0, np.int64)
     if len(data) < length:
-        return none, none, none, none, none
+        return none, none, none, none, none, none
     hashes = gram_hashes(data, gram)
     # the place of a hash in its lowest bits: of equal ones the leftmost is taken, so that no phrase holds a string twice
     low = np.uint64((1 << _PLACE) - 1)
@@ -84,7 +89,7 @@ def parse(buffers: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple
         whole[max(a, a + n - length + 1) : a + n] = False
     places = np.flatnonzero(whole)
     if not len(places):
-        return none, none, none, none, none
+        return none, none, none, none, none, none
     owner = places + (((lowest[places] & low).astype(np.int64) - places) & int(low))
     first = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (np.diff(places) != 1)]))
     start = places[first]
@@ -92,9 +97,16 @@ def parse(buffers: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple
     raw = data.tobytes()
     digest = xxhash.xxh3_64_digest
     phrase = np.frombuffer(b"".join([digest(raw[a:b]) for a, b in zip(start.tolist(), stop.tolist())]), ">i8").astype(np.int64)
+    side = (length - gram) // 2
+    at = owner[first]
+    if side:
+        sides = gram_hashes(data, side)
+        left = np.where(at - side >= start, sides[np.maximum(at - side, 0)] >> np.uint64(56), np.uint64(0)).astype(np.int64)
+        right = np.where(at + gram + side <= stop, sides[np.minimum(at + gram, len(sides) - 1)] >> np.uint64(56), np.uint64(0)).astype(np.int64)
+        phrase = phrase & ~np.int64(0xFFFF) | left << 8 | right
     text = np.searchsorted(offsets, start, "right") - 1
     # of texts that are empty several share an offset; the last of them holds the place
-    return text, start - offsets[text], stop - start, hashes[owner[first]].view(np.int64), phrase
+    return text, start - offsets[text], stop - start, at - start, hashes[at].view(np.int64), phrase
 
 
 def _repeats(*keys: np.ndarray) -> np.ndarray:
@@ -124,7 +136,7 @@ def _map(df: DataFrame, func, schema: str, names: list[str]) -> DataFrame:
 
 def _place(at: int) -> tuple[int, int]:
     """First byte and number of bytes of a place."""
-    return at >> _BYTE_AT & (1 << 40) - 1, at >> 1 & 255
+    return at >> _BYTE_AT & (1 << 31) - 1, at >> _SIZE & 255
 
 
 def _bytes(piece: pa.RecordBatch) -> list[bytes]:
@@ -140,19 +152,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     forms pairs.
 
     Null and empty texts have no bytes; null ids come last; rows with equal ids follow each other in the
-    order of their texts' hashes, so that of identical rows the first keeps its text. An empty table gives an
+    order of their texts' hashes, so that of identical rows the first keeps its text (up to 16,383 rows an id). An empty table gives an
     empty result. Other columns are not read.
     """
     gram = min(GRAM, length)
+    side = (length - gram) // 2
     if not 1 <= 2 * length - gram <= 255:
         raise ValueError(f"length {length}: phrases of up to {2 * length - gram} bytes do not fit into a place")
     d = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     d = d.withColumn("nth", (F.row_number().over(Window.partitionBy("doc").orderBy(F.xxhash64("text"))) - 1).cast("long"))
 
     def phrases(piece):
-        text, first, size, trigger, phrase = parse(_bytes(piece), length, gram)
+        text, first, size, before, trigger, phrase = parse(_bytes(piece), length, gram)
         doc, nth = piece["doc"].to_numpy()[text], piece["nth"].to_numpy()[text]
-        at = nth << _NTH | first << _BYTE_AT | size << 1
+        at = nth << _NTH | first << _BYTE_AT | size << _SIZE | before << _BEFORE
         order = np.lexsort((at, doc))
         doc, at, trigger, phrase = (x[order] for x in (doc, at, trigger, phrase))
         known = _repeats(phrase, trigger)
@@ -164,39 +177,53 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     group = Window.partitionBy("trigger")
     parsed = parsed.withColumn("repeated", is_known | F.coalesce(F.lag("phrase").over(in_order) == F.col("phrase"), F.lit(False)))
     parsed = parsed.withColumn("several", F.min("phrase").over(group) != F.max("phrase").over(group)).where("repeated or several")
-    state = parsed.groupBy("doc").agg(F.collect_list(F.struct("at", "repeated", "trigger")).alias("marks"))
-
-    open_marks = state.select(F.col("doc").alias("m_doc"), F.filter("marks", lambda x: ~x["repeated"]).alias("open")).where(F.size("open") > 0)
+    # strings of a phrase that hold a whole side are met only by phrases with an equal side
+    byte = lambda shift: F.shiftright("phrase", shift).bitwiseAND(F.lit(255).cast("long"))
+    parsed = parsed.withColumn("l", byte(8)).withColumn("r", byte(0))
+    met = lambda c: F.count(F.when(~F.col("repeated"), 1)).over(Window.partitionBy("trigger", c)) > 1
+    flags = F.when(F.col("repeated"), _KNOWN).otherwise(F.when(met("l"), _LEFT).otherwise(0) + F.when(met("r"), _RIGHT).otherwise(0))
+    parsed = parsed.withColumn("flags", flags).where("flags > 0")
+    mark = F.col("at").bitwiseAND(F.lit(~7).cast("long")).bitwiseOR(F.col("flags").cast("long"))
+    state = parsed.select("doc", mark.alias("mark")).groupBy("doc").agg(F.collect_list("mark").alias("marks"))
+    known = lambda x: x.bitwiseAND(F.lit(_KNOWN).cast("long")) == _KNOWN
+
+    open_marks = state.select(F.col("doc").alias("m_doc"), F.filter("marks", lambda x: ~known(x)).alias("open")).where(F.size("open") > 0)
     to_check = d.join(open_marks, d["doc"] == open_marks["m_doc"]).select("doc", "nth", "text", "open")
 
     def suffixes(piece):
         docs_, nths, texts = piece["doc"].to_pylist(), piece["nth"].to_pylist(), _bytes(piece)
         out = [[] for _ in range(4)]
         for doc, nth, text, marks in zip(docs_, nths, texts, piece["open"].to_pylist()):
-            mine = sorted((*_place(m["at"]), m["trigger"]) for m in marks if m["at"] >> _NTH == nth)
+            mine = sorted(m for m in marks if m >> _NTH == nth)
             if not mine:
                 continue
             data = np.frombuffer(text, np.uint8)
-            for first, size, trigger in mine:
-                h = gram_hashes(data[first : first + size], length).view(np.int64)
-                out[0].append(h)
-                out[1].append(np.full(len(h), trigger, np.int64))
-                out[2].append(np.full(len(h), doc, np.int64))
-                out[3].append(nth << _NTH | (first + np.arange(len(h), dtype=np.int64)) << _BYTE_AT | length << 1)
+            for m in mine:
+                first, size = _place(m)
+                part = data[first : first + size]
+                h = gram_hashes(part, length)
+                before = (m >> _BEFORE & 127) - np.arange(len(h))
+                held = ((before < side) | bool(m & _LEFT)) & ((length - gram - before < side) | bool(m & _RIGHT))
+                chosen = np.flatnonzero(held)
+                out[0].append(h[chosen].view(np.int64))
+                out[1].append((_mixed(gram_hashes(part[::-1], length)[::-1][chosen]) >> np.uint64(33)).astype(np.int32))
+                out[2].append(np.full(len(chosen), doc, np.int64))
+                out[3].append(nth << _NTH | (first + chosen) << _BYTE_AT | length << _SIZE)
         if not out[0]:
             e = np.empty(0, np.int64)
-            return [e, e, e, e]
-        suffix, trigger, doc, at = map(np.concatenate, out)
+            return [e, e.astype(np.int32), e, e]
+        suffix, check, doc, at = map(np.concatenate, out)
         order = np.lexsort((at, doc))
-        suffix, trigger, doc, at = (x[order] for x in (suffix, trigger, doc, at))
-        known = _repeats(suffix, trigger)
-        return [*_dealt(known, doc, suffix, trigger), doc, at | known]
+        suffix, check, doc, at = (x[order] for x in (suffix, check, doc, at))
+        again = _repeats(suffix, check)
+        suffix, check = _dealt(again, doc, suffix, check)
+        return [suffix, check.astype(np.int32), doc, at | again]
 
-    checked = _map(to_check, suffixes, "suffix long, trigger long, doc long, at long", ["suffix", "trigger", "doc", "at"])
-    by_suffix = Window.partitionBy("suffix", "trigger").orderBy("doc", "at")
+    checked = _map(to_check, suffixes, "suffix long, check int, doc long, at long", ["suffix", "check", "doc", "at"])
+    by_suffix = Window.partitionBy("suffix", "check").orderBy("doc", "at")
     checked = checked.withColumn("nth_here", F.row_number().over(by_suffix)).where(is_known | (F.col("nth_here") > 1))
     fine = checked.groupBy("doc").agg(F.collect_list("at").alias("places")).select(F.col("doc").alias("f_doc"), "places")
-    sure = state.select(F.col("doc").alias("s_doc"), F.transform(F.filter("marks", lambda x: x["repeated"]), lambda x: x["at"]).alias("spans"))
+    sure = state.select(F.col("doc").alias("s_doc"), F.filter("marks", known).alias("spans"))
     final = d.join(sure, F.col("doc") == F.col("s_doc"), "left").join(fine, F.col("doc") == F.col("f_doc"), "left").select("doc", "nth", "text", "spans", "places")
 
     def cut(piece):
