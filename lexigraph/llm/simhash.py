@@ -31,10 +31,10 @@ def shingle_hashes(text: str, words: int) -> np.ndarray:
     """XXH64 of every shingle of `words` words (A-Z lower-cased, split at space and U+0009 to U+000D), repeats included; a shorter text is one shingle, one without words none."""
     w = text.encode("utf-8", "surrogatepass").lower().split()
     if not w:
-        return np.empty(0, np.uint64)
+        return np.empty(0, ">u8")
     joined = b" ".join(w)
     if len(w) <= words:
-        return np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
+        return np.frombuffer(xxhash.xxh64_digest(joined, SEED), ">u8")
     size = np.fromiter(map(len, w), np.int64, len(w))
     ends = np.cumsum(size + 1) - 1
     starts = ends - size
