@@ -37,7 +37,7 @@ def fold_arabic_only(c: Column) -> Column:
 def fold_latin(c: Column) -> Column:
     """Latin search key: small letters without marks, quotes dropped, the rest but letters and digits as spaces."""
     bare = F.translate(F.lower(c), LATIN_FROM + QUOTES, LATIN_TO)
-    return squeeze(F.regexp_replace(bare, "[^a-z0-9]", " "))
+    return F.trim(F.regexp_replace(bare, "[^a-z0-9]+", " "))
 
 
 def _title_words(words: Column, stop: tuple[str, ...], shorten) -> Column:

@@ -9,6 +9,7 @@ from lexigraph.operators import match as M
 from lexigraph.operators.graph import connected_components
 from lexigraph.plans.registry import query
 from lexigraph.plans.scalars import TEXT_QUERIES
+from lexigraph.session import written
 
 AUTO, PENDING = 0.9, 0.6
 RARE = (2, 8)
@@ -20,12 +21,12 @@ def folded(t):
 
 
 def pairs(t):
-    """Scored candidate pairs: three rare terms in common, or the same folded text."""
-    d = folded(t)
+    """Scored candidate pairs: three rare terms in common, or the same folded text. Texts are folded once, into a table of their terms."""
+    d = written(folded(t).select("doc_id", "source", "terms", F.md5("key").alias("key")), "folded")
     rare = M.term_frequency(d, F.col("terms")).where(F.col("n").between(*RARE)).select("term")
     keyed = d.select("doc_id", F.explode("terms").alias("term")).join(rare, "term").groupBy("doc_id").agg(F.collect_list("term").alias("keys"))
     by_term = M.blocked_pairs(keyed, "doc_id", F.col("keys")).where("shared >= 3").select("a", "b")
-    by_text = M.blocked_pairs(d, "doc_id", F.array(F.md5("key"))).select("a", "b")
+    by_text = M.blocked_pairs(d, "doc_id", F.array("key")).select("a", "b")
     both = M.with_sides(by_term.union(by_text).distinct(), d, "doc_id", ["terms", "source"])
     return both.select("a", "b", "a_source", "b_source", F.round(M.overlap(F.col("a_terms"), F.col("b_terms")), 9).alias("score"))
 
