@@ -49,9 +49,14 @@ def gazetteer_hits(df: DataFrame, id_col: str, text: str, names: DataFrame, most
     Word n-grams of a text meet the names in an equi-join; names are keys of one to `most` words joined by blanks.
     """
     w = df.select(F.col(id_col).alias("id"), F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)).alias("w"))
-    at = w.select("id", "w", F.posexplode("w").alias("pos", "_"))
-    grams = at.select("id", "pos", F.explode(F.sequence(F.lit(1), F.least(F.lit(most), F.size("w") - F.col("pos")))).alias("n"), "w")
-    grams = grams.select("id", "pos", "n", F.array_join(F.slice("w", F.col("pos") + 1, F.col("n")), " ").alias("name"))
+    w = w.where(F.size("w") > 0)
+
+    def grams_of(n: int) -> Column:
+        made = F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.struct((i - 1).alias("pos"), F.lit(n).alias("n"), F.array_join(F.slice("w", i, n), " ").alias("name")))
+        return F.when(F.size("w") >= n, made).otherwise(F.array().cast("array<struct<pos:int,n:int,name:string>>"))
+
+    # exploded as finished n-grams: no row carries its whole text
+    grams = w.select("id", F.explode(F.concat(*map(grams_of, range(1, most + 1)))).alias("g")).select("id", "g.pos", "g.n", "g.name")
     met = grams.join(names, "name")
     return met.groupBy("id", "pos").agg(F.max_by(F.struct("n", "name", "place"), "n").alias("x")).select("id", "pos", "x.n", "x.name", "x.place")
 
