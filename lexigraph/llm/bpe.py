@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from lexigraph.llm.common import map_columns
 
 #: Words whose ids a worker remembers, in each of two generations.
-REMEMBERED = 200_000
+REMEMBERED = 120_000
 END = "</w>"
 #: The word patterns of the vocabulary file; white space is left out.
 _WHITE = r"\t-\r\x20\x85\xa0  -     　"
@@ -100,7 +100,7 @@ class Automaton:
         key = state * self.n + token
         known = self.table.get(key)
         if known is None:
-            if len(self.table) >= REMEMBERED * 4:
+            if len(self.table) >= REMEMBERED * 2:
                 self.table.clear()
             known = self.table[key] = self._follows(state, token)
         return known
@@ -215,8 +215,22 @@ def decode_ids(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids",
     return map_columns(picked, run, f"doc_id {picked.schema[0].dataType.simpleString()}, ids binary, decoded string")
 
 
+def encode_and_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
+    """(doc_id, ids, decoded): encode_texts and decode_ids by one automaton, so that a task holds one and not two."""
+    path = path or vocabulary()
+
+    def run(rows, texts):
+        e = encoder(path)
+        ids = [e.encode(t) if t else b"" for t in texts]
+        return [rows, ids, [e.automaton.decode(np.frombuffer(i, "<u4").tolist()) for i in ids]]
+
+    picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return map_columns(picked, run, f"doc_id {picked.schema[0].dataType.simpleString()}, ids binary, decoded string", most=1 << 20)
+
+
 def token_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
-    both = decode_ids(encode_texts(docs, path=path), path=path)
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every whole text."""
+    both = encode_and_decode(docs, path=path)
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
