@@ -18,7 +18,8 @@ from lexigraph.session import checkpointed, written
 #: The base kinds in their order and their patterns.
 KINDS = ("email", "ip", "card", "phone")
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")  # a run of digits that fails at its start fails everywhere in it
+LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Tokens that may be identifiers: digits or an at sign among letters, digits and joining marks.
@@ -41,13 +42,26 @@ def _digits(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
 
+def _emails(text: str) -> list[tuple[int, int]]:
+    """The matches of EMAIL, in linear time: each at sign is tried with the whole run of characters before it."""
+    out, last, at = [], 0, text.find("@")
+    while at >= 0:
+        run = LOCAL.match(text[last:at][::-1])
+        m = EMAIL.match(text, at - run.end()) if run else None
+        if m:
+            out.append((m.start(), m.end()))
+        last = m.end() if m else at + 1
+        at = text.find("@", last)
+    return out
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) by kind and start, in code points; matches that fail their test are dropped without a retry."""
     out = []
     if "@" in text:
-        out += [("email", m.start(), m.end()) for m in EMAIL.finditer(text)]
+        out += [("email", a, b) for a, b in _emails(text)]
     if "." in text:
-        out += [("ip", m.start(), m.end()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+        out += [("ip", m.start(), m.end()) for m in IP.finditer(text) if all(len(q := p.lstrip("0")) <= 3 and int(q or "0") <= 255 for p in m[0].split("."))]
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 16 and 16 <= len(d := _digits(m[0])) <= 19 and luhn(d):
             out.append(("card", m.start(), m.end()))

@@ -99,6 +99,18 @@ def test_secrets_equal_plain_search(spark, docs):
     assert rows[90].secrets == [] and len(rows) == len(TEXTS) + 2
 
 
+def test_base_patterns_equal_plain_search():
+    random.seed(12)
+    parts = ["a", "Z", "0", "12", "255", "256", "1.2.3.4", ".", "..", "@", "-", "_", "+", "%", " ", "(", ")", "é", "b.c", "+49 ", "1234 5678 ", "\n"]
+    for _ in range(20000):
+        t = "".join(random.choice(parts) for _ in range(random.randint(0, 16)))
+        plain = [("email", m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+        plain += [("ip", m.start(), m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(p) <= 255 for p in m[0].split("."))]
+        assert [s for s in pii.base_spans(t) if s[0] in ("email", "ip")] == plain, t
+    assert pii.base_spans("x" * 300_000 + " @ " + "7" * 300_000 + ".") == []
+    assert pii.base_spans("0" * 5000 + "3.2.1.0 ") == [("ip", 0, 5007)]
+
+
 def test_personal_data(spark):
     assert pii.luhn("4539578763621486") and not pii.luhn("4539578763621487")
     spans = pii.base_spans("mail a.b@c.de or 10.0.0.256, 10.0.0.25; card 4539 5787 6362 1486 call +1 (499) 555-6503!")
