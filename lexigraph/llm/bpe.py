@@ -21,6 +21,7 @@ from lexigraph.llm.common import map_columns
 
 #: Words whose ids a worker remembers, in each of two generations.
 REMEMBERED = 120_000
+LONGEST_REMEMBERED = 60
 END = "</w>"
 #: The word patterns of the vocabulary file; white space is left out.
 _WHITE = r"\t-\r\x20\x85\xa0  -     　"
@@ -77,6 +78,7 @@ class Automaton:
         self.inner = {"".join(back[c] for c in t): vocab[t] for t in reach if not t.endswith(END)}
         self.final = {"".join(back[c] for c in t.removesuffix(END)): vocab[t] for t in reach if t.endswith(END)}
         self.longest = max(map(len, self.inner), default=1)
+        self.longest_final = max(map(len, self.final), default=1)
         self.table: dict[int, bool] = {}  # arcs that have been looked up: state * n + token
 
     def _follows(self, state: int, token: int) -> bool:
@@ -113,7 +115,7 @@ class Automaton:
         at, here, size = 0, 0, n
         while True:
             if size >= n - at:
-                t = final.get(word[at:])
+                t = final.get(word[at:]) if n - at <= self.longest_final else None
                 if t is not None and arc(here, t):
                     return [p[0] for p in path] + [t]
                 size = n - at - 1
@@ -149,9 +151,10 @@ class Encoder:
         if out is None:
             ids = self.automaton.encode_word(word if word.isascii() else word.encode("utf-8", "surrogatepass").decode("latin-1"))
             out = struct.pack(f"<{len(ids)}I", *ids)
-        if len(self.known) >= REMEMBERED:
-            self.older, self.known = self.known, {}
-        self.known[word] = out
+        if len(word) <= LONGEST_REMEMBERED:
+            if len(self.known) >= REMEMBERED:
+                self.older, self.known = self.known, {}
+            self.known[word] = out
         return out
 
     def _plain(self, text: str) -> bytes:

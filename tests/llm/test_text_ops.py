@@ -71,6 +71,8 @@ def test_bpe_equals_library(spark, docs):
         ids = np.frombuffer(own.encode(t), "<u4").tolist()
         assert ids == library.encode(t, add_special_tokens=False).ids, t
         assert own.automaton.decode(ids) == library.decode(ids, skip_special_tokens=False)
+    long = "".join(random.choice("abcdeth") for _ in range(200_000))
+    assert np.frombuffer(own.encode(long), "<u4").tolist() == library.encode(long, add_special_tokens=False).ids
     rows = {r.doc_id: r for r in bpe.token_digests(docs).collect()}
     assert rows[90].n_tokens == 0 and rows[90].ids_sha256 == hashlib.sha256(b"").hexdigest()
     assert rows[4].n_tokens == len(library.encode(TEXTS[4], add_special_tokens=False).ids)
