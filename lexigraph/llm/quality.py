@@ -3,7 +3,7 @@
 Terms are hashed trigrams of character classes plus buckets of how well a text compresses (repetition);
 a truncated singular value decomposition of a labelled sample maps them to latent dimensions. Every
 document is compared with every labelled vector by blocked cosine products, and its nearest neighbours
-vote with their similarity as weight.
+vote with their similarity as weight, times the labelled documents that a sampled one stands for.
 """
 
 from __future__ import annotations
@@ -63,7 +63,8 @@ def term_counts(text: str | None) -> np.ndarray:
 class Model:
     """Labelled latent vectors of length one and the map that takes terms there."""
 
-    def __init__(self, counts: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS):
+    def __init__(self, counts: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS, shares: tuple[float, float] = (1.0, 1.0)):
+        """shares: what a vote for label 0 and one for label 1 counts."""
         df = (counts > 0).sum(axis=0)
         self.weights = (np.log((1 + len(counts)) / (1 + df)) + 1).astype(np.float32)
         x = counts * self.weights
@@ -71,19 +72,20 @@ class Model:
         self.project = np.ascontiguousarray(vectors[:, ::-1][:, :dimensions].astype(np.float32)) * self.weights[:, None]
         self.vectors = self._unit(counts)
         self.labels = labels.astype(np.float32)
+        self.votes = np.asarray(shares, np.float32)[labels.astype(np.int64)]
 
     def _unit(self, counts: np.ndarray) -> np.ndarray:
         v = counts @ self.project
         return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
 
     def scores(self, counts: np.ndarray, neighbours: int = NEIGHBOURS) -> np.ndarray:
-        """The similarity-weighted share of label 1 among the nearest labelled vectors, all of which are compared."""
+        """The share of label 1, weighted by similarity and by what its label counts, among the nearest labelled vectors, all of which are compared."""
         out = []
         k = min(neighbours, len(self.labels))
         for i in range(0, len(counts), BLOCK):
             near = self._unit(counts[i : i + BLOCK]) @ self.vectors.T
             best = np.argpartition(-near, k - 1, axis=1)[:, :k] if k < len(self.labels) else np.tile(np.arange(k), (len(near), 1))
-            w = np.maximum(np.take_along_axis(near, best, axis=1), 1e-6) ** POWER
+            w = np.maximum(np.take_along_axis(near, best, axis=1), 1e-6) ** POWER * self.votes[best]
             out.append((w * self.labels[best]).sum(axis=1) / w.sum(axis=1))
         return np.concatenate(out) if out else np.empty(0)
 
@@ -93,12 +95,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     `labels` holds the rows that may be learnt from. The sample is those ids whose hash is lowest, whatever
     the size of the table; only their term weights come to the driver (max_labelled * 2 rows of fixed width).
+    Where a label has more documents than are picked, each vote for it counts as many labelled documents as it
+    stands for, so that scores mean the same whatever part of a label is in the sample.
     """
     known = labels.select(F.col(id_col).alias("l_id"), F.col(label_col).cast("int").alias("label")).where("l_id is not null and label in (0, 1)")
     known = known.groupBy("l_id").agg(F.max("label").alias("label"))
     ranked = known.withColumn("at", F.xxhash64("l_id"))
     picked = [ranked.where(F.col("label") == v).orderBy("at", "l_id").limit(max_labelled) for v in (0, 1)]
     sample = picked[0].union(picked[1])
+    of_label = dict(known.groupBy("label").count().collect())
+    shares = tuple(max(1.0, of_label.get(v, 0) / max_labelled) for v in (0, 1))
     texts = docs.join(F.broadcast(sample), F.col(id_col) == F.col("l_id")).select("l_id", "label", F.col(text_col).alias("text"))
 
     def run(ids, label, texts_):
@@ -108,7 +114,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not len(rows):
         return None
     rows = rows.drop_duplicates("l_id").sort_values("l_id")
-    return Model(np.stack([np.frombuffer(c, np.float32) for c in rows["counts"]]), rows["label"].to_numpy())
+    return Model(np.stack([np.frombuffer(c, np.float32) for c in rows["counts"]]), rows["label"].to_numpy(), shares=shares)
 
 
 def score_quality(docs: DataFrame, model: Model | None, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), out: str = "score") -> DataFrame:

@@ -168,3 +168,15 @@ def test_quality_votes(spark):
     assert all(got[a] > 0.7 for a, _, _ in clean) and all(got[a] < 0.3 for a, _, _ in junk)
     assert {r.score for r in quality.score_quality(d, quality.fit(d, labels.where("false"))).collect()} == {0.5}
     assert quality.score_quality(d.where("false"), model).count() == 0
+
+
+def test_quality_votes_count_what_they_stand_for(spark):
+    random.seed(12)
+    text = lambda: " ".join(random.choice("river boat stone Cloud 12 (rain) wind; leaf".split()) for _ in range(30))
+    rows = [(i, text(), 0 if i % 7 == 0 else 1) for i in range(420)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    mean = {}
+    for most in (1000, 60):
+        model = quality.fit(d.select("doc_id", "text"), d.select("doc_id", "quality"), max_labelled=most)
+        mean[most] = np.mean([r.score for r in quality.score_quality(d, model).collect()])
+    assert abs(mean[1000] - 6 / 7) < 0.05 and abs(mean[60] - mean[1000]) < 0.05
