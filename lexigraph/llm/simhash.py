@@ -8,6 +8,7 @@ in one bit at most: that is the join key. Longer chains and last the full distan
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,11 +18,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lexigraph.llm.common import map_columns
 from lexigraph.operators.graph import connected_components
-from lexigraph.session import checkpointed
+from lexigraph.session import checkpointed, written
 
 WORDS, BITS, SEED = 4, 4, 42
-#: Documents of a group that are compared in one part at first.
+#: Rows of a shingle that are compared with all others of it at once; results do not depend on it.
 PART = 64
+#: Documents that tell which shingles are frequent, and how many such shingles are told apart.
+SAMPLE, FREQUENT = 4096, 1 << 16
 #: Comparisons that a task makes at once.
 BLOCK = 1 << 20
 _ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -45,7 +48,10 @@ def shingle_hashes(text: str, words: int) -> np.ndarray:
 
 def simhash(text: str | None, words: int = WORDS) -> int:
     """The fingerprint as a signed 64-bit integer; a bit is set if it is in over half of the shingle hashes."""
-    h = shingle_hashes(text or "", words)
+    return _fingerprint(shingle_hashes(text or "", words))
+
+
+def _fingerprint(h: np.ndarray) -> int:
     n = len(h)
     if not n:
         return 0
@@ -184,55 +190,180 @@ def _alike(a: np.ndarray, b: np.ndarray, least: float) -> bool:
     return both >= least * (small + large - both)
 
 
-def _copies(members: DataFrame, words: int, similarity: float) -> DataFrame:
-    """members (component, part, doc_id, text): ids of those that are similar to an earlier id of their part which is itself kept.
+def _shingle_set(text: str | None, words: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Hashes of the shingles, the sorted set of them and a hash of that set."""
+    h = shingle_hashes(text or "", words)
+    found = np.unique(h.astype(np.uint64))
+    return h, found, xxhash.xxh3_64_intdigest(found.tobytes()) - 2**63
+
+
+def _frequent(docs: DataFrame, words: int) -> np.ndarray:
+    """Shingles that several of SAMPLE documents share, the most frequent last: at most FREQUENT of them.
+
+    They only say what comes last in the order of shingles, and any order gives the same links.
+    """
+    sample = docs.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    shingles = map_columns(sample, lambda _, texts: [np.concatenate([_shingle_set(t, words)[1] for t in texts]).view(np.int64).tolist()], "shingle long")
+    often = shingles.groupBy("shingle").count().where("count > 2").orderBy(F.desc("count"), "shingle").limit(FREQUENT)
+    return np.array([r["shingle"] for r in often.collect()][::-1], np.int64).view(np.uint64)
+
+
+def _prefixes(docs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """docs (doc_id, text): (doc, fp, n, key, prefix): number, hash and first shingles of the set of each text.
 
-    Parts are dealt whole and read in the order of ids; a task holds the shingles of what it keeps of one part.
+    Of two sets of n and m shingles that are similar enough at least ceil(similarity * n) are shared; so one of
+    the first n - ceil(similarity * n) + 1 of one set is among the first of the other, in any common order.
     """
-    members = members.repartition("component", "part").sortWithinPartitions("component", "part", "doc_id")
+    frequent = _frequent(docs, words)
+    order = np.argsort(frequent)
+    shared = docs.sparkSession.sparkContext.broadcast((frequent[order], order))
+
+    def run(ids, texts):
+        known, rank = shared.value
+        fps, sizes, keys, firsts = [], [], [], []
+        for t in texts:
+            h, found, key = _shingle_set(t, words)
+            n = len(found)
+            at = np.searchsorted(known, found)
+            late = known[np.minimum(at, len(known) - 1)] == found if len(known) else np.zeros(n, bool)
+            last = found[late][np.argsort(rank[at[late]])] if late.any() else found[:0]
+            most = n - math.ceil(similarity * n - 1e-9) + 1 if n else 0
+            fps.append(_fingerprint(h))
+            sizes.append(n)
+            keys.append(key)
+            firsts.append(np.concatenate([found[~late], last])[:most].view(np.int64))
+        ends = np.cumsum([0, *map(len, firsts)]).astype(np.int32)
+        return [ids, fps, sizes, keys, pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(firsts) if firsts else np.empty(0, np.int64)))]
+
+    return map_columns(docs, run, "doc long, fp long, n int, key long, prefix array<long>")
+
+
+def _keyed_blocks(rows: DataFrame, names: list[str], func, schema: str) -> DataFrame:
+    """rows are dealt and sorted by the first of names; func gets the columns of each run of two or more equal values and gives columns of schema."""
+    rows = rows.select(*names).repartition(names[0]).sortWithinPartitions(names[0], names[1])
+    out_names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, kept = None, []
+        held: list[list[np.ndarray]] = []
         for batch in batches:
-            gone = []
-            for component, part, doc, text in zip(*(batch[c].to_pylist() for c in ("component", "part", "doc_id", "text"))):
-                if (component, part) != here:
-                    here, kept = (component, part), []
-                shingles = np.unique(shingle_hashes(text or "", words))
-                match = next((i for i, other in kept if _alike(shingles, other, similarity)), None)
-                if match is None:
-                    kept.append((doc, shingles))
-                elif match != doc:
-                    gone.append(doc)
-            yield pa.RecordBatch.from_arrays([pa.array(gone, pa.int64())], names=["gone"])
+            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            if not len(cols[0]):
+                continue
+            if cols[0][-1] == (held[0][0][0] if held else cols[0][0]):
+                held.append(cols)  # one value may fill many batches
+                continue
+            cols = [np.concatenate(x) for x in zip(*held, cols)]
+            last = int(np.searchsorted(cols[0], cols[0][-1]))
+            yield from blocks([c[:last] for c in cols])
+            held = [[c[last:] for c in cols]]
+        if held:
+            yield from blocks([np.concatenate(x) for x in zip(*held)])
 
-    return members.mapInArrow(run, "gone long")
+    def blocks(cols):
+        cuts = np.flatnonzero(np.diff(cols[0])) + 1
+        a, b = np.concatenate([[0], cuts]), np.append(cuts, len(cols[0]))
+        several = b - a > 1
+        for i, j in zip(a[several].tolist(), b[several].tolist()):
+            for made in func([c[i:j] for c in cols]):
+                if len(made[0]):
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], names=out_names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def _across(similarity: float):
+    """Pairs of one shingle that are not in one component yet and whose sizes and places of the shingle allow the similarity, and how many shingles their prefixes must share.
+
+    Of common shingles, those outside of what the prefixes share come after the prefix that ends first. Rows of the largest component are only compared with others, so a dense group costs no pairs of its own.
+    """
+    share = similarity / (1 + similarity)
+
+    def pairs(cols):
+        _, key, n, at, component = cols
+        names, of = np.unique(component, return_inverse=True)
+        if len(names) < 2:
+            return
+        mine = np.flatnonzero(of != np.bincount(of).argmax())
+        step = max(1, min(PART, BLOCK // len(key)))
+        for i in range(0, len(mine), step):
+            r = mine[i : i + step, None]
+            # what may be common before the shingle and from there on
+            most = np.minimum(at[r], at[None, :]) + np.minimum(n[r] - at[r], (n - at)[None, :])
+            good = (of[r] != of[None, :]) & (most >= share * (n[r] + n[None, :]) - 1e-6)
+            good &= np.minimum(n[r], n[None, :]) >= similarity * np.maximum(n[r], n[None, :]) - 1e-6
+            x, y = np.nonzero(good)
+            x = mine[i + x]
+            rest = np.ceil(similarity * np.maximum(n[x], n[y]) - 1e-9) - 1
+            need = np.ceil(share * (n[x] + n[y]) - rest - 1e-6).astype(np.int32)
+            # a pair of two rows that are both compared with all is met from both: it is given by the one with the smaller hash
+            once = (key[x] < key[y]) | ~np.isin(y, mine)
+            x, y, need = x[once], y[once], need[once]
+            yield [np.minimum(key[x], key[y]), np.maximum(key[x], key[y]), need]
+
+    return pairs
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Those of pairs (a, b) of set hashes whose sets have the similarity; texts are read again."""
+    for side in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("key").alias(side), F.col("doc").alias(f"{side}_doc"), F.col("n").alias(f"{side}_n")), side)
+    pairs = pairs.where(F.least("a_n", "b_n") >= F.lit(similarity) * F.greatest("a_n", "b_n") - 1e-6)
+    pairs = written(pairs.select("a", "b", "a_doc", "b_doc"), "near-pairs")
+    ends = pairs.select(F.col("a_doc").alias("doc_id")).union(pairs.select("b_doc")).distinct()
+    docs = docs.join(ends, "doc_id", "left_semi")
+    for side in ("b", "a"):
+        pairs = pairs.join(docs.select(F.col("doc_id").alias(f"{side}_doc"), F.col("text").alias(f"{side}_text")), f"{side}_doc")
+
+    def run(a, b, a_text, b_text):
+        out, before = [], (None, None)
+        for x, y, t, u in zip(a, b, a_text, b_text):
+            if before[0] != t:
+                before = (t, _shingle_set(t, words))
+            _, one, key = before[1]
+            _, two, other = _shingle_set(u, words)
+            # rows with equal ids may have other texts
+            if (key, other) == (x, y) and _alike(one, two, similarity):
+                out.append((x, y))
+        return [[x for x, _ in out], [y for _, y in out]]
+
+    return checkpointed(map_columns(pairs.select("a", "b", "a_text", "b_text"), run, "a long, b long").distinct())
 
 
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, bits: int = BITS, similarity: float = 0.8) -> DataFrame:
-    """The rows of docs without near-duplicates of what stays.
+    """The rows of docs that have the smallest id of their group of near-duplicates.
 
-    Fingerprints at `bits` or fewer differing bits make groups of candidates. Inside a group, in the order of
-    ids, a document goes if the Jaccard similarity of its shingles to one that stays is at least `similarity`:
-    first in parts of about PART documents, then among what the parts of a group have left, so that a large
-    group is never in one task before its copies are gone. Rows with equal ids stay or go together; rows
+    Groups are the components of all pairs whose sets of shingles have a Jaccard similarity of at least
+    `similarity`; the pairs are complete. Equal sets are one node. Fingerprints at `bits` or fewer differing
+    bits give a forest of first candidates, which joins most of a dense group; what is still apart meets by the
+    shingles of its prefix. All candidates are tested on their texts, as rows: no group is gathered in one task,
+    and `bits` and the size of a group change the work only. Rows with equal ids stay or go together; rows
     without id stay; empty texts are copies of each other. An empty table gives an empty result.
     """
-    groups = simhash_components(docs, id_col, text_col, words, bits).where("doc_id is not null").groupBy("component_id", "doc_id").agg(F.max("fp").alias("fp"))
-    groups = checkpointed(groups.select(F.col("component_id").alias("component"), F.col("doc_id").cast("long").alias("member")))
-    sizes = groups.groupBy("component").agg(F.count("*").alias("n")).where("n > 1")
-    members = groups.join(sizes, "component").withColumn("part", F.pmod(F.xxhash64("member"), F.ceil(F.col("n") / PART))).drop("n")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-
-    def round_(left: DataFrame) -> DataFrame:
-        return checkpointed(_copies(left.join(texts, left["member"] == texts["doc_id"]).select("component", "part", "doc_id", "text"), words, similarity).distinct())
-
-    gone = round_(members)
-    left = members.join(gone, members["member"] == gone["gone"], "left_anti").withColumn("part", F.lit(0).cast("long"))
-    # a group of one part is done
-    several = sizes.where(F.col("n") > PART).select("component")
-    gone = gone.union(round_(left.join(several, "component", "left_semi")))
-    return docs.join(gone, F.col(id_col) == F.col("gone"), "left_anti")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
+    prints = checkpointed(_prefixes(texts, words, similarity))
+    sets = checkpointed(prints.groupBy("key").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("prefix").alias("prefix")))
+
+    of_fp = sets.groupBy("fp").agg(F.min("key").alias("first"))
+    near = fingerprint_links(of_fp.select("fp"), bits)
+    near = near.join(of_fp.select(F.col("fp").alias("src"), F.col("first").alias("a")), "src").join(of_fp.select(F.col("fp").alias("dst"), F.col("first").alias("b")), "dst").select("a", "b")
+    near = near.union(sets.join(of_fp, "fp").where("key <> first").select(F.col("first").alias("a"), F.col("key").alias("b")))
+    tried = checkpointed(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    links = _verified(tried, sets, texts, words, similarity)
+
+    parts = connected_components(links, "a", "b").withColumnRenamed("node", "key")
+    one = sets.join(parts, "key", "left")
+    rows = one.select("key", "n", F.coalesce("component", "key").alias("component"), F.posexplode("prefix").alias("at", "shingle"))
+    met = _keyed_blocks(rows, ["shingle", "key", "n", "at", "component"], _across(similarity), "a long, b long, need int")
+    met = met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("need").alias("need")).where("shared >= need").select("a", "b")
+    links = links.union(_verified(met.join(tried, ["a", "b"], "left_anti"), sets, texts, words, similarity))
+
+    same_id = prints.groupBy("doc").agg(F.collect_set("key").alias("keys")).where(F.size("keys") > 1)
+    links = links.union(same_id.select(F.array_min("keys").alias("a"), F.explode("keys").alias("b")).where("a <> b"))
+    parts = connected_components(links, "a", "b")
+    named = prints.select("doc", "key").join(parts, F.col("key") == F.col("node"), "left").select("doc", F.coalesce("component", "key").alias("component"))
+    least = named.groupBy("component").agg(F.min("doc").alias("least"))
+    gone = named.join(least, "component").where("doc > least").select(F.col("doc").alias("gone")).distinct()
+    return docs.join(gone, F.col(id_col).cast("long") == F.col("gone"), "left_anti")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, bits: int = BITS) -> DataFrame:

@@ -176,6 +176,44 @@ def test_one_of_each_group(spark, monkeypatch):
     assert simhash.one_of_each_group(table(spark, [])).count() == 0
 
 
+def test_groups_are_complete_at_all_sizes(spark, monkeypatch):
+    random.seed(13)
+    word = lambda: "w" + str(random.randrange(3000))
+    boilerplate = [word() for _ in range(60)]
+    rows = []
+    for _ in range(30):
+        base = [word() for _ in range(90)]
+        for _ in range(4):
+            w = list(base)
+            at = random.randrange(0, 60)
+            w[at : at + random.randint(1, 4)] = [word() for _ in range(random.randint(1, 4))]
+            rows.append(" ".join(w))
+    rows += [" ".join(boilerplate + [word() for _ in range(20)]) for _ in range(40)]
+    chain = [word() for _ in range(100)]
+    for _ in range(90):
+        chain = chain[6:] + [word() for _ in range(6)]
+        rows.append(" ".join(chain))
+    random.shuffle(rows)
+    shingles = [{tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for t in rows]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for b in range(len(rows)):
+        for a in range(b):
+            if len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b]):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    want = [i for i in range(len(rows)) if find(i) == i]
+    assert 20 < len(want) < len(rows) - 90
+    for part in (64, 3):
+        monkeypatch.setattr(simhash, "PART", part)
+        assert sorted(r.doc_id for r in simhash.one_of_each_group(table(spark, enumerate(rows)), words=5, bits=10).collect()) == want
+
+
 def test_mix(spark):
     random.seed(9)
     rows = [(i, "w " * random.randint(0, 60), random.choice(["a", "b", "c", None, "É"])) for i in range(300)]
