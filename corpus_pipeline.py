@@ -26,7 +26,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without near-duplicates of a document with a smaller id that stays."""
+    """The document with the smallest id of each component of near-duplicates."""
     return simhash.one_of_each_group(docs, words=NEAR_WORDS, bits=NEAR_BITS, similarity=NEAR_SIMILARITY)
 
 
