@@ -38,3 +38,11 @@ def map_columns(df: DataFrame, func: Callable[..., list], schema: T.StructType |
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(made, out, strict=True)], schema=out)
 
     return df.mapInArrow(run, kind)
+
+
+def free_name(name: str, *tables: DataFrame) -> str:
+    """name, with underscores behind it until no table has such a column."""
+    taken = {c.lower() for t in tables for c in t.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

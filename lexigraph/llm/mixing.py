@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lexigraph.llm.common import free_name
+from lexigraph.session import written
+
 #: Weights of the sources by rank, repeating.
 WEIGHTS = (5, 2, 1)
 #: A source is repeated at most this often.
@@ -43,7 +46,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per row of docs: doc_id, source, size, source_size, target, taken (words, repeats counted), copies (whole texts).
 
     A source whose target is r times its size repeats every document floor(r) times. For the fraction that
-    is left its documents are taken whole in a seeded order (md5 of seed and id, then size) until the
+    is left its documents are taken whole in a seeded order (md5 of seed and id, or text without id) until the
     target is reached; the last one counts with the words that were still missing, and as a whole copy if
     that is at least half of it. The running sums are split: words of each slice of the order first, then
     inside each slice, so that no source is in one task. Reruns agree, as the order depends on the rows alone.
@@ -51,8 +54,9 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Null texts have size 0, a null source is a source of its own and comes last, null ids are sampled alike,
     repeated rows count each. An empty table gives an empty result. Other columns of docs are not read.
     """
-    d = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
-    d = d.withColumn("key", F.md5(F.concat_ws(":", F.lit(f"mix-{seed}"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))))
+    named = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("null "), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
+    d = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), F.md5(F.concat(F.lit(f"mix-{seed}:"), named)).alias("key"))
+    d = written(d, "mix-sizes")  # the texts are read once
     d = d.withColumn("slice", F.substring("key", 1, SLICE_DIGITS))
     slices = d.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
     targets = water_fill(slices.groupBy("source").agg(F.sum("slice_size").alias("source_size")), weights, epochs)
@@ -70,17 +74,22 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs, each as often as the mix takes its whole text."""
+    """The rows of docs, each as often as the mix takes its whole text; columns of any name are kept.
+
+    Rows with equal ids are taken as often as the one of them that is taken most; rows without id as often as
+    the most taken row without id.
+    """
     id_col = options.get("id_col", "doc_id")
-    taken = mix_sources(docs, **options).groupBy(F.col("doc_id").alias("mix_id")).agg(F.max("copies").alias("mix_copies"))
-    chosen = docs.join(taken, F.col(id_col).eqNullSafe(F.col("mix_id"))).where("mix_copies > 0")
-    return chosen.withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies")))).select(*[docs[c] for c in docs.columns])
+    of, copies, copy = (free_name(n, docs) for n in ("mix_id", "mix_copies", "mix_copy"))
+    taken = mix_sources(docs, **options).groupBy(F.col("doc_id").alias(of)).agg(F.max("copies").alias(copies)).where(F.col(copies) > 0)
+    chosen = docs.join(taken, F.col(id_col).eqNullSafe(F.col(of)))
+    return chosen.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))).select(*[docs[c] for c in docs.columns])
 
 
 ORACLE_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         md5('mix-17:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS key
+         md5('mix-17:' || coalesce(CAST(doc_id AS VARCHAR), 'null ' || md5(coalesce(text, '')))) AS key
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, CAST(source_size AS DOUBLE) * 3 AS cap,
