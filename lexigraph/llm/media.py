@@ -85,11 +85,25 @@ def _unfilter(filters: np.ndarray, rows: np.ndarray, channels: int) -> np.ndarra
     return out
 
 
+def _header(body: bytes) -> tuple[int, int, int]:
+    """Height, width and channels of an IHDR body."""
+    if len(body) != 13:
+        raise BadImage("header")
+    width, height, depth, colour, *rest = struct.unpack(">IIBBBBB", body)
+    if not (0 < width < 2**31 and 0 < height < 2**31) or depth != 8 or colour not in (0, 2) or any(rest):
+        raise BadImage("format")
+    return height, width, 3 if colour == 2 else 1
+
+
 def decode_png(data: bytes) -> np.ndarray:
-    """The samples of an 8-bit grey or RGB image. Every chunk's CRC, the order of chunks and the Adler sum of the stream are tested; BadImage otherwise."""
+    """The samples of an 8-bit grey or RGB image. BadImage if it is not one.
+
+    Tested are every chunk's length and CRC, that one header comes first and one end last, the Adler sum of the
+    stream, and that the stream holds what the header says; no more than that is ever unpacked.
+    """
     if data[:8] != SIGNATURE:
         raise BadImage("signature")
-    at, head, ended, parts = 8, None, False, []
+    at, head, ended, parts, need = 8, None, False, [], 0
     stream = zlib.decompressobj()
     while at < len(data) and not ended:
         if at + 12 > len(data):
@@ -98,27 +112,25 @@ def decode_png(data: bytes) -> np.ndarray:
         body = data[at + 8 : at + 8 + size]
         if len(body) < size or data[at + 8 + size : at + 12 + size] != struct.pack(">I", zlib.crc32(kind + body)):
             raise BadImage(f"checksum of {kind!r}")
+        if (kind == b"IHDR") != (head is None):
+            raise BadImage("header")
         if kind == b"IHDR":
-            head = struct.unpack(">IIBBBBB", body)
-        elif head is None:
-            raise BadImage("no header")
+            head = _header(body)
+            need = head[0] * (1 + head[1] * head[2])
         elif kind == b"IDAT":
             try:
-                parts.append(stream.decompress(body))
+                parts.append(stream.decompress(body, need + 1))
             except zlib.error as e:
                 raise BadImage(str(e)) from e
+            need -= len(parts[-1])
+            if need < 0 or stream.unconsumed_tail:
+                raise BadImage("size")
         ended = kind == b"IEND"
         at += 12 + size
-    if not ended or head is None or not stream.eof:
+    if not ended or at != len(data) or not stream.eof or stream.unused_data or need:
         raise BadImage("cut off")
-    width, height, depth, colour, *rest = head
-    if depth != 8 or colour not in (0, 2) or any(rest):
-        raise BadImage("format")
-    channels = 3 if colour == 2 else 1
-    raw = np.frombuffer(b"".join(parts), np.uint8)
-    if raw.size != height * (1 + width * channels):
-        raise BadImage("size")
-    raw = raw.reshape(height, -1)
+    height, width, channels = head
+    raw = np.frombuffer(b"".join(parts), np.uint8).reshape(height, -1)
     return _unfilter(raw[:, 0], raw[:, 1:], channels).reshape(height, width, channels)
 
 
