@@ -66,28 +66,42 @@ class Model:
     def __init__(self, counts: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS, shares: tuple[float, float] = (1.0, 1.0)):
         """shares: what a vote for label 0 and one for label 1 counts."""
         df = (counts > 0).sum(axis=0)
-        self.weights = (np.log((1 + len(counts)) / (1 + df)) + 1).astype(np.float32)
+        self.weights = np.log((1 + len(counts)) / (1 + df)) + 1
         x = counts * self.weights
-        values, vectors = np.linalg.eigh((x.T @ x).astype(np.float64))
-        self.project = np.ascontiguousarray(vectors[:, ::-1][:, :dimensions].astype(np.float32)) * self.weights[:, None]
+        _, vectors = np.linalg.eigh(x.T @ x)
+        self.project = np.ascontiguousarray(vectors[:, ::-1][:, :dimensions]) * self.weights[:, None]
         self.vectors = self._unit(counts)
-        self.labels = labels.astype(np.float32)
-        self.votes = np.asarray(shares, np.float32)[labels.astype(np.int64)]
+        self.labels = labels.astype(np.float64)
+        self.votes = np.asarray(shares, np.float64)[labels.astype(np.int64)]
+        self.prior = float((self.votes * self.labels).sum() / self.votes.sum())
 
     def _unit(self, counts: np.ndarray) -> np.ndarray:
         v = counts @ self.project
         return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
 
+    def similarities(self, counts: np.ndarray) -> np.ndarray:
+        """Cosines of at most BLOCK documents with all labelled vectors, to nine digits. Every product has the same shape, so that a text gets the same numbers beside any others."""
+        full = np.zeros((BLOCK, counts.shape[1]))
+        full[: len(counts)] = counts
+        return np.round(self._unit(full) @ self.vectors.T, 9)[: len(counts)]
+
     def scores(self, counts: np.ndarray, neighbours: int = NEIGHBOURS) -> np.ndarray:
-        """The share of label 1, weighted by similarity and by what its label counts, among the nearest labelled vectors, all of which are compared."""
+        """The share of label 1, weighted by similarity and by what its label counts, among the nearest labelled vectors, all of which are compared.
+
+        Of equally near ones those that come first in the model are taken. A document that is not near to any
+        labelled vector, as one without terms, gets the share of label 1 in all of them. Six digits.
+        """
         out = []
         k = min(neighbours, len(self.labels))
         for i in range(0, len(counts), BLOCK):
-            near = self._unit(counts[i : i + BLOCK]) @ self.vectors.T
-            best = np.argpartition(-near, k - 1, axis=1)[:, :k] if k < len(self.labels) else np.tile(np.arange(k), (len(near), 1))
-            w = np.maximum(np.take_along_axis(near, best, axis=1), 1e-6) ** POWER * self.votes[best]
-            out.append((w * self.labels[best]).sum(axis=1) / w.sum(axis=1))
-        return np.concatenate(out) if out else np.empty(0)
+            near = self.similarities(counts[i : i + BLOCK])
+            last = np.partition(near, near.shape[1] - k, axis=1)[:, -k, None]
+            above, level = near > last, near == last
+            best = above | level & (np.cumsum(level, axis=1) <= k - above.sum(axis=1, keepdims=True))
+            w = np.where(best, np.maximum(near, 0.0), 0.0) ** POWER * self.votes
+            total = w.sum(axis=1)
+            out.append(np.where(total > 0, (w * self.labels).sum(axis=1) / np.where(total > 0, total, 1.0), self.prior))
+        return np.round(np.concatenate(out), 6) if out else np.empty(0)
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_labelled: int = MAX_LABELLED) -> Model | None:
@@ -120,9 +134,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def score_quality(docs: DataFrame, model: Model | None, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), out: str = "score") -> DataFrame:
     """The keep columns and a score (double): every whole text from 0 to 1, higher where label 1 is likelier.
 
-    The model travels as a broadcast of fixed size. Null and empty texts have no terms; all labelled vectors
-    are then equally far, and the score is that of the first neighbours. Without a model every score is 0.5.
-    Repeated rows give equal scores; an empty table gives an empty result. `out` names the score where docs
+    The model travels as a broadcast of fixed size. Null and empty texts have no terms, so that their score is
+    the share of label 1 among the labelled documents. Without a model every score is 0.5. A score depends on
+    the text and the model alone, so repeated rows give equal scores; an empty table gives an empty result. `out` names the score where docs
     has a column of that name; columns outside keep are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -134,7 +148,7 @@ def score_quality(docs: DataFrame, model: Model | None, text_col: str = "text",
         scores = []
         for i in range(0, len(texts), BLOCK):
             scores += shared.value.scores(np.stack([term_counts(t) for t in texts[i : i + BLOCK]])).astype(float).tolist()
-        return [*kept, [min(1.0, max(0.0, s)) for s in scores]]
+        return [*kept, scores]
 
     picked = docs.select(*[docs[c] for c in keep], docs[text_col].alias("text to score"))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields[:-1])
