@@ -8,23 +8,25 @@ Every byte of a text is in one leaf: equal roots mean equal texts, and differing
 from __future__ import annotations
 
 import hashlib
+import json
+import math
 import re
 from collections import Counter
 
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lexigraph.llm.common import map_columns
 
 LEAF = re.compile(rb"(?:[^\s.!?]+[ \t]*){1,6}[.!?\s]*|[.!?\s]+")
 #: One in so many paragraphs ends a section.
 SECTION = 16
-#: Slices of the id range in a partition's worth of rows, and the most of them.
-SLICES, MOST_SLICES = 8, 4096
+#: Slices of the id range for each shuffle partition.
+SLICES = 8
 
 
 class Tree:
-    """sections: lists of paragraphs, a paragraph being its 32-bit leaf digests; digests and spans (bytes) by section and paragraph."""
+    """sections: lists of paragraphs, a paragraph being the first 32 bits of its leaf digests, of which it takes all 128; digests and spans (bytes) by section and paragraph."""
 
     __slots__ = ("root", "sections", "digests", "spans")
 
@@ -35,7 +37,7 @@ class Tree:
         for line in data.split(b"\n"):
             end = at + len(line) + 1
             whole = data[at:end]
-            leaves = [xxhash.xxh3_64_digest(x) for x in LEAF.findall(whole)]
+            leaves = [xxhash.xxh3_128_digest(x) for x in LEAF.findall(whole)]
             digest = xxhash.xxh3_128_digest(b"".join(leaves))
             self.sections[-1].append([x[:4] for x in leaves])
             self.spans[-1].append((at, min(end, len(data))))
@@ -48,8 +50,7 @@ class Tree:
             self._close(inner)
         self.sections.pop()
         self.spans.pop()
-        # the leaves are short digests: the root also takes the text itself
-        self.root = hashlib.blake2b(b"".join(d for d, _ in self.digests) + hashlib.sha256(data).digest(), digest_size=16).hexdigest()
+        self.root = hashlib.blake2b(b"".join(d for d, _ in self.digests), digest_size=16).hexdigest()
 
     def _close(self, inner: list[bytes]) -> None:
         self.digests.append((xxhash.xxh3_128_digest(b"".join(inner)), inner))
@@ -136,34 +137,39 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return map_columns(picked, run, f"doc_id {picked.schema[0].dataType.simpleString()}, root string, sections array<array<array<string>>>")
 
 
+def _literal(values: list, kind: str) -> Column:
+    """An array literal of any size."""
+    return F.from_json(F.lit(json.dumps(values)), kind)
+
+
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, next_text): each row beside the next one by descending id, after the last the first.
 
     Ids are cut into slices at their quantiles; rows are dealt by slice, and the first row of a slice also
-    goes to the slice before it. Texts move once, and a slice is one window. Null ids come last; rows with
-    equal ids are ordered by the hashes of their texts and share a slice. A single row is next to itself.
+    goes to the slice before it. Texts move once, and a slice is one window. The number of slices follows that
+    of the shuffle partitions. Rows with equal ids are ordered by the hashes of their texts and share a slice;
+    null ids come last, ordered and cut into slices by those hashes. A single row is next to itself.
     """
     spark = docs.sparkSession
-    low = -(2**63)
-    d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(F.col(id_col).cast("long"), F.lit(low)).alias("at"))
-    n = min(MOST_SLICES, SLICES * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(id_col).cast("long").alias("at"))
+    d = d.withColumn("hash", F.xxhash64("text"))
+    n = SLICES * int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = sorted(set(d.agg(F.percentile_approx("at", [i / n for i in range(1, n)], 10 * n)).first()[0] or []))
-    if cuts:
-        d = d.withColumn("slice", F.size(F.filter(F.array(*map(F.lit, cuts)), lambda x: x < F.col("at"))))
-    else:
-        d = d.withColumn("slice", F.lit(0))
-    heads = {r["slice"]: r["head"] for r in d.groupBy("slice").agg(F.max("at").alias("head")).collect()}  # one row a slice
-    order = sorted(heads, reverse=True)
-    before = {heads[s]: order[i - 1] for i, s in enumerate(order)}
-    if before:
-        target = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])[F.col("at")]
-        also = F.when(F.col("at").isin(list(before)), F.array(F.struct(F.col("slice").alias("slice"), F.lit(0).alias("help")), F.struct(target.alias("slice"), F.lit(1).alias("help"))))
-        d = d.withColumn("to", F.coalesce(also, F.array(F.struct(F.col("slice").alias("slice"), F.lit(0).alias("help")))))
-        d = d.select("doc_id", "text", "at", F.explode("to").alias("to")).select("doc_id", "text", "at", "to.slice", "to.help")
-    else:
-        d = d.withColumn("help", F.lit(0))
-    window = Window.partitionBy("slice").orderBy("help", F.col("at").desc(), F.xxhash64("text"))
-    return d.withColumn("next_text", F.lead("text").over(window)).where("help = 0").select("doc_id", "text", "next_text")
+    # two levels of cuts, so that a row is compared with about twice the root of their number
+    step = max(1, math.isqrt(len(cuts)))
+    coarse = F.size(F.filter(_literal(cuts[step - 1 :: step], "array<long>"), lambda x: x < F.col("at")))
+    groups = _literal([cuts[i : i + step] for i in range(0, len(cuts) + 1, step)], "array<array<long>>")
+    fine = F.size(F.filter(F.element_at(groups, coarse + 1), lambda x: x < F.col("at")))
+    nulls = F.floor((F.shiftright("hash", 40) + (1 << 23)) * n / (1 << 24)).cast("long")
+    d = d.withColumn("slice", F.when(F.col("at").isNull(), -1 - nulls).otherwise(coarse * step + fine).cast("long"))
+    d = d.withColumn("order", F.struct(F.col("at").isNull().alias("none"), F.bitwise_not("at").alias("at"), "hash")).drop("at", "hash")
+    heads = d.groupBy("slice").agg(F.min("order").alias("head")).orderBy(F.desc("slice")).collect()  # one row a slice
+    before = [(r["head"]["none"], r["head"]["at"], r["head"]["hash"], heads[i - 1]["slice"]) for i, r in enumerate(heads)]
+    moved = spark.createDataFrame(before, "none boolean, at long, hash long, `to` long").select(F.struct("none", "at", "hash").alias("order"), "to")
+    own = F.struct(F.col("slice").alias("slice"), F.lit(0).alias("help"))
+    d = d.join(F.broadcast(moved), d["order"].eqNullSafe(moved["order"]), "left").select("doc_id", "text", d["order"], F.explode(F.when(F.col("to").isNull(), F.array(own)).otherwise(F.array(own, F.struct(F.col("to").alias("slice"), F.lit(1).alias("help"))))).alias("to"))
+    window = Window.partitionBy("to.slice").orderBy("to.help", "order")
+    return d.withColumn("next_text", F.lead("text").over(window)).where("to.help = 0").select("doc_id", "text", "next_text")
 
 
 def op4_merkle_fingerprint(spark, sf_dir: str) -> DataFrame:
