@@ -7,6 +7,7 @@ base pattern takes.
 
 from __future__ import annotations
 
+import bisect
 import re
 
 import xxhash
@@ -22,8 +23,9 @@ IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")  # a run of d
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-#: Tokens that may be identifiers: digits or an at sign among letters, digits and joining marks.
-CANDIDATE = re.compile(r"[A-Za-z0-9+(][A-Za-z0-9@._+()/#:-]{4,62}[A-Za-z0-9)]")
+#: Tokens that may be identifiers: runs of letters, digits and joining marks without the marks at their ends, of so many characters, with an at sign or three digits.
+TOKEN = re.compile(r"[A-Za-z0-9@._+()/#:-]+")
+SHORTEST, LONGEST = 6, 64
 #: Rounds of scoring; confidence and number of different instances that a context needs; score of an accepted instance.
 ROUNDS, CONFIDENCE, SUPPORT, ACCEPT = 3, 0.8, 8, 0.8
 
@@ -70,26 +72,41 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-_WORD_BEFORE = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(r"[^\W\d_]+")
 
 
-def context(text: str, start: int, end: int) -> str | None:
-    """The lexical pattern around a span: the two words before it and the mark that joins them to it; None without words there."""
-    left = text[max(0, start - 60) : start]
-    words = list(_WORD_BEFORE.finditer(left))
-    if not words or len(left) - words[-1].end() > 4:
-        return None
-    joint = left[words[-1].end() :].strip() or "_"
-    return " ".join([*(w[0].lower() for w in words[-2:]), joint])
+class Contexts:
+    """The lexical patterns of a text: the two words before a span and the mark, of at most four characters, that joins them to it."""
 
+    def __init__(self, text: str):
+        self.text = text
+        self.words = [m.span() for m in _WORD.finditer(text)]
+        self.ends = [b for _, b in self.words]
 
-def _candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
+    def before(self, start: int) -> str | None:
+        """None without a word there. Words are whole, however long."""
+        k = bisect.bisect_right(self.ends, start)
+        if not k or start - self.ends[k - 1] > 4:
+            return None
+        joint = self.text[self.ends[k - 1] : start].strip() or "_"
+        return " ".join([*(self.text[a:b].lower() for a, b in self.words[max(0, k - 2) : k]), joint])
+
+
+def candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
+    """Whole tokens that may be identifiers and that no span touches, in one sweep over tokens and spans. Tokens outside SHORTEST to LONGEST are none."""
     taken = sorted((a, b) for _, a, b in spans)
-    out = []
-    for m in CANDIDATE.finditer(text):
-        s = m[0]
-        if ("@" in s or sum(c.isdigit() for c in s) >= 3) and not any(a < m.end() and m.start() < b for a, b in taken):
-            out.append((m.start(), m.end()))
+    out, k, reach = [], 0, 0
+    for m in TOKEN.finditer(text):
+        s = m[0].lstrip("@._)/#:-").rstrip("@._+(/#:-")
+        start = m.end() - len(m[0].lstrip("@._)/#:-"))
+        end = start + len(s)
+        if not SHORTEST <= len(s) <= LONGEST or not ("@" in s or sum(c.isdigit() for c in s) >= 3):
+            continue
+        while k < len(taken) and taken[k][0] < end:
+            reach = max(reach, taken[k][1])
+            k += 1
+        if reach <= start:
+            out.append((start, end))
     return out
 
 
@@ -120,9 +137,11 @@ def extract_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str
             spans = base_spans(t)
             base_col.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
             seen = []
-            for known, pairs in ((True, [(a, b) for _, a, b in spans]), (False, _candidates(t, spans))):
+            open_spans = candidates(t, spans)
+            contexts = Contexts(t) if spans or open_spans else None
+            for known, pairs in ((True, [(a, b) for _, a, b in spans]), (False, open_spans)):
                 for a, b in pairs:
-                    if c := context(t, a, b):
+                    if c := contexts.before(a):
                         seen.append({"known": known, "start": a, "end": b, "pattern": xxhash.xxh3_64_intdigest(c) >> 1, "instance": xxhash.xxh3_64_intdigest(t[a:b].lower()) >> 1})
             seen_col.append(seen)
         return [ids, base_col, seen_col]
