@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lexigraph.llm.common import LOWER, SPACE, UPPER
@@ -31,46 +34,60 @@ def _keyed_lines(docs: DataFrame) -> DataFrame:
 
 
 class LineRuns:
-    """Sorted runs of (h1, h2, owner) in levels, as Parquet folders below a shared path.
+    """Sorted runs of (h1, h2, owner) in levels, as bucketed tables whose files lie below a shared path.
 
-    add() takes a batch, merge-anti-joins its keys with all runs and writes what is new as a run of level 0.
-    A level that holds `fanout` runs is compacted into one run of the next level, so that n batches leave
-    O(fanout * log n) runs. A key is in one run only; its owner is the document that brought it first.
+    add() takes a batch, merge-anti-joins its keys with all runs, bucket by bucket, and writes what is new as a
+    run of level 0. A level that holds `fanout` runs is compacted into one run of the next level, so that n
+    batches leave O(fanout * log n) runs. Runs are never dealt again. A key is in one run only; its owner is the document that brought it first.
     Runs are immutable and complete before they are named, so a job that dies leaves the earlier ones valid.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None, fanout: int = FANOUT):
         self.spark, self.path, self.fanout = spark, path or scratch(spark, "line-runs"), fanout
+        self.token = uuid.uuid4().hex[:12]
         self.levels: list[list[str]] = []
+        self.paths: dict[str, str] = {}
         self.made = 0
 
     def _write(self, df: DataFrame, level: int) -> str:
+        """A run: a bucketed table in the shared folder, dealt by (h1, h2) and sorted in each bucket."""
         self.made += 1
-        path = f"{self.path}/level-{level}/run-{self.made}"
-        df.sortWithinPartitions("h1", "h2").write.parquet(path)
-        return path
+        name = f"line_run_{self.token}_{self.made}"
+        self.paths[name] = f"{self.path}/level-{level}/run-{self.made}"
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        writer = df.repartition(buckets, "h1", "h2").write.bucketBy(buckets, "h1", "h2").sortBy("h1", "h2")
+        writer.format("parquet").option("path", self.paths[name]).saveAsTable(name)
+        return name
+
+    def runs(self) -> list[str]:
+        """The names of all runs, the largest first."""
+        return [name for level in reversed(self.levels) for name in level]
 
-    def runs(self) -> DataFrame | None:
-        paths = [p for level in self.levels for p in level]
-        return self.spark.read.schema("h1 long, h2 long, owner long").parquet(*paths) if paths else None
+    def owners(self) -> DataFrame:
+        """(h1, h2, owner) of all runs, read as files: a join with it may be dealt anew, so that adaptive execution can split a hot key."""
+        return self.spark.read.schema("h1 long, h2 long, owner long").parquet(*[self.paths[name] for name in self.runs()])
 
     def add(self, lines: DataFrame) -> None:
         new = lines.groupBy("h1", "h2").agg(F.min("doc").alias("owner"))
-        held = self.runs()
-        if held is not None:
-            new = new.join(held.select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti")
+        for run in self.runs():  # buckets meet buckets: only the new keys are dealt
+            new = new.join(self.spark.table(run).select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti")
         self._push(0, self._write(new, 0))
 
-    def _push(self, level: int, path: str) -> None:
+    def _push(self, level: int, run: str) -> None:
         if level == len(self.levels):
             self.levels.append([])
-        self.levels[level].append(path)
+        self.levels[level].append(run)
         if len(self.levels[level]) >= self.fanout:
-            parts = self.spark.read.schema("h1 long, h2 long, owner long").parquet(*self.levels[level])
-            merged = self._write(parts.repartition("h1", "h2"), level + 1)
+            parts = functools.reduce(DataFrame.union, map(self.spark.table, self.levels[level]))
+            merged = self._write(parts, level + 1)
             self.levels[level] = []
             self._push(level + 1, merged)
 
+    def close(self) -> None:
+        """Forgets the names of the runs; their files stay in the shared folder as long as it does."""
+        for k in range(1, self.made + 1):
+            self.spark.sql(f"DROP TABLE IF EXISTS line_run_{self.token}_{k}")
+
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = BATCHES, fanout: int = FANOUT, keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_lines, n_dropped, kept): every line whose key an earlier document holds is dropped.
@@ -86,19 +103,18 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     spark = docs.sparkSession
     kept_columns = F.struct(*[docs[c] for c in keep]) if keep else F.lit(None)
-    d = docs.select(kept_columns.alias("rest"), F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    cuts = d.agg(F.percentile_approx("doc", [i / batches for i in range(1, batches)], 1000)).first()[0] or []
+    d = docs.select(kept_columns.alias("rest"), docs[id_col].alias("doc_id"), F.coalesce(docs[id_col].cast("long"), F.lit(_LAST)).alias("doc"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    cuts = docs.agg(F.percentile_approx(id_col, [i / batches for i in range(1, batches)], 1000)).first()[0] or []
     runs = LineRuns(spark, fanout=fanout)
     bounds = [None, *sorted(set(cuts)), None]
     for low, high in zip(bounds, bounds[1:]):
-        batch = d
-        if low is not None:
-            batch = batch.where(F.col("doc") > low)
-        if high is not None:
-            batch = batch.where(F.col("doc") <= high)
-        runs.add(_keyed_lines(batch))
+        # ranges of the bare column reach the scan, where they pass over files and row groups
+        within = F.lit(True) if low is None else F.col("doc_id") > low
+        within = within & (F.col("doc_id") <= high) if high is not None else within | F.col("doc_id").isNull()
+        runs.add(_keyed_lines(d.where(within)))
     lines = _keyed_lines(d)
-    again = lines.join(runs.runs().hint("merge"), ["h1", "h2"]).where(F.col("doc") > F.col("owner"))
+    again = lines.join(runs.owners().hint("merge"), ["h1", "h2"]).where(F.col("doc") > F.col("owner"))
+    runs.close()
     drops = again.groupBy("doc", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("drops")).select(F.col("doc").alias("d_doc"), F.col("text_hash").alias("d_hash"), "drops")
     d = d.withColumn("text_hash", F.xxhash64("text"))
     d = d.join(drops, (F.col("doc") == F.col("d_doc")) & (F.col("text_hash") == F.col("d_hash")), "left")
