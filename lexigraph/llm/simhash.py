@@ -143,6 +143,8 @@ def fingerprint_links(fps: DataFrame, bits: int = BITS) -> DataFrame:
     Each fingerprint sends one row for each start of the ring and each key within its budget; rows are dealt
     and sorted by key, and a task reads them as a stream, one key at a time.
     """
+    # so many rows come from each fingerprint that they are made in all tasks, however small the table
+    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     probes = fps.select("fp", F.explode(_chain_keys(F.col("fp"), bits)).alias("k")).select("fp", "k.start", "k.key", "k.exact")
     probes = probes.repartition("start", "key").sortWithinPartitions("start", "key", "fp")
     masks = _chain_masks(bits)
@@ -374,11 +376,14 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     all its ids are null; repeated rows give a row each. An empty table gives an empty result.
     """
     prints = checkpointed(fingerprints(docs, id_col, text_col, words))
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    parts = connected_components(fingerprint_links(nodes.select("fp"), bits))
-    named = nodes.join(parts, nodes["fp"] == parts["node"], "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
-    least = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    of_fp = named.join(least, "component").select("fp", "component_id")
+    # a fingerprint is named by its first document, so that the name of a component is its smallest id
+    name = F.struct(F.min("doc_id").isNull().alias("none"), F.min("doc_id").alias("first"), F.col("fp"))
+    nodes = checkpointed(prints.groupBy("fp").agg(name.alias("node")))
+    links = fingerprint_links(nodes.select("fp"), bits)
+    for end in ("src", "dst"):
+        links = links.join(nodes.select(F.col("fp").alias(end), F.col("node").alias(f"{end}_node")), end)
+    parts = connected_components(links, "src_node", "dst_node").select(F.col("node.fp").alias("fp"), F.col("component.first").alias("other"))
+    of_fp = nodes.join(parts, "fp", "left").select("fp", F.coalesce("other", "node.first").alias("component_id"))
     return prints.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
