@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from lexigraph.llm import lines, mixing, queries, simhash, substrings
 from tests.compare import compare, connect
@@ -52,7 +53,7 @@ def test_runs_are_compacted(spark):
     for i in range(5):
         runs.add(spark.createDataFrame([(i, i, i, k, k) for k in range(i, i + 3)], "doc long, text_hash long, pos int, h1 long, h2 long"))
     assert [len(x) for x in runs.levels] == [1, 0, 1]
-    assert sorted((r.h1, r.owner) for r in runs.runs().collect()) == [(0, 0), (1, 0), (2, 0), (3, 1), (4, 2), (5, 3), (6, 4)]
+    assert sorted((r.h1, r.owner) for r in runs.owners().collect()) == [(0, 0), (1, 0), (2, 0), (3, 1), (4, 2), (5, 3), (6, 4)]
 
 
 def brute_repeats(rows, n):
@@ -78,12 +79,36 @@ def test_substring_dedup(spark):
     rows += [(60, rows[3][1]), (61, None), (62, ""), (63, rows[4][1][:99]), (64, "q" + rows[4][1][1:]), (65, rows[5][1] * 2)]
     got = substrings.remove_repeats(table(spark, random.sample(rows, len(rows))))
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got.collect()) == brute_repeats(rows, 100)
+    # rows of one id and text are one document; different texts of one id follow each other
     twice = [(1, rows[4][1]), (1, rows[4][1]), (None, rows[4][1])]
     got = substrings.remove_repeats(table(spark, twice)).collect()
-    assert sorted((r.doc_id or 0, r.n_removed > 0) for r in got) == [(0, True), (1, False), (1, True)]
+    assert sorted((r.doc_id or 0, r.n_removed > 0) for r in got) == [(0, True), (1, False), (1, False)]
+    other = [(1, rows[4][1]), (1, rows[4][1] + "tail"), (2, rows[4][1])]
+    got = substrings.remove_repeats(table(spark, other)).collect()
+    assert sorted((r.doc_id, r.n_removed > 0) for r in got) == [(1, False), (1, True), (2, True)]
     assert substrings.remove_repeats(table(spark, [])).count() == 0
 
 
+def test_substrings_in_several_cells(spark, monkeypatch):
+    """One trigger with many different phrases: its cells are sorted apart and merged by their letters."""
+    monkeypatch.setattr(substrings, "CELL", 8)
+    random.seed(16)
+    common = "".join(random.choice("abcdefgh ") for _ in range(90))
+    tails = ["".join(random.choice("xyz") for _ in range(40)) for _ in range(12)]
+    rows = [(i, random.choice(tails)[: random.randint(5, 40)] + common + random.choice(tails)[: random.randint(5, 40)]) for i in range(150)]
+    got = substrings.remove_repeats(table(spark, rows)).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == brute_repeats(rows, 100)
+
+
+def test_many_rows_of_one_id(spark):
+    """20,000 rows with one id and 20,000 without: every row but the first of a kind loses its passage."""
+    passage = "".join(random.Random(3).choice("abcdefgh ") for _ in range(130))
+    n = 20_000
+    ids = spark.range(2 * n).select(F.when(F.col("id") < n, 7).cast("long").alias("doc_id"), F.concat_ws(" ", F.col("id") % n, F.lit(passage), F.when(F.col("id") >= n, "no id")).alias("text"))
+    got = substrings.remove_repeats(ids).groupBy("doc_id").agg(F.count("*").alias("n"), F.sum((F.col("n_removed") >= 130).cast("int")).alias("cut"))
+    assert {(r.doc_id, r.n, r.cut) for r in got.collect()} == {(7, n, n - 1), (None, n, n)}
+
+
 def brute_components(fps, bits):
     ids = list(fps)
     parent = {i: i for i in ids}
