@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lexigraph.llm import bpe, lines, mixing, quality, simhash
 from lexigraph.session import written
 
-#: Near-duplicates of the pipeline: shingles of five words, fingerprints at ten or fewer differing bits, Jaccard similarity of 0.8 or more.
-NEAR_WORDS, NEAR_BITS, NEAR_SIMILARITY = 5, 10, 0.8
+#: Near-duplicates of the pipeline: shingles of five words, Jaccard similarity of 0.8 or more; fingerprints at four or fewer differing bits are the first candidates.
+NEAR_WORDS, NEAR_BITS, NEAR_SIMILARITY = 5, 4, 0.8
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,17 +14,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lexigraph.llm.common import map_columns
+from lexigraph.llm.common import free_name, map_columns
 from lexigraph.operators.graph import connected_components
 from lexigraph.session import checkpointed, written
 
 WORDS, BITS, SEED = 4, 4, 42
-#: Rows of a shingle that are compared with all others of it at once; results do not depend on it.
+#: Rows that a shingle may have to be worked together with others; results do not depend on it.
 PART = 64
 #: Documents that tell which shingles are frequent, and how many such shingles are told apart.
 SAMPLE, FREQUENT = 4096, 1 << 16
+#: Sets of a shingle that the others are compared with before all of them are; results do not depend on it.
+HUBS = 8
 #: Comparisons that a task makes at once.
 BLOCK = 1 << 20
 _ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -240,10 +242,76 @@ def _prefixes(docs: DataFrame, words: int, similarity: float) -> DataFrame:
     return map_columns(docs, run, "doc long, fp long, n int, key long, prefix array<long>")
 
 
-def _keyed_blocks(rows: DataFrame, names: list[str], func, schema: str) -> DataFrame:
-    """rows are dealt and sorted by the first of names; func gets the columns of each run of two or more equal values and gives columns of schema."""
-    rows = rows.select(*names).repartition(names[0]).sortWithinPartitions(names[0], names[1])
-    out_names = [x.split()[0] for x in schema.split(", ")]
+def _allowed(n, at, m, bt, similarity: float, least, ceil):
+    """Whether sets of n and m shingles that share the shingle at places at and bt may be similar enough, and how many shingles their prefixes must then share.
+
+    What is common lies before the shingle or from there on, and of common shingles those outside of what the
+    prefixes share come after the prefix that ends first. For columns as for arrays, by their least and ceil.
+    """
+    share = similarity / (1 + similarity)
+    larger = n + m - least(n, m)
+    good = (least(at, bt) + least(n - at, m - bt) >= share * (n + m) - 1e-6) & (least(n, m) >= similarity * larger - 1e-6)
+    return good, ceil(share * (n + m) - (ceil(similarity * larger - 1e-9) - 1) - 1e-6)
+
+
+def _hub_pairs(rows: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): each set beside the hubs that its prefix shares most with. Hubs of a shingle are the sets that have it and come first in HUBS different orders.
+
+    HUBS pairs a set at most, so that a dense group becomes one component without pairs of all its members. A
+    hub may lack some of the shingles that are shared, so half of what must be shared is enough here.
+    """
+    first = [F.min(F.struct(F.xxhash64("key", F.lit(i)).alias("order"), "key", "n", "at", "component")) for i in range(HUBS)]
+    hubs = rows.groupBy("shingle").agg(F.array(*first).alias("hubs"))
+    hubs = hubs.select("shingle", F.array_distinct(F.transform("hubs", lambda h: h.dropFields("order"))).alias("hubs"))
+    met = rows.join(hubs, "shingle").select("key", "n", "at", "component", F.explode("hubs").alias("hub")).where("component <> hub.component")
+    good, need = _allowed(F.col("n"), F.col("at"), F.col("hub.n"), F.col("hub.at"), similarity, F.least, F.ceil)
+    pairs = met.where(good).select(F.col("hub.key").alias("a"), F.col("key").alias("b"), need.alias("need"))
+    pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("need").alias("need")).where("2 * shared >= need")
+    best = F.slice(F.sort_array(F.collect_list(F.struct("shared", "a")), asc=False), 1, HUBS)
+    pairs = pairs.groupBy("b").agg(best.alias("best")).select("b", F.explode("best.a").alias("a"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _across(cols: list[np.ndarray], similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(a, b, need) of the pairs of one shingle that are not in one component. cols: key, n, at, component of its rows.
+
+    Rows of the largest component are only compared with others, so a dense group costs no pairs of its own.
+    """
+    key, n, at, component = cols
+    names, of = np.unique(component, return_inverse=True)
+    if len(names) < 2:
+        return
+    mine = np.flatnonzero(of != np.bincount(of).argmax())
+    step = max(1, BLOCK // len(key))
+    for i in range(0, len(mine), step):
+        r = mine[i : i + step, None]
+        good, need = _allowed(n[r], at[r], n[None, :], at[None, :], similarity, np.minimum, np.ceil)
+        x, y = np.nonzero(good & (of[r] != of[None, :]))
+        need = need[x, y]
+        x = mine[i + x]
+        # a pair of two rows that are both compared with all is met from both: it is given by the one with the smaller key
+        once = (key[x] < key[y]) | ~np.isin(y, mine)
+        x, y, need = x[once], y[once], need[once]
+        yield np.minimum(key[x], key[y]), np.maximum(key[x], key[y]), need
+
+
+def _few(cols: list[np.ndarray], starts: np.ndarray, sizes: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for many shingles of few rows at once."""
+    key, n, at, component = cols
+    later = np.concatenate([np.arange(k - 1, -1, -1) for k in sizes]) if len(sizes) else np.empty(0, np.int64)
+    rows = np.repeat(starts, sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    x = np.repeat(rows, later)
+    y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(later) - later, later)
+    apart = component[x] != component[y]
+    x, y = x[apart], y[apart]
+    good, need = _allowed(n[x], at[x], n[y], at[y], similarity, np.minimum, np.ceil)
+    x, y, need = x[good], y[good], need[good]
+    return np.minimum(key[x], key[y]), np.maximum(key[x], key[y]), need
+
+
+def _pairs_across(rows: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): all pairs of sets in different components whose prefixes share enough. rows (shingle, key, n, at, component) are dealt and sorted by shingle and read as a stream."""
+    rows = rows.select("shingle", "key", "n", "at", "component").repartition("shingle").sortWithinPartitions("shingle", "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
@@ -252,7 +320,7 @@ def _keyed_blocks(rows: DataFrame, names: list[str], func, schema: str) -> DataF
             if not len(cols[0]):
                 continue
             if cols[0][-1] == (held[0][0][0] if held else cols[0][0]):
-                held.append(cols)  # one value may fill many batches
+                held.append(cols)  # one shingle may fill many batches
                 continue
             cols = [np.concatenate(x) for x in zip(*held, cols)]
             last = int(np.searchsorted(cols[0], cols[0][-1]))
@@ -262,47 +330,18 @@ def _keyed_blocks(rows: DataFrame, names: list[str], func, schema: str) -> DataF
             yield from blocks([np.concatenate(x) for x in zip(*held)])
 
     def blocks(cols):
-        cuts = np.flatnonzero(np.diff(cols[0])) + 1
-        a, b = np.concatenate([[0], cuts]), np.append(cuts, len(cols[0]))
-        several = b - a > 1
-        for i, j in zip(a[several].tolist(), b[several].tolist()):
-            for made in func([c[i:j] for c in cols]):
-                if len(made[0]):
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], names=out_names)
-
-    return rows.mapInArrow(run, schema)
-
-
-def _across(similarity: float):
-    """Pairs of one shingle that are not in one component yet and whose sizes and places of the shingle allow the similarity, and how many shingles their prefixes must share.
-
-    Of common shingles, those outside of what the prefixes share come after the prefix that ends first. Rows of the largest component are only compared with others, so a dense group costs no pairs of its own.
-    """
-    share = similarity / (1 + similarity)
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(cols[0])) + 1, [len(cols[0])]])
+        starts, sizes = cuts[:-1], np.diff(cuts)
+        few = (sizes > 1) & (sizes <= PART)
+        made = [_few(cols[1:], starts[few], sizes[few], similarity)]
+        for i, k in zip(starts[sizes > PART].tolist(), sizes[sizes > PART].tolist()):
+            made += _across([c[i : i + k] for c in cols[1:]], similarity)
+        for x in made:
+            if len(x[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(x[0]), pa.array(x[1]), pa.array(x[2].astype(np.int32))], names=["a", "b", "need"])
 
-    def pairs(cols):
-        _, key, n, at, component = cols
-        names, of = np.unique(component, return_inverse=True)
-        if len(names) < 2:
-            return
-        mine = np.flatnonzero(of != np.bincount(of).argmax())
-        step = max(1, min(PART, BLOCK // len(key)))
-        for i in range(0, len(mine), step):
-            r = mine[i : i + step, None]
-            # what may be common before the shingle and from there on
-            most = np.minimum(at[r], at[None, :]) + np.minimum(n[r] - at[r], (n - at)[None, :])
-            good = (of[r] != of[None, :]) & (most >= share * (n[r] + n[None, :]) - 1e-6)
-            good &= np.minimum(n[r], n[None, :]) >= similarity * np.maximum(n[r], n[None, :]) - 1e-6
-            x, y = np.nonzero(good)
-            x = mine[i + x]
-            rest = np.ceil(similarity * np.maximum(n[x], n[y]) - 1e-9) - 1
-            need = np.ceil(share * (n[x] + n[y]) - rest - 1e-6).astype(np.int32)
-            # a pair of two rows that are both compared with all is met from both: it is given by the one with the smaller hash
-            once = (key[x] < key[y]) | ~np.isin(y, mine)
-            x, y, need = x[once], y[once], need[once]
-            yield [np.minimum(key[x], key[y]), np.maximum(key[x], key[y]), need]
-
-    return pairs
+    met = rows.mapInArrow(run, "a long, b long, need int")
+    return met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("need").alias("need")).where("shared >= need").select("a", "b")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
@@ -335,11 +374,12 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """The rows of docs that have the smallest id of their group of near-duplicates.
 
     Groups are the components of all pairs whose sets of shingles have a Jaccard similarity of at least
-    `similarity`; the pairs are complete. Equal sets are one node. Fingerprints at `bits` or fewer differing
-    bits give a forest of first candidates, which joins most of a dense group; what is still apart meets by the
-    shingles of its prefix. All candidates are tested on their texts, as rows: no group is gathered in one task,
-    and `bits` and the size of a group change the work only. Rows with equal ids stay or go together; rows
-    without id stay; empty texts are copies of each other. An empty table gives an empty result.
+    `similarity`; the pairs are complete. Equal sets are one node. Candidates come in three rounds, each among
+    what is still in different components: fingerprints at `bits` or fewer differing bits as a forest; each
+    set beside one hub of every shingle of its prefix; and all pairs that share enough of their prefixes. All
+    candidates are tested on their texts, as rows: no group is gathered in one task, and `bits` and the size
+    of a group change the work only. Rows with equal ids stay or go together; rows without id stay; empty
+    texts are copies of each other. An empty table gives an empty result; columns of any name are kept.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
     prints = checkpointed(_prefixes(texts, words, similarity))
@@ -352,20 +392,26 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     tried = checkpointed(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     links = _verified(tried, sets, texts, words, similarity)
 
-    parts = connected_components(links, "a", "b").withColumnRenamed("node", "key")
-    one = sets.join(parts, "key", "left")
-    rows = one.select("key", "n", F.coalesce("component", "key").alias("component"), F.posexplode("prefix").alias("at", "shingle"))
-    met = _keyed_blocks(rows, ["shingle", "key", "n", "at", "component"], _across(similarity), "a long, b long, need int")
-    met = met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("need").alias("need")).where("shared >= need").select("a", "b")
-    links = links.union(_verified(met.join(tried, ["a", "b"], "left_anti"), sets, texts, words, similarity))
+    rows = sets.select("key", "n", F.posexplode("prefix").alias("at", "shingle"))
+    rows = checkpointed(rows.withColumn("sets", F.count("*").over(Window.partitionBy("shingle"))).where("sets > 1").drop("sets"))
+    for candidates in (_hub_pairs, _pairs_across):
+        parts = connected_components(links, "a", "b").withColumnRenamed("node", "key")
+        apart = rows.join(parts, "key", "left").withColumn("component", F.coalesce("component", "key"))
+        met = checkpointed(candidates(apart, similarity).join(tried, ["a", "b"], "left_anti"))
+        links = links.union(_verified(met, sets, texts, words, similarity))
+        tried = tried.union(met)
 
     same_id = prints.groupBy("doc").agg(F.collect_set("key").alias("keys")).where(F.size("keys") > 1)
     links = links.union(same_id.select(F.array_min("keys").alias("a"), F.explode("keys").alias("b")).where("a <> b"))
-    parts = connected_components(links, "a", "b")
-    named = prints.select("doc", "key").join(parts, F.col("key") == F.col("node"), "left").select("doc", F.coalesce("component", "key").alias("component"))
-    least = named.groupBy("component").agg(F.min("doc").alias("least"))
-    gone = named.join(least, "component").where("doc > least").select(F.col("doc").alias("gone")).distinct()
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("gone"), "left_anti")
+    # a set is named by its first document, so that the name of a component is its smallest id
+    name = sets.select("key", F.struct("doc", "key").alias("name"))
+    for end in ("a", "b"):
+        links = links.join(name.select(F.col("key").alias(end), F.col("name").alias(f"{end}_name")), end)
+    parts = connected_components(links, "a_name", "b_name").select(F.col("node.key").alias("key"), F.col("component.doc").alias("other"))
+    least = sets.select("key", "doc").join(parts, "key", "left").select("key", F.coalesce("other", "doc").alias("least"))
+    gone = free_name("gone", docs)
+    lost = prints.select("doc", "key").join(least, "key").where("doc > least").select(F.col("doc").alias(gone)).distinct()
+    return docs.join(lost, F.col(id_col).cast("long") == F.col(gone), "left_anti")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, bits: int = BITS) -> DataFrame:
