@@ -19,12 +19,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lexigraph.llm.common import pieces
+from lexigraph.session import written
 
 LENGTH, GRAM = 100, 32
 #: Bytes of text that a task hashes at once (a longer text is one piece).
 PIECE = 1 << 19
 #: Phrases of a trigger whose suffixes one array holds; a trigger with more has several cells, whose arrays are merged.
-CELL = 4096
+CELL = 512
 #: Letters of the phrases whose suffixes a task sorts at once.
 SORTED = 1 << 18
 _LAST = 2**63 - 1
@@ -247,7 +248,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     mark = F.col("at").bitwiseAND(F.lit(~15).cast("long")).bitwiseOR((F.col("flags") + split).cast("long"))
     cell = F.when(F.col("cells") > 1, F.xxhash64("trigger", F.pmod(F.shiftright("phrase", 16), "cells"))).otherwise(F.col("trigger"))
     marks = parsed.select("doc", "row", F.when(F.col("repeated"), mark).alias("sure"), F.when(~F.col("repeated"), F.struct(mark.alias("mark"), cell.alias("cell"))).alias("open"))
-    state = marks.groupBy("doc", "row").agg(F.collect_list("sure").alias("sure"), F.collect_list("open").alias("open"))
+    state = written(marks.groupBy("doc", "row").agg(F.collect_list("sure").alias("sure"), F.collect_list("open").alias("open")), "repeats")
 
     def letters(piece):
         out: list[list] = [[] for _ in range(5)]
