@@ -382,8 +382,8 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     texts are copies of each other. An empty table gives an empty result; columns of any name are kept.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
-    prints = checkpointed(_prefixes(texts, words, similarity))
-    sets = checkpointed(prints.groupBy("key").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("prefix").alias("prefix")))
+    prints = written(_prefixes(texts, words, similarity), "near-sets")
+    sets = written(prints.groupBy("key").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("fp").alias("fp")), "near-nodes")
 
     of_fp = sets.groupBy("fp").agg(F.min("key").alias("first"))
     near = fingerprint_links(of_fp.select("fp"), bits)
@@ -392,8 +392,11 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     tried = checkpointed(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     links = _verified(tried, sets, texts, words, similarity)
 
-    rows = sets.select("key", "n", F.posexplode("prefix").alias("at", "shingle"))
-    rows = checkpointed(rows.withColumn("sets", F.count("*").over(Window.partitionBy("shingle"))).where("sets > 1").drop("sets"))
+    # of copies one row sends its prefix, and a shingle of one set finds nobody; size and place of a row are one number
+    rows = prints.join(sets.select("key", "doc"), ["key", "doc"]).dropDuplicates(["key", "doc"]).select("key", F.shiftleft(F.col("n").cast("long"), 32).alias("n"), F.posexplode("prefix").alias("at", "shingle"))
+    rows = rows.select("shingle", "key", (F.col("n") + F.col("at")).alias("place"))
+    rows = rows.withColumn("sets", F.count("*").over(Window.partitionBy("shingle"))).where("sets > 1")
+    rows = written(rows.select("shingle", "key", F.shiftright("place", 32).cast("int").alias("n"), F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("at")), "near-rows")
     for candidates in (_hub_pairs, _pairs_across):
         parts = connected_components(links, "a", "b").withColumnRenamed("node", "key")
         apart = rows.join(parts, "key", "left").withColumn("component", F.coalesce("component", "key"))
