@@ -6,9 +6,9 @@ from pyspark.sql import Column, functions as F
 
 from lexigraph.functions.text import digits_eastern, digits_western
 
-# The tabular calendar, and the diameter of the earth in km.
+# Chronological days of 1 January 1 (Julian), of the Gregorian reform and of 1 January 1970, and the diameter of the earth in km.
+JULIAN_YEAR_1, GREGORIAN_FROM, UNIX_EPOCH = 1721424, 2299161, 2440588
 EARTH_KM = 12742.0
-ROMAN = ((1000, "M"), (900, "CM"), (500, "D"), (400, "CD"), (100, "C"), (90, "XC"), (50, "L"), (40, "XL"), (10, "X"), (9, "IX"), (5, "V"), (4, "IV"), (1, "I"))
 #: Spelled numbers in English, the language pack of the queries; another language is another map.
 ONES = {"one": 1, "two": 2, "three": 3, "four": 4, "five": 5, "six": 6, "seven": 7, "eight": 8, "nine": 9}
 TENS = {"ten": 10, "twenty": 20, "thirty": 30, "forty": 40, "fifty": 50, "sixty": 60, "seventy": 70, "eighty": 80, "ninety": 90}
@@ -27,15 +27,10 @@ def hijri_to_julian_day(h: Column) -> Column:
 
 
 def hijri_to_gregorian(h: Column) -> Column:
-    """The year AD in which a year AH begins: Julian before 1582, Gregorian from then on."""
-    z = hijri_to_julian_day(h)
-    century = _div(z - 1867216.25, 36524.25)
-    z = F.when(z >= 2299161, z + 1 + century - _div(century, 4)).otherwise(z)
-    b = z + 1524
-    c = _div(b - 122.1, 365.25)
-    e = _div(b - _div(c * 365.25, 1), 30.6001)
-    month = F.when(e < 14, e - 1).otherwise(e - 13)
-    return F.when(month > 2, c - 4716).otherwise(c - 4715).cast("long")
+    """The year AD in which a year AH begins: Julian, four years of 365 days and a leap day, up to 1582, Gregorian from then on."""
+    day = hijri_to_julian_day(h)
+    julian = _div(4 * (day - JULIAN_YEAR_1) + 3, 1461) + 1
+    return F.when(day < GREGORIAN_FROM, julian).otherwise(F.year(F.date_from_unix_date((day - UNIX_EPOCH).cast("int")))).cast("long")
 
 
 def common_era(h: Column) -> Column:

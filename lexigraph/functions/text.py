@@ -7,6 +7,9 @@ from pyspark.sql import Column, functions as F
 # Letters and marks of the scripts that the keys unify.
 MARKS = "ؐ-ًؚ-ٰٟۖ-ۭ"
 SHORT_VOWELS = "ً-ْٰـ"
+TITLE_MARKS = "ًٌٍَُِّْٰـ"
+TITLE_FROM, TITLE_TO = "إأآٱىةؤئ", "اااايهوي"
+TITLE_ARTICLE, TITLE_JOINED_ARTICLE, TITLE_CASE_VOWEL = "^e[lsntdrz]$", "(?<=[a-z])[lstdrzn]$", "(?<=...)[iue]$"
 ALEF_FROM, ALEF_TO = "أإآٱىئؤةکی", "ااااييوهكي"
 LATIN_FROM, LATIN_TO = "âîûāīūşçğıöüḥṣṭẓḍġáàäãåéèêëíìïóòôõúùñý", "aiuaiuscgiouhstzdgaaaaaeeeeiiioooouuny"
 EASTERN, WESTERN = "٠١٢٣٤٥٦٧٨٩", "0123456789"
@@ -40,24 +43,29 @@ def fold_latin(c: Column) -> Column:
     return F.trim(F.regexp_replace(bare, "[^a-z0-9]+", " "))
 
 
-def _title_words(words: Column, stop: tuple[str, ...], shorten) -> Column:
-    kept = F.filter(words, lambda w: (w != "") & ~w.isin(*stop))
-    return F.array_join(F.transform(kept, shorten), " ")
-
-
 def title_key_arabic(c: Column) -> Column:
-    """Key of an Arabic title: unified letters, stop words and the article off."""
-    bare = F.translate(F.regexp_replace(c, f"[{SHORT_VOWELS}]", ""), "إأآٱىةؤئ", "ااااي" + "هوي")
-    words = F.split(squeeze(F.regexp_replace(bare, "[^ء-ي]", " ")), " ")
-    return _title_words(words, TITLE_STOP_AR, lambda w: F.when(w.startswith("ال") & (F.length(w) > 3), F.substring(w, 3, 10_000)).otherwise(w))
+    """Key of an Arabic title: its words in unified letters, without stop words, each without the article before two or more letters."""
+    words = F.regexp_extract_all(F.translate(c, TITLE_FROM + TITLE_MARKS, TITLE_TO), F.lit("[ء-ي]+"), F.lit(0))
+    return F.array_join(F.transform(F.filter(words, lambda w: ~w.isin(*TITLE_STOP_AR)), lambda w: F.regexp_replace(w, "^ال(?=..)", "")), " ")
 
 
 def title_key_latin(c: Column) -> Column:
-    """Key of a transliterated title: folded, articles cut at their hyphens, stop words and final vowels off."""
-    bare = F.translate(F.lower(c), LATIN_FROM + QUOTES, LATIN_TO)
-    bare = F.regexp_replace(F.regexp_replace(bare, r"\b(e[lsntdrz]|es|et)-", ""), r"([a-z])[lstdrzn]-", "$1 ")
-    words = F.split(squeeze(F.regexp_replace(bare, "[^a-z]", " ")), " ")
-    return _title_words(words, TITLE_STOP_LATIN, lambda w: F.when(F.length(w) > 3, F.regexp_replace(w, "[iue]$", "")).otherwise(w))
+    """Key of a transliterated title.
+
+    What stands before a hyphen is an article, alone or as the last letter of a word that it is joined to, and
+    is dropped; of the words that are left, stop words go and longer ones lose a final case vowel.
+    """
+    tokens = F.regexp_extract_all(F.translate(F.lower(c), LATIN_FROM + QUOTES, LATIN_TO), F.lit("[a-z0-9_-]+"), F.lit(0))
+
+    def before_hyphen(part: Column) -> Column:
+        return F.when(part.rlike(TITLE_ARTICLE), "").otherwise(F.regexp_replace(part, TITLE_JOINED_ARTICLE, ""))
+
+    def parts(token: Column) -> Column:
+        split = F.split(token, "-")
+        return F.concat(F.transform(F.slice(split, F.lit(1), F.size(split) - 1), before_hyphen), F.slice(split, -1, 1))
+
+    words = F.regexp_extract_all(F.array_join(F.flatten(F.transform(tokens, parts)), " "), F.lit("[a-z]+"), F.lit(0))
+    return F.array_join(F.transform(F.filter(words, lambda w: ~w.isin(*TITLE_STOP_LATIN)), lambda w: F.regexp_replace(w, TITLE_CASE_VOWEL, "")), " ")
 
 
 def title_key(c: Column) -> Column:

@@ -46,19 +46,16 @@ def tokens(df: DataFrame, text: str, pattern: str = r"[\p{L}\p{N}]+") -> DataFra
 def gazetteer_hits(df: DataFrame, id_col: str, text: str, names: DataFrame, most: int = 4) -> DataFrame:
     """(id, pos, n, name, place): names (name, place) found in texts, the longest of up to `most` words at each place.
 
-    Word n-grams of a text meet the names in an equi-join; names are keys of one to `most` words joined by blanks.
+    Names are keys of one to `most` words joined by blanks. They are grouped by their first word, so that a
+    token meets them once, and only where it begins a name are the words behind it put together.
     """
-    w = df.select(F.col(id_col).alias("id"), F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)).alias("w"))
-    w = w.where(F.size("w") > 0)
-
-    def grams_of(n: int) -> Column:
-        made = F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.struct((i - 1).alias("pos"), F.lit(n).alias("n"), F.array_join(F.slice("w", i, n), " ").alias("name")))
-        return F.when(F.size("w") >= n, made).otherwise(F.array().cast("array<struct<pos:int,n:int,name:string>>"))
-
-    # exploded as finished n-grams: no row carries its whole text
-    grams = w.select("id", F.explode(F.concat(*map(grams_of, range(1, most + 1)))).alias("g")).select("id", "g.pos", "g.n", "g.name")
-    met = grams.join(names, "name")
-    return met.groupBy("id", "pos").agg(F.max_by(F.struct("n", "name", "place"), "n").alias("x")).select("id", "pos", "x.n", "x.name", "x.place")
+    first = names.select(F.split("name", " ").alias("w"), "name", "place").where(F.size("w") <= most)
+    heads = first.groupBy(F.col("w")[0].alias("head")).agg(F.collect_list(F.struct(F.size("w").alias("n"), "name", "place")).alias("names"))
+    w = df.select(F.col(id_col).alias("id"), F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)).alias("w")).where(F.size("w") > 0)
+    places = F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.struct((i - 1).alias("pos"), F.element_at("w", i).alias("head"), F.slice("w", i, most).alias("run")))
+    met = w.select("id", F.explode(places).alias("p")).select("id", "p.pos", "p.head", "p.run").join(heads, "head")
+    fits = F.filter("names", lambda x: F.array_join(F.slice("run", F.lit(1), x["n"]), " ") == x["name"])
+    return met.select("id", "pos", F.array_max(fits).alias("x")).where("x is not null").select("id", "pos", "x.n", "x.name", "x.place")
 
 
 def window_hits(triggers: DataFrame, places: DataFrame, reach: int) -> DataFrame:

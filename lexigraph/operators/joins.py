@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lexigraph.operators.sequences import numbered
+from lexigraph.session import written
+
 
 def range_join(points: DataFrame, ranges: DataFrame, at: str, low: str, high: str, width: float, on: list[str] | None = None) -> DataFrame:
     """Rows of points beside the rows of ranges with low <= at <= high and equal `on` columns.
@@ -60,3 +67,52 @@ def nearest(points: DataFrame, nodes: DataFrame, id_col: str, node_col: str, dis
     if keep is not None:
         met = met.where(F.col("km") <= keep)
     return met.groupBy(id_col).agg(F.min_by(node_col, F.struct("km", node_col)).alias(node_col), F.min("km").alias("km"))
+
+
+def nearest_vectors(df: DataFrame, id_col: str, vector_col: str, is_query: Column, k: int, block: int = 2048) -> DataFrame:
+    """(query, id, similarity): for each row of df that is a query the k rows of other ids with the largest cosine, by similarity to six digits and then by smaller id.
+
+    Every query meets every row: queries travel in blocks of at most `block` vectors, each block to all
+    partitions, which keep their best k and send only those. Vectors without length have similarity 0. An
+    array of null or a null vector is no row. Ties go to the smaller id; repeated ids are one query each.
+    """
+    spark = df.sparkSession
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).where("id is not null and v is not null")
+    queries = numbered(rows.where(is_query), [F.col("id")], "n").withColumn("block", F.floor((F.col("n") - 1) / block))
+    queries = written(queries.select("block", "id", "v"), "queries")
+    found = []
+    for b in range(1 + (queries.agg(F.max("block")).first()[0] if not queries.isEmpty() else -1)):
+        held = queries.where(F.col("block") == b).collect()
+        shared = spark.sparkContext.broadcast((np.array([r["id"] for r in held], np.int64), _unit(np.array([r["v"] for r in held], float))))
+        found.append(written(rows.mapInArrow(_best_of(shared, k), "query long, id long, similarity double"), "nearest"))
+    if not found:
+        return spark.createDataFrame([], "query long, id long, similarity double")
+    best = Window.partitionBy("query").orderBy(F.desc("similarity"), "id")
+    return functools.reduce(DataFrame.union, found).withColumn("n", F.row_number().over(best)).where(F.col("n") <= k).drop("n")
+
+
+def _unit(v: np.ndarray) -> np.ndarray:
+    size = np.linalg.norm(v, axis=1, keepdims=True)
+    return v / np.where(size > 0, size, 1.0)
+
+
+def _best_of(shared, k: int):
+    """The best k rows of a partition for each query of a block, batch after batch."""
+
+    def run(batches):
+        names, queries = shared.value
+        ids = np.empty((len(names), 0), np.int64)
+        near = np.empty((len(names), 0))
+        for batch in (b.slice(i, 1024) for b in batches for i in range(0, b.num_rows, 1024)):
+            mine = batch["id"].to_numpy()
+            vectors = np.vstack(batch["v"].to_numpy(zero_copy_only=False))
+            s = np.round(queries @ _unit(vectors).T, 6)
+            s[names[:, None] == mine[None, :]] = -2.0
+            ids = np.concatenate([ids, np.broadcast_to(mine, s.shape)], axis=1)
+            near = np.concatenate([near, s], axis=1)
+            order = np.lexsort((ids, -near), axis=1)[:, :k]
+            ids, near = np.take_along_axis(ids, order, 1), np.take_along_axis(near, order, 1)
+        real = near > -2.0
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(names, ids.shape[1])[real.ravel()]), pa.array(ids[real]), pa.array(near[real])], names=["query", "id", "similarity"])
+
+    return run

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from lexigraph.session import written
+
 
 def gaps(df: DataFrame, key: list[str], number: str) -> DataFrame:
     """(key, number): the integers between a key's least and greatest number that it lacks."""
@@ -61,10 +65,28 @@ def lanes(df: DataFrame, key: list[str], start: str, end: str, id_col: str) -> D
     return df.groupBy(*key).applyInPandas(pack, T.StructType([*df.schema.fields, T.StructField("lane", T.LongType())]))
 
 
+def numbered(df: DataFrame, order: list[Column], name: str, key: tuple[str, ...] = ()) -> DataFrame:
+    """Adds the number of each row, from 1, in `order` over the whole table, or over the rows of its key.
+
+    No window holds a table or a key: rows are dealt by ranges of the order and written, a range is one window,
+    and the counts of the ranges before it (a row a partition) are added. Rows that `order` leaves equal are
+    numbered in any order.
+    """
+    full = [*map(F.col, key), *order]
+    dealt = written(df.repartitionByRange(*full).withColumn("_part", F.spark_partition_id()), "ranges")
+    counts = dealt.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    out = dealt.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.row_number().over(Window.partitionBy("_part").orderBy(*full))).drop("_part", "_before")
+    if key:
+        first = out.groupBy(*[F.col(k).alias(f"_key_{k}") for k in key]).agg(F.min(name).alias("_first"))
+        same = functools.reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in key])
+        out = out.join(first, same).select(*df.columns, (F.col(name) - F.col("_first") + 1).alias(name))
+    return out
+
+
 def columns(df: DataFrame, key: list[str], order: list[Column], height: int) -> DataFrame:
     """Adds col and row: rank in the key divided by the height, and the rest."""
-    n = F.row_number().over(Window.partitionBy(*key).orderBy(*order)) - 1
-    return df.withColumn("_n", n.cast("long")).withColumn("col", F.floor(F.col("_n") / height).cast("long")).withColumn("row", F.col("_n") % height).drop("_n")
+    return numbered(df, order, "_n", tuple(key)).withColumn("_n", F.col("_n") - 1).withColumn("col", F.floor(F.col("_n") / height).cast("long")).withColumn("row", F.col("_n") % height).drop("_n")
 
 
 def running_numbers(df: DataFrame, key: list[str], order: str, numbers: str, most: int = 6) -> DataFrame:

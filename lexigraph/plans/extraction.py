@@ -74,15 +74,22 @@ def _(t):
 
 
 def names(t):
-    """One- and two-word names: frequent English words of the corpus stand in for a gazetteer."""
-    w = F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)))
-    one = t("benchmark").select(w.alias("name")).where(F.length("name") >= 5).distinct()
-    return one.select("name", F.length("name").cast("long").alias("place"))
+    """A gazetteer of names of one to four words: runs of longer words in the benchmark's texts, a table of fixed size."""
+    w = t("benchmark").select(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)).alias("w")).where(F.size("w") > 0)
+    runs = F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(4), F.size("w") - i + 1)), lambda n: F.slice("w", i, n)))
+    run = w.select(F.explode(F.flatten(runs)).alias("run")).where(F.forall("run", lambda x: F.length(x) >= 5))
+    name = run.select(F.array_join("run", " ").alias("name")).distinct()
+    return name.select("name", F.length("name").cast("long").alias("place"))
 
 
-_GAZ = r"""g AS (SELECT DISTINCT name, CAST(length(name) AS BIGINT) AS place FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS name FROM benchmark) x WHERE length(name) >= 5),
+_GAZ = r"""b AS (SELECT regexp_extract_all(lower(text), '[a-z]+') AS w FROM benchmark),
+r0 AS (SELECT w[i : i + n - 1] AS run FROM (SELECT w, n, unnest(range(1, len(w) - n + 2)) AS i FROM b, (VALUES (1), (2), (3), (4)) v(n)) x),
+g AS (SELECT DISTINCT array_to_string(run, ' ') AS name, CAST(length(array_to_string(run, ' ')) AS BIGINT) AS place, len(run) AS n FROM r0 WHERE len(list_filter(run, lambda x: length(x) < 5)) = 0),
 w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents), k AS (SELECT doc_id AS id, unnest(range(0, len(w))) AS pos, unnest(w) AS token FROM w),
-h AS (SELECT id, pos, place, token FROM k JOIN g ON token = name)"""
+k4 AS (SELECT id, pos, token AS w1, lead(token) OVER u AS w2, lead(token, 2) OVER u AS w3, lead(token, 3) OVER u AS w4 FROM k WINDOW u AS (PARTITION BY id ORDER BY pos)),
+m AS (SELECT id, pos, name, place, n FROM k4 JOIN g ON n = 1 AND name = w1 UNION ALL SELECT id, pos, name, place, n FROM k4 JOIN g ON n = 2 AND name = w1 || ' ' || w2
+  UNION ALL SELECT id, pos, name, place, n FROM k4 JOIN g ON n = 3 AND name = w1 || ' ' || w2 || ' ' || w3 UNION ALL SELECT id, pos, name, place, n FROM k4 JOIN g ON n = 4 AND name = w1 || ' ' || w2 || ' ' || w3 || ' ' || w4),
+h AS (SELECT id, pos, arg_max(name, n) AS token, arg_max(place, n) AS place FROM m GROUP BY id, pos)"""
 
 
 @query("ext13_gazetteer", f"WITH {_GAZ} SELECT id, CAST(pos AS BIGINT) AS pos, token AS name, place FROM h")
@@ -93,8 +100,8 @@ def hits(t):
 
 
 @query("ext14_places_in_reach", f"""WITH {_GAZ}, r AS (SELECT id, pos AS at, lead(pos) OVER (PARTITION BY id ORDER BY pos) AS nxt FROM k WHERE token IN ('the', 'la', 'die', 'el')),
-m AS (SELECT r.id, r.at AS trig, arg_min(h.place, h.pos) AS place FROM r JOIN h ON h.id = r.id AND h.pos > r.at AND h.pos <= least(r.at + 14, coalesce(r.nxt, 2147483647)) GROUP BY ALL)
-SELECT id, CAST(trig AS BIGINT) AS trig, place FROM m""".replace(".at", '."at"').replace(" AS at,", ' AS "at",'))
+mm AS (SELECT r.id, r.at AS trig, arg_min(h.place, h.pos) AS place FROM r JOIN h ON h.id = r.id AND h.pos > r.at AND h.pos <= least(r.at + 14, coalesce(r.nxt, 2147483647)) GROUP BY ALL)
+SELECT id, CAST(trig AS BIGINT) AS trig, place FROM mm""".replace(".at", '."at"').replace(" AS at,", ' AS "at",'))
 def _(t):
     """The first place behind each trigger, within fourteen words and before the next trigger."""
     tok = X.tokens(t("documents").select(F.col("doc_id").alias("id"), F.lower("text").alias("text")), "text")
@@ -167,13 +174,15 @@ def _(t):
 
 @query("ext24_alignment")
 def _(t):
-    p = t("part").where("p_partkey <= 200").select(F.col("p_brand").alias("book"), F.col("p_partkey").alias("pos"), F.col("p_name").alias("name"))
+    """Names in the order of their keys aligned with the same list that lacks one in seven, a type of part at a time."""
+    p = t("part").select(F.col("p_type").alias("book"), F.col("p_partkey").alias("pos"), F.col("p_name").alias("name"))
     return X.align(p, p.where("pos % 7 <> 0"), "book")
 
 
 @query("ext25_assignment")
 def _(t):
-    o = t("lineitem").where("l_orderkey < 2000").select((F.col("l_orderkey") % 10).alias("vol"), F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("b"), F.col("l_extendedprice").alias("score"))
+    """Parts and orders paired within each supplier, the dearest first."""
+    o = t("lineitem").select(F.col("l_suppkey").alias("vol"), F.col("l_partkey").alias("a"), F.col("l_orderkey").alias("b"), F.col("l_extendedprice").alias("score"))
     return X.greedy_assignment(o.groupBy("vol", "a", "b").agg(F.max("score").alias("score")), "vol")
 
 

@@ -2,63 +2,72 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
 from lexigraph.functions.text import fold_latin
 from lexigraph.operators import match as M
 from lexigraph.operators.graph import connected_components
+from lexigraph.operators.sequences import numbered
 from lexigraph.plans.registry import query
 from lexigraph.plans.scalars import TEXT_QUERIES
 from lexigraph.session import written
 
-AUTO, PENDING = 0.9, 0.6
-RARE = (2, 8)
+#: Runs of words that make a document's set, and the similarity from which a pair is the same or is left to a person.
+WORDS, AUTO, PENDING = 5, 0.8, 0.6
 
 
 def folded(t):
-    d = t("documents").select("doc_id", "source", "lang", "n_chars", fold_latin(F.col("text")).alias("key"))
-    return d.withColumn("terms", F.array_sort(F.array_distinct(F.split("key", " "))))
+    return t("documents").select("doc_id", "source", "lang", "n_chars", fold_latin(F.col("text")).alias("key"))
 
 
-def pairs(t):
-    """Scored candidate pairs: three rare terms in common, or the same folded text. Texts are folded once, into a table of their terms."""
-    d = written(folded(t).select("doc_id", "source", "terms", F.md5("key").alias("key")), "folded")
-    rare = M.term_frequency(d, F.col("terms")).where(F.col("n").between(*RARE)).select("term")
-    keyed = d.select("doc_id", F.explode("terms").alias("term")).join(rare, "term").groupBy("doc_id").agg(F.collect_list("term").alias("keys"))
-    by_term = M.blocked_pairs(keyed, "doc_id", F.col("keys")).where("shared >= 3").select("a", "b")
-    by_text = M.blocked_pairs(d, "doc_id", F.array("key")).select("a", "b")
-    both = M.with_sides(by_term.union(by_text).distinct(), d, "doc_id", ["terms", "source"])
-    return both.select("a", "b", "a_source", "b_source", F.round(M.overlap(F.col("a_terms"), F.col("b_terms")), 9).alias("score"))
+def sets(t):
+    """(id, rep, source, items): documents beside the smallest id with the same folded text, and its set of shingles. Texts are folded once."""
+    d = folded(t).select("doc_id", "source", F.md5("key").alias("digest"), M.shingles(F.split("key", " "), WORDS).alias("items"))
+    d = written(d, "folded")
+    reps = M.representatives(d, "doc_id", F.col("digest"))
+    return d.join(reps, F.col("doc_id") == F.col("id")).select("id", "rep", "source", "items")
+
+
+def pairs(t, known=None):
+    """Scored pairs of different folded texts, each named by its smallest id: all with a likeness of PENDING or more."""
+    s = (known or sets(t)).where("id = rep")
+    both = M.with_sides(M.similar_sets(s.select("id", "items"), PENDING), s, "id", ["source"])
+    score = F.round(F.col("shared") / (F.col("n") + F.col("m") - F.col("shared")), 9)
+    return both.select("a", "b", "a_source", "b_source", "shared", F.round(F.col("shared") / F.least("n", "m"), 9).alias("overlap"), score.alias("score"))
 
 
 _CTE = f"""
-WITH RECURSIVE d AS (SELECT doc_id, source, lang, n_chars, key, list_distinct(string_split(key, ' ')) AS terms FROM (SELECT doc_id, source, lang, n_chars, {TEXT_QUERIES['str03_fold_latin'][1]} AS key FROM documents) f),
-tf AS (SELECT term, count(*) AS n FROM (SELECT unnest(terms) AS term FROM d) x GROUP BY term),
-k AS (SELECT doc_id, term FROM (SELECT doc_id, unnest(terms) AS term FROM d) x JOIN tf USING (term) WHERE n BETWEEN 2 AND 8),
-p AS (SELECT x.doc_id AS a, y.doc_id AS b FROM k x JOIN k y ON x.term = y.term AND x.doc_id < y.doc_id GROUP BY ALL HAVING count(*) >= 3
-      UNION SELECT x.doc_id, y.doc_id FROM d x JOIN d y ON x.key = y.key AND x.doc_id < y.doc_id WHERE x.key IN (SELECT key FROM d GROUP BY key HAVING count(*) BETWEEN 2 AND 400)),
-s AS (SELECT a, b, x.source AS a_source, y.source AS b_source, round(len(list_intersect(x.terms, y.terms)) / least(len(x.terms), len(y.terms)), 9) AS score FROM p JOIN d x ON x.doc_id = a JOIN d y ON y.doc_id = b)
+WITH RECURSIVE d AS (SELECT doc_id, source, lang, n_chars, {TEXT_QUERIES['str03_fold_latin'][1]} AS key FROM documents),
+m AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY key) AS rep FROM d),
+w AS (SELECT doc_id, source, string_split(key, ' ') AS w FROM d SEMI JOIN m ON m.rep = d.doc_id),
+i AS (SELECT DISTINCT doc_id, array_to_string(w[k : k + {WORDS - 1}], ' ') AS item FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - {WORDS - 1}) + 1)) AS k FROM w) x),
+n AS (SELECT doc_id, count(*) AS n FROM i GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM i x JOIN i y ON x.item = y.item AND x.doc_id < y.doc_id GROUP BY ALL),
+s AS (SELECT a, b, x.source AS a_source, y.source AS b_source, shared, round(shared / least(u.n, v.n), 9) AS overlap, round(shared / (u.n + v.n - shared), 9) AS score
+      FROM p JOIN w x ON x.doc_id = a JOIN w y ON y.doc_id = b JOIN n u ON u.doc_id = a JOIN n v ON v.doc_id = b WHERE shared >= {PENDING} * (u.n + v.n - shared) - 1e-9)
 """
 
 
-@query("agg02_term_frequency", _CTE + "SELECT term, n FROM tf")
+@query("agg02_term_frequency", f"SELECT term, count(*) AS n FROM (SELECT unnest(list_distinct(string_split({TEXT_QUERIES['str03_fold_latin'][1]}, ' '))) AS term FROM documents) x GROUP BY term")
+def _(t):
+    return M.term_frequency(folded(t), F.split("key", " "))
+
+
+@query("join04_block_pairs", _CTE + "SELECT a, b, shared FROM s")
 def _(t):
-    d = folded(t)
-    return M.term_frequency(d, F.col("terms"))
+    """Self-join on exploded keys, pairs once, with the number of keys they share."""
+    return pairs(t).select("a", "b", F.col("shared").cast("long").alias("shared"))
 
 
-@query("join04_block_pairs", _CTE + "SELECT a, b, count(*) AS shared FROM (SELECT x.doc_id AS a, y.doc_id AS b FROM k x JOIN k y ON x.term = y.term AND x.doc_id < y.doc_id) z GROUP BY a, b")
+@query("ext_members", _CTE + "SELECT doc_id, rep FROM m")
 def _(t):
-    """Self-join on exploded keys, block sizes capped, pairs once."""
-    d = folded(t)
-    rare = M.term_frequency(d, F.col("terms")).where(F.col("n").between(*RARE)).select("term")
-    keyed = d.select("doc_id", F.explode("terms").alias("term")).join(rare, "term").groupBy("doc_id").agg(F.collect_list("term").alias("keys"))
-    return M.blocked_pairs(keyed, "doc_id", F.col("keys"))
+    """Extension: documents beside the one that stands for their folded text in the pairs."""
+    return M.representatives(folded(t), "doc_id", F.md5("key")).select(F.col("id").alias("doc_id"), "rep")
 
 
-@query("agg04_pair_overlap", _CTE + "SELECT a, b, score FROM s")
+@query("agg04_pair_overlap", _CTE + "SELECT a, b, overlap, score FROM s")
 def _(t):
-    return pairs(t).select("a", "b", "score")
+    return pairs(t).select("a", "b", "overlap", "score")
 
 
 @query("flt04_pairable", _CTE + "SELECT a, b, score FROM s WHERE a_source <> b_source")
@@ -67,12 +76,11 @@ def _(t):
     return pairs(t).where("a_source <> b_source").select("a", "b", "score")
 
 
-@query("join05_pair_status", _CTE + f"SELECT a, b, CASE WHEN score >= {AUTO} THEN 'auto' WHEN score >= {PENDING} THEN 'pending' ELSE 'none' END AS status, CAST(row_number() OVER (ORDER BY score DESC, a, b) AS BIGINT) AS no FROM s WHERE score >= {PENDING}")
+@query("join05_pair_status", _CTE + f"SELECT a, b, CASE WHEN score >= {AUTO} THEN 'auto' ELSE 'pending' END AS status, CAST(row_number() OVER (ORDER BY score DESC, a, b) AS BIGINT) AS no FROM s")
 def _(t):
     """Status by score, and the numbered list for review (WIN-05)."""
-    status = F.when(F.col("score") >= AUTO, "auto").when(F.col("score") >= PENDING, "pending").otherwise("none")
-    p = pairs(t).where(F.col("score") >= PENDING)
-    return p.select("a", "b", status.alias("status"), F.row_number().over(Window.orderBy(F.desc("score"), "a", "b")).cast("long").alias("no"))
+    p = pairs(t).select("a", "b", "score", F.when(F.col("score") >= AUTO, "auto").otherwise("pending").alias("status"))
+    return numbered(p, [F.desc("score"), F.asc("a"), F.asc("b")], "no").select("a", "b", "status", "no")
 
 
 @query("win01_top2_gap", _CTE + """, e AS (SELECT a, b, score, a AS e FROM s UNION ALL SELECT a, b, score, b FROM s),
@@ -88,25 +96,28 @@ def _(t):
 
 
 _COMPONENTS = _CTE + f""", l AS (SELECT a, b FROM s WHERE score >= {AUTO} UNION SELECT b, a FROM s WHERE score >= {AUTO}),
-g(doc_id, r) AS (SELECT doc_id, doc_id FROM d UNION SELECT l.a, g.r FROM g JOIN l ON l.b = g.doc_id),
-c AS (SELECT doc_id, min(r) AS cluster_id FROM g GROUP BY doc_id)
+g(doc_id, r) AS (SELECT doc_id, doc_id FROM w UNION SELECT l.a, g.r FROM g JOIN l ON l.b = g.doc_id),
+k AS (SELECT doc_id, min(r) AS cluster_id FROM g GROUP BY doc_id),
+c AS (SELECT m.doc_id, k.cluster_id FROM m JOIN k ON k.doc_id = m.rep)
 """
 
 
 @query("cluster_components", _COMPONENTS + "SELECT doc_id, cluster_id FROM c")
 def clusters(t):
-    """Flagship: every document with its cluster (GRF-01)."""
-    parts = connected_components(pairs(t).where(F.col("score") >= AUTO), "a", "b")
-    return t("documents").select("doc_id").join(parts, F.col("doc_id") == F.col("node"), "left").select("doc_id", F.coalesce("component", "doc_id").alias("cluster_id"))
+    """Flagship: every document with its cluster (GRF-01): copies by their text, near copies by links."""
+    s = sets(t)
+    parts = connected_components(pairs(t, s).where(F.col("score") >= AUTO), "a", "b")
+    return s.join(parts, F.col("rep") == F.col("node"), "left").select(F.col("id").alias("doc_id"), F.coalesce("component", "rep").alias("cluster_id"))
 
 
 @query("grf02_constrained_clusters")
 def _(t):
-    """Greedy agglomeration: at most one document per source in a cluster, documents of different quality label apart."""
-    links = pairs(t).where(F.col("score") >= AUTO).select("a", "b", "score", F.lit(1).alias("priority"))
+    """Greedy agglomeration of different texts: at most one of a source in a cluster, texts of different quality label apart."""
+    s = sets(t)
+    links = pairs(t, s).where(F.col("score") >= AUTO).select("a", "b", "score", F.lit(1).alias("priority"))
     marks = t("labels").select("doc_id", "quality")
     wall = M.with_sides(links.select("a", "b"), marks, "doc_id", ["quality"]).where("a_quality <> b_quality").select("a", "b")
-    return M.constrained_clusters(t("documents").select(F.col("doc_id").alias("id"), "source"), links, wall, exclusive="source")
+    return M.constrained_clusters(s.where("id = rep").select("id", "source"), links, wall, exclusive="source")
 
 
 @query("agg08_canonical_record", _COMPONENTS + "SELECT cluster_id, count(*) AS n_members, arg_min(c.doc_id, struct_pack(x := -n_chars, y := c.doc_id)) AS canonical, min(n_chars) AS shortest, string_agg(DISTINCT source, ',' ORDER BY source) AS sources FROM c JOIN d ON d.doc_id = c.doc_id GROUP BY cluster_id")

@@ -8,19 +8,19 @@ from lexigraph.operators import overlay as O
 from lexigraph.plans.registry import query
 
 
-_LOG = "l AS (SELECT user_id % 40 AS k, event_id, CASE event_type WHEN 'click' THEN 'c' || event_id WHEN 'error' THEN '-' ELSE '' END AS v FROM events)"
+_LOG = "l AS (SELECT user_id AS k, event_id, CASE event_type WHEN 'click' THEN 'c' || event_id WHEN 'error' THEN '-' ELSE '' END AS v FROM events)"
 
 
 @query("stm01_fold_edits", f"WITH {_LOG} SELECT k, nullif(arg_max(v, event_id) FILTER (WHERE v <> ''), '-') AS v FROM l GROUP BY k")
 def _(t):
     """Last non-empty value wins, a dash clears (STM-01, STM-04)."""
     v = F.when(F.col("event_type") == "click", F.concat(F.lit("c"), "event_id")).when(F.col("event_type") == "error", "-").otherwise("")
-    return O.fold_edits(t("events").select((F.col("user_id") % 40).alias("k"), "event_id", v.alias("v")), ["k"], F.col("event_id"), ["v"])
+    return O.fold_edits(t("events").select(F.col("user_id").alias("k"), "event_id", v.alias("v")), ["k"], F.col("event_id"), ["v"])
 
 
-@query("stm02_fold_relations", "WITH l AS (SELECT user_id % 40 AS a, event_id % 7 AS b, event_id, CASE WHEN event_type = 'error' THEN 'del' ELSE 'add' END AS op FROM events), d AS (SELECT a, b, max(event_id) AS d FROM l WHERE op = 'del' GROUP BY a, b) SELECT l.a, l.b, count(*) AS n FROM l LEFT JOIN d USING (a, b) WHERE op = 'add' AND (d IS NULL OR event_id > d) GROUP BY ALL")
+@query("stm02_fold_relations", "WITH l AS (SELECT user_id AS a, CAST(json_extract_string(props, '$.k') AS BIGINT) AS b, event_id, CASE WHEN event_type = 'error' THEN 'del' ELSE 'add' END AS op FROM events), d AS (SELECT a, b, max(event_id) AS d FROM l WHERE op = 'del' GROUP BY a, b) SELECT l.a, l.b, count(*) AS n FROM l LEFT JOIN d USING (a, b) WHERE op = 'add' AND (d IS NULL OR event_id > d) GROUP BY ALL")
 def _(t):
-    e = t("events").select((F.col("user_id") % 40).alias("a"), (F.col("event_id") % 7).alias("b"), "event_id", F.when(F.col("event_type") == "error", "del").otherwise("add").alias("op"))
+    e = t("events").select(F.col("user_id").alias("a"), F.get_json_object("props", "$.k").cast("long").alias("b"), "event_id", F.when(F.col("event_type") == "error", "del").otherwise("add").alias("op"))
     return O.fold_relations(e, ["a", "b"], "op", F.col("event_id")).select("a", "b", F.col("n").cast("long").alias("n"))
 
 

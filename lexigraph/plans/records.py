@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Window, functions as F
 
+from lexigraph.operators.sequences import numbered
 from lexigraph.plans.registry import query
 
 
@@ -113,7 +114,7 @@ def _(t):
 @query("top07_by_name", "SELECT c_custkey, CAST(row_number() OVER (ORDER BY c_name, c_custkey) AS BIGINT) AS no FROM customer")
 def _(t):
     """People in the order of code points."""
-    return t("customer").select("c_custkey", F.row_number().over(Window.orderBy("c_name", "c_custkey")).cast("long").alias("no"))
+    return numbered(t("customer").select("c_custkey", "c_name"), [F.col("c_name"), F.col("c_custkey")], "no").select("c_custkey", "no")
 
 
 @query("snk07_network_review", "SELECT l_suppkey AS s, l_partkey AS p, bool_and(l_discount > 0.04) AS weak, count(*) AS n, count(*) OVER (PARTITION BY l_suppkey) AS seen FROM lineitem GROUP BY l_suppkey, l_partkey")

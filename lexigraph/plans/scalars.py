@@ -20,7 +20,7 @@ def _q(s: str) -> str:
 
 _FOLD = _sq(f"translate(regexp_replace(text, '[{X.MARKS}ـ]', '', 'g'), '{X.ALEF_FROM}', '{X.ALEF_TO}')")
 _LATIN = f"translate(lower(text), '{X.LATIN_FROM}{_q(X.QUOTES)}', '{X.LATIN_TO}')"
-_AR_WORDS = f"list_filter(string_split({_sq(f'''regexp_replace(translate(regexp_replace(text, '[{X.SHORT_VOWELS}]', '', 'g'), 'إأآٱىةؤئ', 'ااااي' || 'هوي'), '[^ء-ي]', ' ', 'g')''')}, ' '), lambda w: w <> '' AND w NOT IN {X.TITLE_STOP_AR})"
+_AR_WORDS = f"list_filter(string_split({_sq(f'''regexp_replace(translate(regexp_replace(text, '[{X.SHORT_VOWELS}]', '', 'g'), '{X.TITLE_FROM}', '{X.TITLE_TO}'), '[^ء-ي]', ' ', 'g')''')}, ' '), lambda w: w <> '' AND w NOT IN {X.TITLE_STOP_AR})"
 _AR_KEY = f"array_to_string(list_transform({_AR_WORDS}, lambda w: CASE WHEN starts_with(w, 'ال') AND length(w) > 3 THEN substr(w, 3) ELSE w END), ' ')"
 _TR_BARE = f"regexp_replace(regexp_replace({_LATIN}, '\\b(e[lsntdrz]|es|et)-', '', 'g'), '([a-z])[lstdrzn]-', '\\1 ', 'g')"
 _TR_WORDS = f"list_filter(string_split({_sq(f'''regexp_replace({_TR_BARE}, '[^a-z]', ' ', 'g')''')}, ' '), lambda w: w <> '' AND w NOT IN {X.TITLE_STOP_LATIN})"
@@ -37,7 +37,7 @@ TEXT_QUERIES = {
     "str06_title_key": (X.title_key, f"CASE WHEN regexp_matches(text, '[؀-ۿ]') THEN 'ar:' || {_AR_KEY} ELSE 'tr:' || {_TR_KEY} END"),
     "str07_place_key": (X.place_key, _sq(rf"regexp_replace({_FOLD}, '[^\p{{L}}\p{{N}}_\s]', ' ', 'g')")),
     "str09_strip_marks": (X.strip_marks, f"regexp_replace(text, '[{X.MARKS}]', '', 'g')"),
-    "str10_heading_name": (lambda c: X.heading_name(F.substring(c, 1, 80)), "trim(" + _sq(r"regexp_replace(regexp_replace(regexp_replace(replace(substr(text, 1, 80), chr(10), ' '), '^\s*/?\s*(\[[٠-٩0-9]+\]\s*)?([٠-٩0-9]+\s*[-–.]\s*)?', ''), '[«»()\[\]]', '', 'g'), '\s*(رحمه الله( تعالى)?|رضي الله عنه|عليه السلام)\s*', ' ', 'g')") + ", ' .،:-')"),
+    "str10_heading_name": (X.heading_name, "trim(" + _sq(r"regexp_replace(regexp_replace(regexp_replace(replace(text, chr(10), ' '), '^\s*/?\s*(\[[٠-٩0-9]+\]\s*)?([٠-٩0-9]+\s*[-–.]\s*)?', ''), '[«»()\[\]]', '', 'g'), '\s*(رحمه الله( تعالى)?|رضي الله عنه|عليه السلام)\s*', ' ', 'g')") + ", ' .،:-')"),
     "str11_lead_name": (X.lead_name, r"trim(substr(regexp_extract(trim(text), '^[^.:\n]*', 0), 1, 160))"),
     "str18_spacing": (X.spacing, _SPACED),
     "str23_quote": (lambda c: X.quote(c, 320), "CASE WHEN length(t) <= 320 THEN t WHEN e <> '' THEN e || ' …' ELSE rtrim(regexp_extract(substr(t, 1, 320), '(?s)^(.*) ', 1)) || ' …' END"),
@@ -131,21 +131,17 @@ def _(t):
     return t("documents").select("doc_id", F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 10_000)).alias("value"))
 
 
-@query("str34_mention_cleanup", r"SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(replace(substr(text, 1, 60), chr(10), ' '), '\([^)]*\)', '', 'g'), '[,;:.]+$', ''), '\s+(and|und|et|y)$', '')) AS value FROM documents")
+@query("str34_mention_cleanup", r"SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(replace(text, chr(10), ' '), '\([^)]*\)', '', 'g'), '[,;:.]+$', ''), '\s+(and|und|et|y)$', '')) AS value FROM documents")
 def _(t):
-    s = F.regexp_replace(F.regexp_replace(F.substring("text", 1, 60), "\n", " "), r"\([^)]*\)", "")
+    s = F.regexp_replace(F.regexp_replace("text", "\n", " "), r"\([^)]*\)", "")
     return t("documents").select("doc_id", F.trim(F.regexp_replace(F.regexp_replace(s, "[,;:.]+$", ""), r"\s+(and|und|et|y)$", "")).alias("value"))
 
 
 @query("num05_hijri_years", """
 WITH y AS (SELECT o_orderkey, CAST(o_orderkey % 1500 + 1 AS BIGINT) AS h FROM orders),
-j AS (SELECT *, 1948440 + 354 * (h - 1) + CAST(floor((3 + 11 * h) / 30) AS BIGINT) + 15 AS z0 FROM y),
-a AS (SELECT *, CAST(floor((z0 - 1867216.25) / 36524.25) AS BIGINT) AS al FROM j),
-z AS (SELECT *, CASE WHEN z0 >= 2299161 THEN z0 + 1 + al - CAST(floor(al / 4) AS BIGINT) ELSE z0 END + 1524 AS b FROM a),
-c AS (SELECT *, CAST(floor((b - 122.1) / 365.25) AS BIGINT) AS c FROM z),
-e AS (SELECT *, CAST(floor((b - CAST(floor(c * 365.25) AS BIGINT)) / 30.6001) AS BIGINT) AS e FROM c)
-SELECT o_orderkey, h, CASE WHEN (CASE WHEN e < 14 THEN e - 1 ELSE e - 13 END) > 2 THEN c - 4716 ELSE c - 4715 END AS ce,
-       CAST(floor(622.54 + (h - 1) * 0.970224 + 0.485) AS BIGINT) AS about, CAST(floor((h + 622 - 622.54) / 0.970224 + 1) AS BIGINT) AS back FROM e""")
+j AS (SELECT *, CAST(1948440 + 354 * (h - 1) + floor((3 + 11 * h) / 30) + 15 AS BIGINT) AS day FROM y)
+SELECT o_orderkey, h, CASE WHEN day >= 2299161 THEN year(DATE '1970-01-01' + CAST(day - 2440588 AS INTEGER)) ELSE CAST(floor((4 * (day - 1721424) + 3) / 1461) + 1 AS BIGINT) END AS ce,
+       CAST(floor(622.54 + (h - 1) * 0.970224 + 0.485) AS BIGINT) AS about, CAST(floor((h + 622 - 622.54) / 0.970224 + 1) AS BIGINT) AS back FROM j""")
 def _(t):
     """Both calendar formulas and the inverse (NUM-05, NUM-06)."""
     h = (F.col("o_orderkey") % 1500 + 1).cast("long")

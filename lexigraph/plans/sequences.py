@@ -8,10 +8,10 @@ from lexigraph.operators import sequences as S
 from lexigraph.plans.registry import query
 
 
-@query("agg01_gaps", "SELECT l_suppkey AS k, n FROM (SELECT l_suppkey, unnest(range(min(l_partkey), max(l_partkey) + 1)) AS n FROM lineitem WHERE l_suppkey < 8 GROUP BY l_suppkey) x WHERE NOT EXISTS (SELECT 1 FROM lineitem y WHERE y.l_suppkey = x.l_suppkey AND y.l_partkey = n)")
+@query("agg01_gaps", "SELECT l_suppkey AS k, n FROM (SELECT l_suppkey, unnest(range(min(l_partkey), max(l_partkey) + 1)) AS n FROM lineitem GROUP BY l_suppkey) x WHERE NOT EXISTS (SELECT 1 FROM lineitem y WHERE y.l_suppkey = x.l_suppkey AND y.l_partkey = n)")
 def _(t):
     """Missing numbers of each series (AGG-01, SET-05)."""
-    d = t("lineitem").where("l_suppkey < 8").select(F.col("l_suppkey").alias("k"), F.col("l_partkey").alias("n"))
+    d = t("lineitem").select(F.col("l_suppkey").alias("k"), F.col("l_partkey").alias("n"))
     return S.gaps(d, ["k"], "n").select("k", "n")
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Window, functions as F
 
+from lexigraph.operators.joins import nearest_vectors
+from lexigraph.operators.sequences import numbered
 from lexigraph.plans.registry import query
 from lexigraph.sources.sinks import shard
 
@@ -16,8 +18,8 @@ def _(t):
 
 @query("snk14_batches", "SELECT o_orderkey, CAST((row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1) // 50 AS BIGINT) AS batch FROM orders")
 def _(t):
-    n = F.row_number().over(Window.partitionBy("o_orderstatus").orderBy("o_orderkey")) - 1
-    return t("orders").select("o_orderkey", F.floor(n / 50).cast("long").alias("batch"))
+    n = numbered(t("orders").select("o_orderkey", "o_orderstatus"), [F.col("o_orderkey")], "n", ("o_orderstatus",))
+    return n.select("o_orderkey", F.floor((F.col("n") - 1) / 50).cast("long").alias("batch"))
 
 
 @query("top01_search", "SELECT c_custkey, s FROM (SELECT c_custkey, count(o_orderkey) AS s FROM customer LEFT JOIN orders ON o_custkey = c_custkey WHERE contains(lower(c_name), '1') GROUP BY c_custkey) x ORDER BY s DESC, c_custkey LIMIT 30")
@@ -30,7 +32,7 @@ def _(t):
 @query("top02_nulls_last", "SELECT c_custkey, CAST(row_number() OVER (ORDER BY y NULLS LAST, c_custkey) AS BIGINT) AS at FROM (SELECT c_custkey, min(o_totalprice) AS y FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderstatus = 'P' GROUP BY c_custkey) x".replace("AS at", 'AS "at"'))
 def _(t):
     j = t("customer").join(t("orders").where("o_orderstatus = 'P'"), F.col("o_custkey") == F.col("c_custkey"), "left").groupBy("c_custkey").agg(F.min("o_totalprice").alias("y"))
-    return j.select("c_custkey", F.row_number().over(Window.orderBy(F.asc_nulls_last("y"), "c_custkey")).cast("long").alias("at"))
+    return numbered(j, [F.asc_nulls_last("y"), F.asc("c_custkey")], "at").select("c_custkey", "at")
 
 
 @query("top03_page", "SELECT p_partkey, p_name FROM part ORDER BY p_name, p_partkey LIMIT 36 OFFSET 36")
@@ -116,10 +118,10 @@ def _(t):
     return t("documents").join(used, "doc_id", "left_semi").select("doc_id", F.substring("text", 1, 6000).alias("text"))
 
 
-@query("snk06_doubtful_report", "SELECT event_type AS reason, count(*) AS n, string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY user_id) AS people FROM (SELECT event_type, user_id FROM events GROUP BY event_type, user_id HAVING count(*) >= 2) x GROUP BY event_type")
+@query("snk06_doubtful_report", "SELECT event_type AS reason, user_id, count(*) AS times FROM events GROUP BY event_type, user_id HAVING count(*) >= 2")
 def _(t):
-    d = t("events").groupBy("event_type", "user_id").agg(F.count("*").alias("c")).where("c >= 2")
-    return d.groupBy(F.col("event_type").alias("reason")).agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("user_id")), ",").alias("people"))
+    """The lines of the report: a row for each reason and person."""
+    return t("events").groupBy(F.col("event_type").alias("reason"), "user_id").agg(F.count("*").alias("times")).where("times >= 2")
 
 
 @query("snk18_text_bundle", "SELECT doc_id, coalesce(CASE WHEN doc_id % 9 = 0 THEN 'fixed' END, left(text, 100)) AS text, doc_id % 64 AS shard FROM documents")
@@ -129,12 +131,7 @@ def _(t):
     return t("documents").join(fixes, "doc_id", "left").select("doc_id", F.coalesce("fix", F.substring("text", 1, 100)).alias("text"), (F.col("doc_id") % 64).alias("shard"))
 
 
-@query("ext_cosine_topk", "SELECT q.vec_id AS q, arg_max(b.vec_id, struct_pack(s := round(list_cosine_similarity(q.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6), v := -b.vec_id)) AS best FROM embeddings q JOIN embeddings b ON q.label = b.label AND q.vec_id <> b.vec_id WHERE q.vec_id % 50 = 0 GROUP BY q.vec_id")
+@query("ext_cosine_topk", "SELECT q.vec_id AS q, arg_max(b.vec_id, struct_pack(s := round(list_cosine_similarity(q.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6), v := -b.vec_id)) AS best FROM embeddings q JOIN embeddings b ON q.vec_id <> b.vec_id WHERE q.vec_id % 50 = 0 GROUP BY q.vec_id")
 def _(t):
-    """Extension: for stated query vectors the nearest of the same class."""
-    e = t("embeddings").select("vec_id", "label", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
-    norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
-    q = F.broadcast(e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("q"), "label", F.col("v").alias("w")))
-    dot = F.aggregate(F.zip_with("v", "w", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
-    m = e.join(q, "label").where("q <> vec_id").select("q", "vec_id", F.round(dot / (norm(F.col("v")) * norm(F.col("w"))), 6).alias("s"))
-    return m.groupBy("q").agg(F.max_by("vec_id", F.struct("s", (-F.col("vec_id")).alias("m"))).alias("best"))
+    """Extension: for stated query vectors the nearest of all others."""
+    return nearest_vectors(t("embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0, 1).select(F.col("query").alias("q"), F.col("id").alias("best"))

@@ -26,14 +26,16 @@ def get_spark(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "l
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where it is unset, a local one is set for this session."""
+    """The folder in spark.checkpoint.dir, else the one that setCheckpointDir() was called with. Only a local session gets one of its own."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
+    if not sc.getCheckpointDir():
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(LOCAL_SHARED)
-    return LOCAL_SHARED
+    return sc.getCheckpointDir()
 
 
 def scratch(spark: SparkSession, name: str) -> str:
