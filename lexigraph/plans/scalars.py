@@ -36,6 +36,7 @@ TEXT_QUERIES = {
     "str05_title_key_latin": (X.title_key_latin, _TR_KEY),
     "str06_title_key": (X.title_key, f"CASE WHEN regexp_matches(text, '[؀-ۿ]') THEN 'ar:' || {_AR_KEY} ELSE 'tr:' || {_TR_KEY} END"),
     "str07_place_key": (X.place_key, _sq(rf"regexp_replace({_FOLD}, '[^\p{{L}}\p{{N}}_\s]', ' ', 'g')")),
+    "str08_place_info_key": (X.place_info_key, _FOLD.replace("(text,", r"(regexp_replace(text, '[^\p{L}\p{N}_\s]', ' ', 'g'),")),
     "str09_strip_marks": (X.strip_marks, f"regexp_replace(text, '[{X.MARKS}]', '', 'g')"),
     "str10_heading_name": (X.heading_name, "trim(" + _sq(r"regexp_replace(regexp_replace(regexp_replace(replace(text, chr(10), ' '), '^\s*/?\s*(\[[٠-٩0-9]+\]\s*)?([٠-٩0-9]+\s*[-–.]\s*)?', ''), '[«»()\[\]]', '', 'g'), '\s*(رحمه الله( تعالى)?|رضي الله عنه|عليه السلام)\s*', ' ', 'g')") + ", ' .،:-')"),
     "str11_lead_name": (X.lead_name, r"trim(substr(regexp_extract(trim(text), '^[^.:\n]*', 0), 1, 160))"),
@@ -53,6 +54,13 @@ for _name, (_f, _sql) in TEXT_QUERIES.items():
     query(_name, _sql and f"SELECT doc_id, {_sql} AS value FROM {_QUOTE_FROM if _name == 'str23_quote' else 'documents'}")(lambda t, f=_f: t("documents").select("doc_id", f(F.col("text")).alias("value")))
 
 
+@query("str19_network_text", f"SELECT doc_id, regexp_replace({_FOLD}, '{X.SEE_BELOW}\\s*XREF(\\d+)', ' XREF\\2\\1', 'g') AS value FROM (SELECT doc_id, regexp_replace(replace(replace(string_split(t, '<hr>')[1], '[^1]', ' XREF1 '), '[^3]', ' XREF3 '), '{X.NOTE_MARKS}', ' ', 'g') AS text FROM (SELECT doc_id, 'اخذ عن زيد، وياتي [^1] (٢) <b>' || text || '</b> [^2] سياتي ذكره [^3]<hr>note' AS t FROM documents) a) b")
+def _(t):
+    """Footnotes 1 and 3 are known, 2 is not."""
+    text = F.concat(F.lit("اخذ عن زيد، وياتي [^1] (٢) <b>"), "text", F.lit("</b> [^2] سياتي ذكره [^3]<hr>note"))
+    return t("documents").select("doc_id", X.network_text(text, F.create_map(F.lit("1"), F.lit("a"), F.lit("3"), F.lit("b"))).alias("value"))
+
+
 @query("str12_final_letters", "SELECT doc_id, array_to_string(list_transform(string_split(text, ' '), lambda w: CASE WHEN ends_with(w, 'on') AND w NOT IN ('tion', 'on') THEN left(w, -2) || 'an' ELSE w END), ' ') AS value FROM documents")
 def _(t):
     """Repair of word ends with a lexicon of exceptions."""

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lexigraph.operators.sequences import numbered
+
 SHARDS = 64
 
 
@@ -32,6 +34,29 @@ def write_markdown(pages: DataFrame, path: str, key: str, order: str, title: str
     g.select(F.concat_ws("\n\n", F.concat(F.lit("# "), "t"), F.transform("p", lambda x: x[body])).alias("value")).write.mode("overwrite").text(path)
 
 
-def write_pending(links: DataFrame, path: str) -> None:
-    """Open pairs for review, the likeliest first, numbered in the order of the file."""
-    links.orderBy(F.desc("sim"), F.desc("score"), "a", "b").coalesce(1).write.mode("overwrite").json(path)
+def write_pending(links: DataFrame, path: str, persons: DataFrame | None = None) -> None:
+    """Open pairs for review, the likeliest first, numbered in that order over files that are sorted ranges; and the persons that they name."""
+    numbered(links, [F.desc("sim"), F.desc("score"), F.asc("a"), F.asc("b")], "no").write.mode("overwrite").json(f"{path}/pairs")
+    if persons is not None:
+        named = links.select(F.col("a").alias("id")).union(links.select("b")).distinct()
+        persons.join(named, "id", "left_semi").write.mode("overwrite").json(f"{path}/persons")
+
+
+def write_parts(parts: dict[str, DataFrame], path: str) -> None:
+    """Several results of one run side by side, each as JSON rows below path/name: relations, unresolved, external and estimates of a network, or places and persons' places."""
+    for name, df in parts.items():
+        df.write.mode("overwrite").json(f"{path}/{name}")
+
+
+def write_index(index: DataFrame, path: str) -> None:
+    """An index in the order of its numbers, as read_index reads it."""
+    index.select("number", "name", "death", "vol", "page").repartitionByRange("number").sortWithinPartitions("number").write.mode("overwrite").json(path)
+
+
+def write_panel(readings: DataFrame, path: str, key: list[str], columns: list[str]) -> None:
+    """Merged readings as a panel: a row a key and a column a field with its agreed value, beside how many readings agree. CSV with a header, UTF-8."""
+    value = [F.mode(c, True).alias(c) for c in columns]
+    g = readings.groupBy(*key).agg(F.count("*").alias("readings"), *value)
+    agree = readings.join(g.select(*key, *[F.col(c).alias(f"agreed_{c}") for c in columns]), key)
+    n = agree.groupBy(*key).agg(*[F.count_if(F.col(c).eqNullSafe(F.col(f"agreed_{c}"))).alias(f"{c}_n") for c in columns])
+    g.join(n, key).repartitionByRange(*key).sortWithinPartitions(*key).write.option("header", True).mode("overwrite").csv(path)
