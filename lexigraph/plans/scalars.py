@@ -27,6 +27,9 @@ _TR_WORDS = f"list_filter(string_split({_sq(f'''regexp_replace({_TR_BARE}, '[^a-
 _TR_KEY = f"array_to_string(list_transform({_TR_WORDS}, lambda w: CASE WHEN length(w) > 3 THEN regexp_replace(w, '[iue]$', '') ELSE w END), ' ')"
 _SPACED = "trim(regexp_replace(regexp_replace(regexp_replace(text, '[ \t ]+', ' ', 'g'), ' +([،,.:;؛؟?!)\\]»])', '\\1', 'g'), '([(\\[«]) +', '\\1', 'g'))"
 
+_LEAD = r"trim(substr(regexp_extract(trim(text), '^[^.:\n]*', 0), 1, 160))"
+_KNOWN_AS = r"(?:known as|el-ma''rûf bi|المعروف ب)\s*([^,،]+)"
+
 #: name -> (Column function of the text, the same in SQL)
 TEXT_QUERIES = {
     "str01_fold_arabic": (X.fold_arabic, _FOLD),
@@ -45,7 +48,7 @@ TEXT_QUERIES = {
     "str28_article_off": (X.article_off, "CASE WHEN starts_with(text, 'ال') AND length(text) > 4 THEN substr(text, 3) ELSE text END"),
     "str36_digits_eastern": (X.digits_eastern, f"translate(text, '{X.WESTERN}', '{X.EASTERN}')"),
     "str38_snippet": (lambda c: X.snippet(c, F.instr(c, ".")), "substr(text, greatest(1, instr(text, '.') - 40), instr(text, '.') + 140 - greatest(1, instr(text, '.') - 40))"),
-    "str32_short_name": (lambda c: X.short_name(X.lead_name(c)), None),
+    "str32_short_name": (lambda c: X.short_name(X.lead_name(c)), f"CASE WHEN regexp_extract({_LEAD}, '{_KNOWN_AS}', 1) <> '' THEN trim(regexp_extract({_LEAD}, '{_KNOWN_AS}', 1)) WHEN len(string_split({_sq(_LEAD)}, ' ')) <= 2 THEN {_sq(_LEAD)} ELSE string_split({_sq(_LEAD)}, ' ')[1] || ' ' || string_split({_sq(_LEAD)}, ' ')[-1] END"),
 }
 _QUOTE_FROM = f"""(SELECT doc_id, t, regexp_extract(substr(t, 1, 321), '(?s)^(.{{105,319}}[{X.STOPS}])\\s', 1) AS e FROM
  (SELECT doc_id, {_sq("regexp_replace(string_split(text, '<hr>')[1], '\\[\\^\\w+\\]|<[^>]+>', ' ', 'g')")} AS t FROM documents) a) b"""
@@ -201,7 +204,10 @@ def _(t):
     return t("events").select("event_id", N.year_from_note(note).alias("year"))
 
 
-@query("num07_death_note")
+@query("num07_death_note", f"""
+WITH y AS (SELECT o_orderkey, CAST(o_orderkey % 1400 + 1 AS BIGINT) AS h FROM orders), j AS (SELECT *, CAST(1948440 + 354 * (h - 1) + floor((3 + 11 * h) / 30) + 15 AS BIGINT) AS day FROM y),
+c AS (SELECT *, CASE WHEN day >= 2299161 THEN year(DATE '1970-01-01' + CAST(day - 2440588 AS INTEGER)) ELSE CAST(floor((4 * (day - 1721424) + 3) / 1461) + 1 AS BIGINT) END AS ce FROM j)
+SELECT o_orderkey, translate(CAST(h AS VARCHAR), '{X.WESTERN}', '{X.EASTERN}') || 'هـ/' || translate(CAST(ce AS VARCHAR), '{X.WESTERN}', '{X.EASTERN}') || 'م' AS note FROM c""")
 def _(t):
     return t("orders").select("o_orderkey", N.death_note((F.col("o_orderkey") % 1400 + 1).cast("long")).alias("note"))
 

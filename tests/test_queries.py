@@ -20,7 +20,7 @@ def test_query(spark, sf, con, name):
     if name in SQL:
         assert compare(df, con, SQL[name]) == ""
     else:
-        assert df.count() >= 0
+        assert df.count() > 0  # tests/test_recurrences.py has their rows
 
 
 def test_entry(spark):
