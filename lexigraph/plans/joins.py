@@ -44,15 +44,15 @@ def _(t):
 
 
 @query("join07_candidates", """
-SELECT c_custkey AS m, s_suppkey AS c FROM customer JOIN supplier ON c_nationkey = s_nationkey AND c_mktsegment = 'BUILDING'
-UNION SELECT c_custkey, s_suppkey FROM customer JOIN supplier ON c_custkey % 97 = s_suppkey % 97 AND c_mktsegment <> 'BUILDING'
+SELECT c_custkey AS m, s_suppkey AS c FROM customer JOIN supplier ON c_nationkey = s_nationkey AND floor(c_acctbal / 100) = floor(s_acctbal / 100) AND c_mktsegment = 'BUILDING'
+UNION SELECT c_custkey, s_suppkey FROM customer JOIN supplier ON floor(c_acctbal) = floor(s_acctbal) AND c_mktsegment <> 'BUILDING'
 UNION SELECT c_custkey, s_suppkey FROM customer JOIN supplier ON c_custkey = s_suppkey""")
 def _(t):
     """Union of conditional index lookups (JOIN-07, SET-03)."""
     c, s = t("customer"), t("supplier")
     ways = [
-        c.where("c_mktsegment = 'BUILDING'").join(s, F.col("c_nationkey") == F.col("s_nationkey")),
-        c.where("c_mktsegment <> 'BUILDING'").join(s, F.col("c_custkey") % 97 == F.col("s_suppkey") % 97),
+        c.where("c_mktsegment = 'BUILDING'").join(s, (F.col("c_nationkey") == F.col("s_nationkey")) & (F.floor(F.col("c_acctbal") / 100) == F.floor(F.col("s_acctbal") / 100))),
+        c.where("c_mktsegment <> 'BUILDING'").join(s, F.floor("c_acctbal") == F.floor("s_acctbal")),
         c.join(s, F.col("c_custkey") == F.col("s_suppkey")),
     ]
     ways = [w.select(F.col("c_custkey").alias("m"), F.col("s_suppkey").alias("c")) for w in ways]
@@ -110,10 +110,10 @@ def _(t):
     d = t("documents").select("doc_id", "text", words.alias("w"))
     starts = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - 3)), lambda i: F.array_join(F.slice("w", i, 4), " "))
     grams = d.select("doc_id", F.explode(F.array_distinct(starts)).alias("gram"))
-    met = grams.join(F.broadcast(long.select("item_id", "gram")), "gram").select("doc_id", "item_id").distinct()  # the benchmark is a list of fixed items
+    met = grams.join(long.select("item_id", "gram"), "gram").select("doc_id", "item_id").distinct()
     hits = met.join(t("documents").select("doc_id", "text"), "doc_id").join(long.select("item_id", "needle"), "item_id")
     short = b.where(F.size(F.split("needle", r"\s+")) < 6)
-    rest = t("documents").select("doc_id", "text").join(F.broadcast(short.select("item_id", "needle")), F.col("text").contains(F.col("needle")))
+    rest = t("documents").select("doc_id", "text").join(short.select("item_id", "needle"), F.col("text").contains(F.col("needle")))
     return hits.where(F.col("text").contains(F.col("needle"))).select("item_id", "doc_id").union(rest.select("item_id", "doc_id"))
 
 

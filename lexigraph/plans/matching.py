@@ -144,15 +144,17 @@ def _(t):
 
 
 @query("agg05_name_score", """
-WITH p AS (SELECT c_custkey AS a, s_suppkey AS b, c_nationkey = s_nationkey AS place, c_acctbal AS x, s_acctbal AS y FROM customer JOIN supplier ON c_nationkey = s_nationkey)
+WITH p AS (SELECT c_custkey AS a, s_suppkey AS b, c_nationkey = s_nationkey AS place, c_acctbal AS x, s_acctbal AS y FROM customer JOIN supplier ON c_nationkey = s_nationkey WHERE abs(c_acctbal - s_acctbal) <= 500)
 SELECT a, b, CASE WHEN place THEN 1.0 ELSE 0.0 END + CASE WHEN abs(x - y) <= 100 THEN 2.0 WHEN abs(x - y) <= 300 THEN 1.0 WHEN abs(x - y) > 1000 THEN -4.0 WHEN abs(x - y) > 400 THEN -1.0 ELSE 0.0 END AS score FROM p""")
 def _(t):
-    """Score of attributes with steps by distance (AGG-05, AGG-06)."""
+    """Score of attributes with steps by distance (AGG-05, AGG-06). Only what is at most 500 apart is scored: it meets in a bin of that width or the next one."""
     c = t("customer").select(F.col("c_custkey").alias("a"), F.col("c_nationkey").alias("k"), F.col("c_acctbal").alias("x"))
     s = t("supplier").select(F.col("s_suppkey").alias("b"), F.col("s_nationkey").alias("k"), F.col("s_acctbal").alias("y"))
+    c = c.withColumn("bin", F.floor(F.col("x") / 500))
+    s = s.withColumn("bin", F.explode(F.array(*[F.floor(F.col("y") / 500) + i for i in (-1, 0, 1)])))
     far = F.abs(F.col("x") - F.col("y"))
     step = F.when(far <= 100, 2.0).when(far <= 300, 1.0).when(far > 1000, -4.0).when(far > 400, -1.0).otherwise(0.0)
-    return c.join(s, "k").select("a", "b", (F.lit(1.0) + step).alias("score"))
+    return c.join(s, ["k", "bin"]).where(far <= 500).select("a", "b", (F.lit(1.0) + step).alias("score"))
 
 
 @query("agg03_best_variant", """
