@@ -200,3 +200,38 @@ def greedy_assignment(pairs: DataFrame, key: str) -> DataFrame:
         return rows.loc[keep]
 
     return pairs.groupBy(key).applyInPandas(run, pairs.schema)
+
+
+def kin_of(item: Column, kin: dict[str, str]) -> tuple[Column, Column]:
+    """(relation, rest): the longest word of `kin` that a mention begins with, and what stands behind it; without one null and the mention."""
+    relation, rest = F.lit(None).cast("string"), item
+    for word in sorted(kin, key=len):
+        here = F.concat(item, F.lit(" ")).startswith(word + " ")
+        relation = F.when(here, kin[word]).otherwise(relation)
+        rest = F.when(here, F.trim(F.substring(item, len(word) + 1, 100_000))).otherwise(rest)
+    return relation, rest
+
+
+def relation_mentions(df: DataFrame, text: str, pack) -> DataFrame:
+    """Rows of df beside (no, role, rel, mention, kin, name) for every mention that a trigger of a language pack opens in a folded text.
+
+    A mention reaches to the next trigger or the end of its clause. Titles before it and formulas behind it are
+    off; what begins like no person is left out. All is one pass of expressions: triggers are marked in the
+    text, the pieces between marks are rows. Null and empty texts give no rows; equal rows give equal ones.
+    """
+    any_trigger = "|".join(pack.JOINED + p for p, _, _ in pack.TRIGGERS)
+    marked = F.regexp_replace(F.col(text), f"(?U){pack.BEFORE_TRIGGER}({any_trigger})", "\u0001$1\u0002")
+    pieces = df.select(*df.columns, F.posexplode(F.split(marked, "\u0001")).alias("no", "_piece")).where(F.col("no") > 0)
+    trigger, rest = F.split("_piece", "\u0002")[0], F.split("_piece", "\u0002")[1]
+    # a look ahead of a rule needs what stands behind the trigger
+    whole = F.regexp_replace("_piece", "\u0002", "")
+    role, rel = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for pattern, a, b in reversed(pack.TRIGGERS):
+        here = F.regexp_extract(whole, f"(?U)^({pack.JOINED}{pattern})", 1) == trigger
+        role, rel = F.when(here, a).otherwise(role), F.when(here, b).otherwise(rel)
+    d = pieces.select(*df.columns, "no", role.alias("role"), rel.alias("rel"), F.regexp_extract(F.concat(rest, F.lit("\n")), f"(?Us)^(.*?)(?:{pack.CLAUSE_END})", 1).alias("_clause"))
+    bare = F.regexp_replace(F.rtrim(F.regexp_replace(F.trim("_clause"), "[ .،؛]+$", "")), f"(?U){pack.TAIL}", "")
+    d = d.withColumn("mention", F.trim(F.regexp_replace(F.trim(bare), f"(?U){pack.TITLES}", ""))).drop("_clause")
+    d = d.where((F.col("mention") != "") & ~F.col("mention").rlike(f"(?U){pack.NOT_PERSON}"))
+    kin, name = kin_of(F.col("mention"), pack.KIN)
+    return d.select(*df.columns, "no", "role", "rel", "mention", kin.alias("kin"), name.alias("name"))
