@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import functools
+import math
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lexigraph.functions.numbers import EARTH_KM, haversine_km
 from lexigraph.operators.sequences import numbered
 from lexigraph.session import written
 
@@ -69,6 +71,27 @@ def nearest(points: DataFrame, nodes: DataFrame, id_col: str, node_col: str, dis
     return met.groupBy(id_col).agg(F.min_by(node_col, F.struct("km", node_col)).alias(node_col), F.min("km").alias("km"))
 
 
+def within_km(left: DataFrame, right: DataFrame, reach: float) -> DataFrame:
+    """Rows of left (a, x1, y1) beside the rows of right (b, x2, y2), longitudes and latitudes, that are at most `reach` km away, with km.
+
+    Points are in cubes of space whose side is the chord of the reach, so that all partners are in the 27 cubes
+    around one: an equi-join, at the poles and across the date line too. Null coordinates meet nothing.
+    """
+    radius = EARTH_KM / 2
+    side = 2 * radius * math.sin(min(reach / (2 * radius), math.pi / 2)) + 1e-3
+
+    def cube(lon: str, lat: str) -> list[Column]:
+        x, y = F.radians(lon), F.radians(lat)
+        return [F.floor(c * (radius / side)) for c in (F.cos(y) * F.cos(x), F.cos(y) * F.sin(x), F.sin(y))]
+
+    a = left.select("*", *[c.alias(f"_{i}") for i, c in enumerate(cube("x1", "y1"))])
+    b = right.select("*", *[c.alias(f"_c{i}") for i, c in enumerate(cube("x2", "y2"))])
+    for i in range(3):
+        b = b.withColumn(f"_{i}", F.explode(F.sequence(F.col(f"_c{i}") - 1, F.col(f"_c{i}") + 1))).drop(f"_c{i}")
+    met = a.join(b, ["_0", "_1", "_2"]).drop("_0", "_1", "_2")
+    return met.withColumn("km", haversine_km(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))).where(F.col("km") <= reach)
+
+
 def nearest_vectors(df: DataFrame, id_col: str, vector_col: str, is_query: Column, k: int, block: int = 2048) -> DataFrame:
     """(query, id, similarity): for each row of df that is a query the k rows of other ids with the largest cosine, by similarity to six digits and then by smaller id.
 
