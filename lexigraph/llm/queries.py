@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lexigraph.llm import bpe, lines, media, merkle, mixing, pii, quality, secrets, simhash, substrings
+from lexigraph.llm import bpe, lines, media, merkle, mixing, pii, quality, secrets, simhash, substrings, urls
 
 QUERIES = {
     "op1_media_columns": media.op1_media_columns,
@@ -15,8 +15,10 @@ QUERIES = {
     "op8_bpe": bpe.op8_bpe,
     "op9_personal_data": pii.op9_personal_data,
     "op10_mix_sources": mixing.op10_mix_sources,
+    "op11_url_filter": urls.op11_url_filter,
 }
 ORACLE_SQL = {
     "op5_line_dedup": lines.ORACLE_SQL,
     "op10_mix_sources": mixing.ORACLE_SQL,
+    "op11_url_filter": urls.ORACLE_SQL,
 }
