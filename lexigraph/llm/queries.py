@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lexigraph.llm import bpe, lines, media, merkle, mixing, pii, quality, secrets, simhash, substrings, urls
+from lexigraph.llm import bpe, divergence, lines, media, merkle, mixing, pii, quality, secrets, simhash, substrings, urls
 
 QUERIES = {
     "op1_media_columns": media.op1_media_columns,
@@ -16,9 +16,11 @@ QUERIES = {
     "op9_personal_data": pii.op9_personal_data,
     "op10_mix_sources": mixing.op10_mix_sources,
     "op11_url_filter": urls.op11_url_filter,
+    "op12_source_divergence": divergence.op12_source_divergence,
 }
 ORACLE_SQL = {
     "op5_line_dedup": lines.ORACLE_SQL,
     "op10_mix_sources": mixing.ORACLE_SQL,
     "op11_url_filter": urls.ORACLE_SQL,
+    "op12_source_divergence": divergence.ORACLE_SQL,
 }
