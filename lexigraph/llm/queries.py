@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lexigraph.llm import bpe, divergence, lines, media, merkle, mixing, pii, quality, secrets, simhash, substrings, urls
+from lexigraph.llm import bpe, conversations, divergence, lines, media, merkle, mixing, pii, quality, secrets, simhash, substrings, urls
 
 QUERIES = {
     "op1_media_columns": media.op1_media_columns,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_mix_sources": mixing.op10_mix_sources,
     "op11_url_filter": urls.op11_url_filter,
     "op12_source_divergence": divergence.op12_source_divergence,
+    "op13_conversation_repair": conversations.op13_conversation_repair,
 }
 ORACLE_SQL = {
     "op5_line_dedup": lines.ORACLE_SQL,
