@@ -100,7 +100,8 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, id_col: str = "page_id", u
 
     outcomes has (item, good boolean), and `item` is the column of pages that names it (its id unless given);
     an item with several outcomes is good if all are. The verdict is the rule's, else "block" where even the upper
-    posterior bound of the host's share of good pages is below LEAST_GOOD, and "allow" elsewhere: without evidence nothing is blocked.
+    posterior bound of the host's share of good pages is below LEAST_GOOD, and "allow" elsewhere. A host without
+    outcomes is judged by those of its domain, a domain without them by its suffix, and that by all pages.
 
     Only (host, item) with its number of pages is joined to the outcomes, and only (host, counts) to the levels
     above; counts are summed before they move. Hosts are then a written table with one row each, so the join
