@@ -189,7 +189,18 @@ def one_digit_off(a: Column, b: Column) -> Column:
 
 
 def article_off(c: Column) -> Column:
-    return F.when(c.startswith("ال") & (F.length(c) > 4), F.substring(c, 3, 10_000)).otherwise(c)
+    return F.when(c.startswith("ال") & (F.length(c) > 4), c.substr(F.lit(3), F.length(c))).otherwise(c)
+
+
+def strip_name(c: Column) -> Column:
+    """A name without brackets and what they hold, Abdal-X in two words."""
+    return F.regexp_replace(F.regexp_replace(c, r"\([^)]*\)|\[[^\]]*\]", " "), "(Abd|abd)(al|el)-", "$1 $2-")
+
+
+def capitalised(c: Column) -> Column:
+    """The first letter large, i and ı by the Turkish rule; the rest stays."""
+    first = F.substring(c, 1, 1)
+    return F.concat(F.when(first == "i", "İ").when(first == "ı", "I").otherwise(F.upper(first)), c.substr(F.lit(2), F.length(c)))
 
 
 def pair_id(a: Column, b: Column) -> Column:

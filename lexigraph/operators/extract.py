@@ -208,7 +208,7 @@ def kin_of(item: Column, kin: dict[str, str]) -> tuple[Column, Column]:
     for word in sorted(kin, key=len):
         here = F.concat(item, F.lit(" ")).startswith(word + " ")
         relation = F.when(here, kin[word]).otherwise(relation)
-        rest = F.when(here, F.trim(F.substring(item, len(word) + 1, 100_000))).otherwise(rest)
+        rest = F.when(here, F.trim(item.substr(F.lit(len(word) + 1), F.length(item)))).otherwise(rest)
     return relation, rest
 
 

@@ -128,9 +128,10 @@ def _(t):
 
 @query("agg29_text_frequency", "SELECT doc_id, count(*) OVER (PARTITION BY text) AS n FROM documents")
 def _(t):
-    """How often a document's whole text is found; hashes of the texts are counted, and the counts joined back."""
+    """How often a document's whole text is found (null texts are one text); hashes of the texts are counted, and the counts joined back."""
     d = t("documents").select("doc_id", F.sha2("text", 256).alias("text"))
-    return d.join(d.groupBy("text").agg(F.count("*").alias("n")), "text").select("doc_id", "n")
+    counts = d.groupBy(F.col("text").alias("of")).agg(F.count("*").alias("n"))
+    return d.join(counts, F.col("text").eqNullSafe(F.col("of"))).select("doc_id", "n")
 
 
 @query("agg30_featured", "SELECT c_custkey, s FROM (SELECT c_custkey, 3 * count(DISTINCT o_orderstatus) + count(o_orderkey) AS s FROM customer JOIN orders ON o_custkey = c_custkey WHERE c_mktsegment <> '' GROUP BY c_custkey) x ORDER BY s DESC, c_custkey LIMIT 18")

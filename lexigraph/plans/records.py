@@ -14,10 +14,10 @@ def _(t):
     return t("part").select("p_partkey", F.regexp_replace("p_name", "([a-z]) of ([a-z])", "$1 o. $2").alias("value"))
 
 
-@query("str14_tidy_heading", r"SELECT doc_id, h || CASE WHEN n_chars % 2 = 0 THEN ' [d. ' || n_chars || ']' ELSE '' END AS heading FROM (SELECT doc_id, n_chars, trim(regexp_replace(regexp_replace(substr(text, 1, 50), '[\s]+', ' ', 'g'), '\s*,\s*', ', ', 'g'), ' .,:-') AS h FROM documents) x")
+@query("str14_tidy_heading", r"SELECT doc_id, h || CASE WHEN n_chars % 2 = 0 THEN ' [d. ' || n_chars || ']' ELSE '' END AS heading FROM (SELECT doc_id, n_chars, trim(regexp_replace(regexp_replace(text, '[\s]+', ' ', 'g'), '\s*,\s*', ', ', 'g'), ' .,:-') AS h FROM documents) x")
 def _(t):
     """Tidied name with its death note (STR-14, STR-15)."""
-    h = F.btrim(F.regexp_replace(F.regexp_replace(F.substring("text", 1, 50), r"[\s]+", " "), r"\s*,\s*", ", "), F.lit(" .,:-"))
+    h = F.btrim(F.regexp_replace(F.regexp_replace("text", r"[\s]+", " "), r"\s*,\s*", ", "), F.lit(" .,:-"))
     return t("documents").select("doc_id", F.concat(h, F.when(F.col("n_chars") % 2 == 0, F.concat(F.lit(" [d. "), "n_chars", F.lit("]"))).otherwise("")).alias("heading"))
 
 

@@ -136,10 +136,11 @@ def _(t):
     return t("lineitem").select("l_orderkey", "l_linenumber", X.pair_id(F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")).alias("pair"))
 
 
-@query("str33_capitalised", "SELECT doc_id, upper(left(w, 1)) || substr(w, 2) AS value FROM (SELECT doc_id, regexp_extract(regexp_replace(lower(text), '[^a-z ]', '', 'g'), '^[a-z]+', 0) AS w FROM documents) x")
+@query("str33_capitalised", r"SELECT doc_id, pos, CASE left(w, 1) WHEN 'i' THEN 'İ' WHEN 'ı' THEN 'I' WHEN 'ß' THEN 'SS' ELSE upper(left(w, 1)) END || substr(w, 2) AS value FROM (SELECT doc_id, CAST(generate_subscripts(w, 1) - 1 AS BIGINT) AS pos, unnest(w) AS w FROM (SELECT doc_id, regexp_extract_all(regexp_replace(regexp_replace(text, '\([^)]*\)|\[[^\]]*\]', ' ', 'g'), '(Abd|abd)(al|el)-', '\1 \2-', 'g'), '[\p{L}''’-]+') AS w FROM documents) x) y")
 def _(t):
-    w = F.regexp_extract(F.regexp_replace(F.lower("text"), "[^a-z ]", ""), "^[a-z]+", 0)
-    return t("documents").select("doc_id", F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 10_000)).alias("value"))
+    """Every word of a text without what stands in brackets, its first letter large by the rule of the dotted i (STR-33)."""
+    words = F.regexp_extract_all(X.strip_name(F.col("text")), F.lit(r"[\p{L}'’-]+"), F.lit(0))
+    return t("documents").select("doc_id", F.posexplode(words).alias("pos", "w")).select("doc_id", F.col("pos").cast("long").alias("pos"), X.capitalised(F.col("w")).alias("value"))
 
 
 @query("str34_mention_cleanup", r"SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(replace(text, chr(10), ' '), '\([^)]*\)', '', 'g'), '[,;:.]+$', ''), '\s+(and|und|et|y)$', '')) AS value FROM documents")

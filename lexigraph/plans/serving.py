@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Window, functions as F
 
+from lexigraph.functions.text import quote
 from lexigraph.operators.joins import nearest_vectors
 from lexigraph.operators.sequences import numbered
-from lexigraph.plans.registry import query
+from lexigraph.plans.registry import ORACLE_SQL, query
 from lexigraph.sources.sinks import shard
 
 
@@ -124,11 +125,11 @@ def _(t):
     return t("events").groupBy(F.col("event_type").alias("reason"), "user_id").agg(F.count("*").alias("times")).where("times >= 2")
 
 
-@query("snk18_text_bundle", "SELECT doc_id, coalesce(CASE WHEN doc_id % 9 = 0 THEN 'fixed' END, left(text, 100)) AS text, doc_id % 64 AS shard FROM documents")
+@query("snk18_text_bundle", "SELECT q.doc_id, coalesce(f.text, q.value) AS text, q.doc_id % 64 AS shard FROM (" + ORACLE_SQL["str23_quote"] + ") q LEFT JOIN benchmark f ON f.item_id = q.doc_id")
 def _(t):
-    """Texts with manual fixes laid over, cut, beside their shard."""
-    fixes = t("documents").where("doc_id % 9 = 0").select("doc_id", F.lit("fixed").alias("fix"))
-    return t("documents").join(fixes, "doc_id", "left").select("doc_id", F.coalesce("fix", F.substring("text", 1, 100)).alias("text"), (F.col("doc_id") % 64).alias("shard"))
+    """Quotes of texts, whole fixes of a table of fixes laid over, beside their shard."""
+    fixes = t("benchmark").select(F.col("item_id").alias("doc_id"), F.col("text").alias("fix"))
+    return t("documents").join(fixes, "doc_id", "left").select("doc_id", F.coalesce("fix", quote(F.col("text"))).alias("text"), (F.col("doc_id") % 64).alias("shard"))
 
 
 @query("ext_cosine_topk", "SELECT q.vec_id AS q, arg_max(b.vec_id, struct_pack(s := round(list_cosine_similarity(q.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6), v := -b.vec_id)) AS best FROM embeddings q JOIN embeddings b ON q.vec_id <> b.vec_id WHERE q.vec_id % 50 = 0 GROUP BY q.vec_id")
