@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexigraph.llm import bpe, lines, mixing, quality, simhash
+from lexigraph.llm.common import free_name
 from lexigraph.session import written
 
 #: Near-duplicates of the pipeline: shingles of five words, Jaccard similarity of 0.8 or more; fingerprints at four or fewer differing bits are the first candidates.
@@ -15,14 +16,17 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents whose quality score is at least the operator's threshold."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.fit(docs, labels.where(~quality.held_out(F.col("doc_id"))))
-    scored = quality.score_quality(docs, model, keep=tuple(docs.columns), out="quality score")
-    return scored.where(F.col("quality score") >= quality.THRESHOLD).select(*docs.columns)
+    score = free_name("quality_score", docs)
+    scored = quality.score_quality(docs, model, keep=tuple(docs.columns), out=score)
+    return scored.where(F.col(score) >= quality.THRESHOLD).drop(score)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that an earlier document holds; n_chars follows."""
-    kept = lines.dedup_lines(docs, keep=("lang", "source"))
-    return kept.select("doc_id", F.col("kept").alias("text"), "lang", "source", F.char_length("kept").cast("long").alias("n_chars"))
+    """Documents without the lines that an earlier document holds; n_chars follows, columns of any other name are kept."""
+    others = F.struct(*[docs[c] for c in docs.columns if c != "text"])
+    kept = lines.dedup_lines(docs.select("doc_id", "text", others.alias("others")), keep=("others",))
+    made = {"text": F.col("kept"), "n_chars": F.char_length("kept").cast("long")}
+    return kept.select(*[made.get(c, F.col("others")[c]).alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
