@@ -127,7 +127,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = map_columns(texts, run, "l_id long, label int, counts binary").toPandas()
     if not len(rows):
         return None
-    rows = rows.drop_duplicates("l_id").sort_values("l_id")
+    rows = rows.sort_values(["l_id", "counts"]).drop_duplicates("l_id")  # of rows with one id the same one in every run
     return Model(np.stack([np.frombuffer(c, np.float32) for c in rows["counts"]]), rows["label"].to_numpy(), shares=shares)
 
 

@@ -168,8 +168,24 @@ def test_empty_tables(spark, folder, name):
 def test_pipeline_on_odd_rows(spark, folder, rows):
     assert corpus_pipeline.run(spark, f"{folder}/empty").count() == 0
     docs = spark.read.parquet(f"{folder}/documents.parquet")
-    for name, stage in corpus_pipeline.STAGES[1:]:
-        kept = stage(spark, docs, folder)
+    odd = docs.withColumn("quality score", F.lit(1)).withColumn("quality_score", F.lit(2)).withColumn("kept", F.lit("k")).withColumn("n_lines", F.lit(3)).withColumn("others", F.lit(4)).withColumn("rest", F.lit(5))
+    for name, stage in corpus_pipeline.STAGES:
+        kept = stage(spark, odd, folder)
         if name != corpus_pipeline.STAGES[-1][0]:
-            assert {"doc_id", "text", "lang", "source", "n_chars"} <= set(kept.columns)
-        assert 0 < kept.count() <= 3 * len(rows)
+            assert set(kept.columns) == set(odd.columns)
+            assert kept.where("kept <> 'k' or rest <> 5 or gone <> 'x'").isEmpty()
+        assert kept.count() <= 3 * len(rows) and (name == "quality classifier" or kept.count() > 0)
+
+
+def test_run_on_odd_rows(spark, folder, rows, monkeypatch):
+    monkeypatch.setattr(quality, "THRESHOLD", 0.0)
+    done = corpus_pipeline.run(spark, folder)
+    assert 0 < done.count() <= 3 * len(rows) and "ids_sha256" in done.columns
+
+
+def test_an_id_with_two_texts_gives_one_model(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    twice = docs.union(docs.where("doc_id is not null").withColumn("text", F.concat(F.lit("other words "), F.coalesce("text", F.lit("")))))
+    models = [quality.fit(twice.repartition(n), labels) for n in (1, 7)]
+    assert [m.scores(quality.term_counts("some words and lines")[None, :])[0] for m in models] == [models[0].scores(quality.term_counts("some words and lines")[None, :])[0]] * 2
