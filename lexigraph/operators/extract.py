@@ -20,6 +20,88 @@ def rule_hits(df: DataFrame, text: str, rules: list[tuple[str, str, str]], befor
     return d.select(*df.columns, "_h.rule", "_h.label", "_h.at", F.substring(F.col(text), start, F.col("_h.at") + after - start).alias("evidence"))
 
 
+def spans(text: Column, pattern: str) -> Column:
+    """array<struct<start, stop, match>>: all matches of a pattern that is never empty, from the left, by characters from 0. Null without text.
+
+    For patterns that match now and then; every word of a text is better exploded and its place summed, as place_mentions does.
+    """
+    match = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    gap = F.split(text, pattern, -1)
+
+    def step(state, k):
+        start = state["at"] + F.length(F.element_at(gap, k))
+        stop = start + F.length(F.element_at(match, k))
+        return F.struct(stop.alias("at"), F.concat(state["out"], F.array(F.struct(start.alias("start"), stop.alias("stop"), F.element_at(match, k).alias("match")))).alias("out"))
+
+    none = F.array().cast("array<struct<start: int, stop: int, match: string>>")
+    found = F.aggregate(F.sequence(F.lit(1), F.size(match)), F.struct(F.lit(0).alias("at"), none.alias("out")), step)["out"]
+    return F.when(F.size(match) > 0, found).when(text.isNotNull(), none)
+
+
+def rule_spans(text: Column, rules: list[tuple[str, str]]) -> Column:
+    """array<struct<start, rule, stop, match, name>>: the matches of all rules (name, pattern), of those that overlap the leftmost, then that of the first rule.
+
+    Every rule is matched for itself, so rules may have groups and flags of their own; what they find is then put in order and swept once.
+    """
+    def of_rule(k: int, name: str, pattern: str) -> Column:
+        return F.transform(spans(text, pattern), lambda x: F.struct(x["start"].alias("start"), F.lit(k).alias("rule"), x["stop"].alias("stop"), x["match"].alias("match"), F.lit(name).alias("name")))
+
+    found = F.array_sort(F.flatten(F.array(*[of_rule(k, name, pattern) for k, (name, pattern) in enumerate(rules)])))
+    kind = "array<struct<start: int, rule: int, stop: int, match: string, name: string>>"
+    sweep = F.aggregate(
+        found, F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out")),
+        lambda state, x: F.when(x["start"] >= state["at"], F.struct(x["stop"].alias("at"), F.concat(state["out"], F.array(x)).cast(kind).alias("out"))).otherwise(state),
+    )
+    return sweep["out"]
+
+
+_REFERENCE = "struct<number: int, vol: int, page: int>"
+
+
+def reference_at(tail: Column, pack) -> Column:
+    """struct<number, vol, page>: what a citation says behind the title of its work; null where no number stands there.
+
+    An author and punctuation may come first. A number behind its word is the entry's; a/b is volume and page, in either order
+    (a volume is at most pack.VOLUMES), and c, a/b is volume a and the smaller page, as text from right to left puts it; a bare number is a page.
+    """
+    t = F.regexp_replace(F.regexp_replace(tail, pack.GAP, ""), pack.PAGE_WORD, "")
+    number = lambda p, k: F.translate(F.regexp_extract(t, p, k), pack.DIGITS, "0123456789").try_cast("int")
+    n = pack.NUMBER
+    entry = number(f"^{pack.ENTRY_WORD}\\s*({n})", 1)
+    pair = rf"^(?:({n})\s*[،,]\s*)?({n})\s*/\s*({n})"
+    first, a, b = (number(pair, k) for k in (1, 2, 3))
+    most = F.lit(pack.VOLUMES)
+    none = F.lit(None).cast("int")
+    out = lambda number, vol, page: F.struct(number.alias("number"), vol.alias("vol"), page.alias("page"))
+    by_pair = F.when(first.isNotNull(), out(none, a, F.least(first, b))).when(a <= most, out(none, a, b)).when(b <= most, out(none, b, a))
+    page = number(f"^({n})", 1)
+    return F.when(entry.isNotNull(), out(entry, none, none)).when(a.isNotNull(), by_pair).when(page.isNotNull(), out(none, none, page))
+
+
+def references(df: DataFrame, text: str, pack, reach: int = 60) -> DataFrame:
+    """Rows of df beside (at, target, number, vol, page, evidence) for every work of pack.WORKS that its text cites. Null texts give no rows."""
+    d = df.select(*df.columns, F.explode(rule_spans(F.col(text), pack.WORKS)).alias("_x"))
+    tail = F.substr(F.col(text), F.col("_x.stop") + 1, F.lit(reach))
+    d = d.withColumn("_r", reference_at(tail, pack)).where("_r IS NOT NULL")
+    evidence = F.substr(F.col(text), F.col("_x.start") + 1, F.col("_x.stop") - F.col("_x.start") + 40)
+    return d.select(*df.columns, F.col("_x.start").alias("at"), F.col("_x.name").alias("target"), "_r.number", "_r.vol", "_r.page", evidence.alias("evidence"))
+
+
+def cited_entries(refs: DataFrame, entries: DataFrame, width: int = 16) -> DataFrame:
+    """refs (…, target, number, vol, page) beside the entries (book, number, vol, page_start, page_end, entry) that they may mean.
+
+    A number is an equi-join. A page meets the entries that it lies in, or one page before, by bins of `width` pages, so
+    that a book is not one key; the volume must be the entry's where the citation has one.
+    """
+    e = entries.select("entry", "book", F.col("number").alias("e_number"), F.col("vol").alias("e_vol"), "page_start", "page_end")
+    by_number = refs.where("number IS NOT NULL").join(e, (F.col("target") == F.col("book")) & (F.col("number") == F.col("e_number")))
+    bins = e.where("page_start <= page_end").withColumn("bin", F.explode(F.sequence(F.floor((F.col("page_start") - 1) / width), F.floor(F.col("page_end") / width))))
+    r = refs.where("number IS NULL AND page IS NOT NULL").withColumn("r_bin", F.floor(F.col("page") / width))
+    inside = F.col("page").between(F.col("page_start") - 1, F.col("page_end")) & (F.col("vol").isNull() | (F.col("vol") == F.col("e_vol")))
+    by_page = r.join(bins, (F.col("target") == F.col("book")) & (F.col("r_bin") == F.col("bin")) & inside)
+    return by_number.select(*refs.columns, "entry").union(by_page.select(*refs.columns, "entry"))
+
+
 def first_rule(c: Column, rules: list[tuple[str, str]], default: str | None = None) -> Column:
     """The value of the first rule (pattern, value) that matches."""
     out = F.lit(default)
@@ -66,6 +148,54 @@ def window_hits(triggers: DataFrame, places: DataFrame, reach: int) -> DataFrame
     return met.groupBy("id", "at", "kind").agg(F.min_by("place", "pos").alias("place"))
 
 
+def place_mentions(df: DataFrame, id_col: str, text: str, names: DataFrame, pack) -> DataFrame:
+    """(id, at, kind, place, word): for each trigger of a text the first place behind it, or the last place before it where a pronoun refers there.
+
+    names (name, place) are keys of up to pack.WORDS words. A word may carry a prefix of pack.PREFIXES, which a name is looked up
+    without too; a place counts if it carries one, stands behind a preposition or right behind the trigger. The window of a
+    trigger is pack.WINDOW words; it ends at punctuation and at the next trigger. A pronoun stands for the last place that counts before the trigger, if that is at most pack.REACH characters before the pronoun. `at` is the trigger's place in the text.
+
+    One explode of the words with their places, one join on the first word of names, and windows over the words
+    of one text. Null texts give no rows; rows of one id are one text, so ids must be unique.
+    """
+    match = F.regexp_extract_all(F.col(text), F.lit(pack.TOKEN), F.lit(0))
+    gap = F.slice(F.split(F.col(text), pack.TOKEN, -1), F.lit(1), F.size(match))
+    words = df.select(F.col(id_col).alias("id"), match.alias("m"), gap.alias("g")).where(F.size("m") > 0)
+    words = words.select("id", F.posexplode(F.arrays_zip(F.col("m").alias("word"), F.transform("g", F.length).alias("gap"))).alias("i", "x")).select("id", "i", "x.word", "x.gap")
+    of_text = Window.partitionBy("id").orderBy("i")
+    so_far = F.sum(F.col("gap") + F.length("word")).over(of_text.rowsBetween(Window.unboundedPreceding, 0))
+    w = words.select("id", "i", "word", (so_far - F.length("word")).cast("int").alias("pos"), F.lag("word").over(of_text).alias("before"), *[F.lead("word", k).over(of_text).alias(f"w{k}") for k in range(1, pack.WORDS)])
+    trigger = F.lit(None).cast("string")
+    for kind, pattern in reversed(pack.TRIGGERS):
+        trigger = F.when(F.col("word").rlike(f"^(?:{pack.JOINED})?(?:{pattern}){pack.ENDING}$"), kind).otherwise(trigger)
+    w = w.withColumn("kind", trigger).withColumn("stop", F.col("word").rlike(pack.STOP)).withColumn("pronoun", F.col("word").isin(*pack.PRONOUNS))
+    # names are met by their first word, with and without the prefix
+    bare = F.regexp_replace("word", f"^(?:{pack.PREFIXES})(?=..)", "")
+    heads = names.select("name", "place", F.split("name", " ").alias("ws")).where(F.size("ws") <= pack.WORDS).groupBy(F.col("ws")[0].alias("head")).agg(F.collect_list(F.struct(F.size("ws").alias("n"), "name", "place")).alias("names"))
+    looks = w.where("NOT stop").withColumn("v", F.explode(F.array_distinct(F.array(F.struct(F.lit(1).alias("whole"), F.col("word").alias("head")), F.struct(F.when(bare == F.col("word"), 1).otherwise(0).alias("whole"), bare.alias("head"))))))
+    run = F.array("v.head", *[F.coalesce(f"w{k}", F.lit("")) for k in range(1, pack.WORDS)])
+    fits = F.filter("names", lambda x: F.array_join(F.slice(run, F.lit(1), x["n"]), " ") == x["name"])
+    best = F.array_max(F.transform(fits, lambda x: F.struct(x["n"], F.col("v.whole").alias("whole"), x["name"], x["place"])))
+    hits = looks.join(heads, F.col("v.head") == F.col("head")).select("id", "i", best.alias("hit")).where("hit IS NOT NULL").groupBy("id", "i").agg(F.max("hit").alias("hit"))
+    w = w.join(hits, ["id", "i"], "left")
+    reach = F.max(F.col("i") + F.col("hit.n")).over(of_text.rowsBetween(1 - pack.WORDS, -1))
+    w = w.withColumn("inside", F.coalesce(reach > F.col("i"), F.lit(False)))
+    counts = F.col("hit").isNotNull() & ~F.col("inside") & ((F.col("hit.whole") == 0) | F.coalesce(F.col("before").rlike(pack.PREPOSITION), F.lit(False)) | F.col("behind"))
+    w = w.withColumn("behind", F.lag("kind").over(of_text).isNotNull()).withColumn("counts", counts)
+    place = F.struct(F.col("hit.place").alias("place"), F.col("hit.name").alias("name"), "pos")
+    what = F.when(F.col("stop"), "stop").when(F.col("pronoun"), "pronoun").when(F.col("counts"), "place").when(F.col("hit").isNull() & F.col("kind").isNotNull() & ~F.col("inside"), "trigger")
+    w = w.withColumn("event", F.when(what.isNotNull(), F.struct("i", what.alias("what"), place.alias("p"), "word", "pos")))
+    ahead = of_text.rowsBetween(1, pack.WINDOW - 1)
+    w = w.select(
+        "*", F.min("event").over(ahead).alias("first"), F.min(F.when(F.col("event.what") != "pronoun", F.col("event"))).over(ahead).alias("other"),
+        F.last(F.when(F.col("counts"), place), ignorenulls=True).over(of_text.rowsBetween(Window.unboundedPreceding, -1)).alias("last"),
+    )
+    w = w.where("kind IS NOT NULL")
+    back = (F.col("first.what") == "pronoun") & (F.col("first.pos") - F.col("last.pos") <= pack.REACH)
+    w = w.withColumn("took", F.when(F.coalesce(back, F.lit(False)), F.struct("last.place", "first.word")).when(F.col("other.what") == "place", F.struct("other.p.place", F.col("other.p.name").alias("word"))))
+    return w.where("took IS NOT NULL").select("id", F.col("pos").alias("at"), "kind", "took.place", "took.word")
+
+
 _WORDS = T.ArrayType(T.StringType())
 NAME = T.StructType([T.StructField("chain", _WORDS), T.StructField("kunya", T.StringType()), T.StructField("nisbas", _WORDS), T.StructField("laqabs", _WORDS)])
 

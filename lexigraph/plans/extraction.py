@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 from pyspark.sql import Window, functions as F
 
 from lexigraph.operators import extract as X
@@ -201,3 +203,70 @@ def _(t):
     a, b = "".join(LETTERS), "".join(LETTERS.values())
     s = F.translate(F.lower("n_name"), a, b)
     return t("nation").select("n_nationkey", s.alias("script"), F.translate(s, b, a).alias("back"))
+
+
+#: A pack for the notes of these documents: what is cited, and how a number is written behind it.
+NOTES = SimpleNamespace(
+    WORKS=[("country", r"\+[0-9]"), ("part", r"[0-9]{1,3}\."), ("key", "(?:token|secret|password|api_?key)"), ("mail", "[a-z]+@[a-z]+"), ("digits", "[0-9]{3}")],
+    DIGITS="0123456789", NUMBER="[0-9]+", ENTRY_WORD="(?:mail|\\()", PAGE_WORD="^[a-f]+", GAP="^[\\s=:\"']*", VOLUMES=5,
+)
+
+
+def _sql(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+def _spans_sql(k: int, name: str, pattern: str) -> str:
+    m, g = f"regexp_extract_all(text, {_sql(pattern)})", f"string_split_regex(text, {_sql(pattern)})"
+    return f"""list_transform(range(1, len({m}) + 1), lambda k: {{'start': CAST(list_sum(list_transform({g}[1:k], lambda y: length(y))) + coalesce(list_sum(list_transform({m}[1:k-1], lambda y: length(y))), 0) AS INTEGER), 'rule': {k}, 'match': {m}[k], 'name': {_sql(name)}}})"""
+
+
+_FOUND = "list_sort(flatten([" + ", ".join(_spans_sql(k, *w) for k, w in enumerate(NOTES.WORKS)) + "]))"
+_SWEPT = f"""SELECT doc_id, text, unnest(list_reduce({_FOUND}, lambda s, x: CASE WHEN x.start >= s.at THEN {{'at': CAST(x.start + length(x.match) AS INTEGER), 'out': list_append(s.out, x)}} ELSE s END, {{'at': 0, 'out': []::STRUCT("start" INTEGER, rule INTEGER, "match" VARCHAR, "name" VARCHAR)[]}}).out) AS x FROM documents"""
+
+
+@query("ext03_citations", rf"""
+WITH s AS ({_SWEPT}),
+r AS (SELECT doc_id, x.start AS pos, x.name AS target, regexp_replace(regexp_replace(substr(text, x.start + length(x.match) + 1, 60), {_sql(NOTES.GAP)}, ''), '{NOTES.PAGE_WORD}', '') AS t FROM s),
+n AS (SELECT *, TRY_CAST(nullif(regexp_extract(t, '^{NOTES.ENTRY_WORD}\s*([0-9]+)', 1), '') AS INTEGER) AS e, TRY_CAST(nullif(regexp_extract(t, '^(?:([0-9]+)\s*[،,]\s*)?([0-9]+)\s*/\s*([0-9]+)', 1), '') AS INTEGER) AS f,
+        TRY_CAST(nullif(regexp_extract(t, '^(?:([0-9]+)\s*[،,]\s*)?([0-9]+)\s*/\s*([0-9]+)', 2), '') AS INTEGER) AS a, TRY_CAST(nullif(regexp_extract(t, '^(?:([0-9]+)\s*[،,]\s*)?([0-9]+)\s*/\s*([0-9]+)', 3), '') AS INTEGER) AS b,
+        TRY_CAST(nullif(regexp_extract(t, '^([0-9]+)', 1), '') AS INTEGER) AS p FROM r)
+SELECT doc_id, CAST(pos AS INTEGER) AS pos, target, e AS number, CASE WHEN e IS NOT NULL OR a IS NULL THEN NULL WHEN f IS NOT NULL OR a <= 5 THEN a ELSE b END AS vol,
+       CASE WHEN e IS NOT NULL THEN NULL WHEN a IS NULL THEN p WHEN f IS NOT NULL THEN least(f, b) WHEN a <= 5 THEN b ELSE a END AS page
+FROM n WHERE e IS NOT NULL OR (a IS NOT NULL AND (f IS NOT NULL OR a <= 5 OR b <= 5)) OR (a IS NULL AND p IS NOT NULL)""")
+def _(t):
+    """Citations by the spans of five patterns, overlaps settled, with number, volume or page (EXT-03)."""
+    r = X.references(t("documents").select("doc_id", "text"), "text", NOTES)
+    return r.select("doc_id", F.col("at").alias("pos"), "target", "number", "vol", "page")
+
+
+#: A pack for places in these documents: short words are triggers, prepositions and pronouns, common beginnings are prefixes.
+PLACES = SimpleNamespace(
+    TRIGGERS=[("birth", "of"), ("travel", "to|into"), ("residence", "in|en|la"), ("death", "was")], JOINED="a", ENDING=".{0,1}", PREFIXES="the?|re|an", PREPOSITION="^(?:the|by|with|de|der)$",
+    PRONOUNS=("it", "that", "es"), TOKEN=r"[\p{L}\p{N}]+|[.;:!?\n]", STOP=r"^[.;:!?\n]$", WORDS=4, WINDOW=14, REACH=120,
+)
+
+
+@query("ext14_place_mentions", rf"""
+WITH {_GAZ.split("w AS (SELECT doc_id")[0].rstrip().rstrip(",")},
+m0 AS (SELECT doc_id AS id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+|[.;:!?\n]') AS m, string_split_regex(lower(text), '[\p{{L}}\p{{N}}]+|[.;:!?\n]') AS g FROM documents),
+k0 AS (SELECT id, CAST(unnest(range(0, len(m))) AS BIGINT) AS i, unnest(m) AS word, unnest(g[1:len(m)]) AS gap FROM m0),
+k AS (SELECT *, sum(length(gap)) OVER u + sum(length(word)) OVER u - length(word) AS pos, lag(word) OVER o AS before, lead(word, 1) OVER o AS w1, lead(word, 2) OVER o AS w2, lead(word, 3) OVER o AS w3,
+        regexp_matches(word, '^[.;:!?\n]$') AS stop, word IN ('it', 'that', 'es') AS pronoun, regexp_replace(word, '^(?:the?|re|an)(..)', '\1') AS bare,
+        CASE WHEN regexp_matches(word, '^(?:a)?(?:of).{{0,1}}$') THEN 'birth' WHEN regexp_matches(word, '^(?:a)?(?:to|into).{{0,1}}$') THEN 'travel' WHEN regexp_matches(word, '^(?:a)?(?:in|en|la).{{0,1}}$') THEN 'residence' WHEN regexp_matches(word, '^(?:a)?(?:was).{{0,1}}$') THEN 'death' END AS kind
+      FROM k0 WINDOW o AS (PARTITION BY id ORDER BY i), u AS (PARTITION BY id ORDER BY i ROWS UNBOUNDED PRECEDING)),
+v AS (SELECT id, i, word AS head, 1 AS whole, w1, w2, w3 FROM k WHERE NOT stop UNION ALL SELECT id, i, bare, 0, w1, w2, w3 FROM k WHERE NOT stop AND bare <> word),
+c AS (SELECT v.*, h.n, h.name, h.place FROM v JOIN g h ON split_part(h.name, ' ', 1) = v.head AND h.name = array_to_string([head, coalesce(w1, ''), coalesce(w2, ''), coalesce(w3, '')][1:h.n], ' ')),
+h AS (SELECT id, i, max({{'n': n, 'whole': whole, 'name': name, 'place': place}}) AS hit FROM c GROUP BY id, i),
+j AS (SELECT k.*, h.hit, coalesce(max(k.i + h.hit.n) OVER (PARTITION BY k.id ORDER BY k.i ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) > k.i, false) AS inside, lag(k.kind) OVER (PARTITION BY k.id ORDER BY k.i) IS NOT NULL AS behind FROM k LEFT JOIN h ON h.id = k.id AND h.i = k.i),
+e0 AS (SELECT *, hit IS NOT NULL AND NOT inside AND (hit.whole = 0 OR coalesce(regexp_matches(before, '^(?:the|by|with|de|der)$'), false) OR behind) AS counts FROM j),
+e AS (SELECT *, CASE WHEN stop THEN 'stop' WHEN pronoun THEN 'pronoun' WHEN counts THEN 'place' WHEN hit IS NULL AND kind IS NOT NULL AND NOT inside THEN 'trigger' END AS what FROM e0),
+f AS (SELECT *, min(CASE WHEN what IS NOT NULL THEN i END) OVER a AS fi, min(CASE WHEN what IS NOT NULL AND what <> 'pronoun' THEN i END) OVER a AS oi, max(CASE WHEN counts THEN i END) OVER b AS li
+      FROM e WINDOW a AS (PARTITION BY id ORDER BY i ROWS BETWEEN 1 FOLLOWING AND 13 FOLLOWING), b AS (PARTITION BY id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+o AS (SELECT f.id, f.pos, f.kind, CASE WHEN x.what = 'pronoun' AND x.pos - l.pos <= 120 THEN l.hit.place WHEN y.what = 'place' THEN y.hit.place END AS place, CASE WHEN x.what = 'pronoun' AND x.pos - l.pos <= 120 THEN x.word WHEN y.what = 'place' THEN y.hit.name END AS word
+      FROM f LEFT JOIN f x ON x.id = f.id AND x.i = f.fi LEFT JOIN f y ON y.id = f.id AND y.i = f.oi LEFT JOIN f l ON l.id = f.id AND l.i = f.li WHERE f.kind IS NOT NULL)
+SELECT id, CAST(pos AS INTEGER) AS pos, kind, place, word FROM o WHERE place IS NOT NULL""")
+def _(t):
+    """Places of eight kinds behind their triggers, with prefixes, prepositions and pronouns that refer back (EXT-14)."""
+    p = X.place_mentions(t("documents").select("doc_id", F.lower("text").alias("text")), "doc_id", "text", names(t), PLACES)
+    return p.select("id", F.col("at").alias("pos"), "kind", "place", "word")
