@@ -43,3 +43,34 @@ def test_places_by_kind_and_pronoun(spark):
         (0, "birth", "BUKHARA"), (0, "travel", "BAGHDAD"), (0, "activity", "BAGHDAD"), (0, "travel", "MAKKA"), (0, "residence", "MAKKA"), (0, "death", "SAMARQAND"), (0, "burial", "SAMARQAND"),
         (2, "travel", "BAGHDAD"), (3, "travel", "QUDS"), (3, "death", "QUDS"),
     ]
+
+
+# The part of the lexicon that the names below ask for.
+LEXICON = {
+    "ism": "حسين=Hüseyin دلال=Dellâl أحمد=Ahmed نصر=Nasr سهل=Sehl كريم=Kerîm رحمن=Rahmân علي=Alî حجاج=Haccâc منصور=Mansûr قاسم=Kāsım قاضي=Kādî خان=Han محمد=Muhammed عزيز=Azîz حسن=Hasan",
+    "nisba": "كرخي=Kerhî حلواني=Halvânî سرخسي=Serahsî سمرقندي=Semerkandî صغناقي=Sığnâkī بزدوي=Pezdevî أوزجندي=Özkendî فرغاني=Fergānî حسين=-",
+}
+PAIRS = {"ism": {"عبد الرحمن": "Abdurrahman", "عبد الرحمن #gen": "Abdirrahmân", "عبيد الله": "Ubeydullah"}, "laqab": {"شمس الأئمة": "Şemsüleimme", "حسام الدين": "Hüsâmeddin", "فخر الدين": "Fahreddin", "قاضي خان": "Kādîhan"}, "kunya": {"أبو بكر": "Ebû Bekr", "أبو الحسن": "Ebü’l-Hasen"}}
+
+
+def test_transliterated_names(spark):
+    from lexigraph.functions import names_tr
+    from lexigraph.operators import transliterate as R
+
+    rows = [(k, *x.split("=")) for k, v in LEXICON.items() for x in v.split(" ")] + [(k, *x) for k, v in PAIRS.items() for x in v.items()]
+    lexicon = spark.createDataFrame(rows, "kind string, term string, value string")
+    want = [
+        ("عبيد الله بن الحسين بن دلال بن دلهم أبو الحسن، الكرخي", "Ebü’l-Hasen Ubeydullah b. Hüseyin b. Dellâl el-Kerhî", "Ebü’l-Hasen el-Kerhî"),
+        ("عبد العزيز بن أحمد بن نصر بن صالح الحلواني، الملقب شمس الأئمة", "Şemsüleimme Abdülazîz b. Ahmed b. Nasr el-Halvânî", "Şemsüleimme el-Halvânî"),
+        ("محمد بن أحمد بن أبي سهل أبو بكر، السرخسي", "Ebû Bekr Muhammed b. Ahmed b. Ebî Sehl es-Serahsî", "Ebû Bekr es-Serahsî"),
+        ("أبو أحمد عبدالكريم بن عبدالرحمن السمرقندي", "Ebû Ahmed Abdülkerîm b. Abdirrahmân es-Semerkandî", "Ebû Ahmed es-Semerkandî"),
+        ("الحسين بن علي بن حجاج بن علي الإمام، الملقب حسام الدين الصغناقي", "Hüsâmeddin Hüseyin b. Alî b. Haccâc es-Sığnâkī", "Hüsâmeddin es-Sığnâkī"),
+        ("البزدوي", "Pezdevî", "Pezdevî"), ("", "", ""), (None, "", ""), ("النعمان بن ثابت", "Ebû Hanîfe Nu‘mân b. Sâbit", "Ebû Hanîfe"),
+    ]
+    names = spark.createDataFrame([(i, n) for i, (n, *_) in enumerate(want)] + [(100, "الحسن بن منصور بن أبي القاسم الأوزجندي، الفرغاني، المعروف بقاضي خان، فخر الدين"), (101, "زيد بن أحمد الغريبي"), (102, "أحمد بن الغريب")], "id long, name string")
+    fixed = spark.createDataFrame([(8, "Ebû Hanîfe Nu‘mân b. Sâbit", "Ebû Hanîfe")], "id long, full string, short string")
+    made = R.transliterated(names, "id", "name", lexicon, names_tr, fixed)
+    got = {r.id: (r.full, r.short) for r in made.collect()}
+    assert [got[i] for i in range(len(want))] == [x[1:] for x in want]
+    assert got[100][1] == "Kādîhan" and got[100][0].startswith("Fahreddin Hasan b. Mansûr")
+    assert {(r.kind, r.word): r.n for r in R.missing_words(made.where("id > 100")).collect()} == {("ism", "زيد"): 1, ("nisba", "غريبي"): 1, ("ism", "الغريب"): 1}
