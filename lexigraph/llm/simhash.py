@@ -213,7 +213,7 @@ def _frequent(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """docs (doc_id, text): (doc, fp, n, key, prefix): number, hash and first shingles of the set of each text.
+    """docs (doc_id, text): (doc, fp, n, key, bitmap, prefix): number, hash, bits and first shingles of the set of each text.
 
     Of two sets of n and m shingles that are similar enough at least ceil(similarity * n) are shared; so one of
     the first n - ceil(similarity * n) + 1 of one set is among the first of the other, in any common order.
@@ -224,7 +224,7 @@ def _prefixes(docs: DataFrame, words: int, similarity: float) -> DataFrame:
 
     def run(ids, texts):
         known, rank = shared.value
-        fps, sizes, keys, firsts = [], [], [], []
+        fps, sizes, keys, bitmaps, firsts = [], [], [], [], []
         for t in texts:
             h, found, key = _shingle_set(t, words)
             n = len(found)
@@ -235,11 +235,33 @@ def _prefixes(docs: DataFrame, words: int, similarity: float) -> DataFrame:
             fps.append(_fingerprint(h))
             sizes.append(n)
             keys.append(key)
+            bitmaps.append(_bitmap(found))
             firsts.append(np.concatenate([found[~late], last])[:most].view(np.int64))
         ends = np.cumsum([0, *map(len, firsts)]).astype(np.int32)
-        return [ids, fps, sizes, keys, pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(firsts) if firsts else np.empty(0, np.int64)))]
+        return [ids, fps, sizes, keys, bitmaps, pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(firsts) if firsts else np.empty(0, np.int64)))]
 
-    return map_columns(docs, run, "doc long, fp long, n int, key long, prefix array<long>")
+    return map_columns(docs, run, "doc long, fp long, n int, key long, bitmap binary, prefix array<long>")
+
+
+def _bitmap(found: np.ndarray) -> bytes:
+    """A bit for each shingle at its hash modulo a power of two that is at least twice their number."""
+    size = 1 << max(6, int(2 * len(found) - 1).bit_length()) if len(found) else 64
+    bits = np.zeros(size, bool)
+    bits[(found & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def _may_be_alike(n: int, x: bytes, m: int, y: bytes, similarity: float) -> bool:
+    """Whether two sets may have the similarity: a bit that one of them alone has is a shingle that the other lacks, so none that has it is lost."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(a) != len(b):  # the larger one is folded
+        if len(a) > len(b):
+            a = a[: len(a) // 2] | a[len(a) // 2 :]
+        else:
+            b = b[: len(b) // 2] | b[len(b) // 2 :]
+    both = a & b
+    common = min(n - int(np.bitwise_count(a ^ both).sum()), m - int(np.bitwise_count(b ^ both).sum()))
+    return common >= similarity * (n + m - common) - 1e-9
 
 
 def _allowed(n, at, m, bt, similarity: float, least, ceil):
@@ -345,11 +367,17 @@ def _pairs_across(rows: DataFrame, similarity: float) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Those of pairs (a, b) of set hashes whose sets have the similarity; texts are read again."""
+    """Those of pairs (a, b) of set hashes whose sets have the similarity; texts are read again for those whose bitmaps allow it."""
     for side in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("key").alias(side), F.col("doc").alias(f"{side}_doc"), F.col("n").alias(f"{side}_n")), side)
-    pairs = pairs.where(F.least("a_n", "b_n") >= F.lit(similarity) * F.greatest("a_n", "b_n") - 1e-6)
-    pairs = written(pairs.select("a", "b", "a_doc", "b_doc"), "near-pairs")
+        pairs = pairs.join(sets.select(F.col("key").alias(side), F.struct("doc", "n", "bitmap").alias(f"{side}_set")), side)
+    pairs = pairs.where(F.least("a_set.n", "b_set.n") >= F.lit(similarity) * F.greatest("a_set.n", "b_set.n") - 1e-6)
+
+    def allowed(*cols):
+        kept = [r for r in zip(*cols) if _may_be_alike(*r[4:], similarity)]
+        return [[r[k] for r in kept] for k in range(4)]
+
+    wide = pairs.select("a", "b", F.col("a_set.doc").alias("a_doc"), F.col("b_set.doc").alias("b_doc"), *[F.col(f"{s}_set.{c}").alias(f"{s}_{c}") for s in ("a", "b") for c in ("n", "bitmap")])
+    pairs = written(map_columns(wide, allowed, "a long, b long, a_doc long, b_doc long"), "near-pairs")
     ends = pairs.select(F.col("a_doc").alias("doc_id")).union(pairs.select("b_doc")).distinct()
     docs = docs.join(ends, "doc_id", "left_semi")
     for side in ("b", "a"):
@@ -383,7 +411,7 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
     prints = written(_prefixes(texts, words, similarity), "near-sets")
-    sets = written(prints.groupBy("key").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("fp").alias("fp")), "near-nodes")
+    sets = written(prints.groupBy("key").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bitmap").alias("bitmap")), "near-nodes")
 
     of_fp = sets.groupBy("fp").agg(F.min("key").alias("first"))
     near = fingerprint_links(of_fp.select("fp"), bits)

@@ -284,3 +284,19 @@ def test_pipeline(spark, sf):
     assert clean.join(bad, "doc_id", "left_semi").count() <= 1
     out = p.run(spark, sf)
     assert out.count() > 0 and set(out.columns) == {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"}
+
+
+def test_bitmaps_lose_no_similar_pair():
+    import numpy as np
+
+    r = np.random.default_rng(4)
+    refused = 0
+    for n in (0, 1, 2, 5, 60, 500, 3000):
+        for _ in range(40):
+            base = r.integers(0, 2**63, 2 * n + 2, dtype=np.uint64)
+            a, b = np.unique(base[:n]), np.unique(np.concatenate([base[: int(n * r.random())], base[n : n + int(n * r.random() * 0.4)]]))
+            like = len(np.intersect1d(a, b)) / max(1, len(np.union1d(a, b))) if len(a) or len(b) else 1.0
+            allowed = simhash._may_be_alike(len(a), simhash._bitmap(a), len(b), simhash._bitmap(b), 0.8)
+            assert allowed or like < 0.8
+            refused += not allowed
+    assert refused > 100
