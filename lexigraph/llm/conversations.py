@@ -206,8 +206,10 @@ def solve(rows: DataFrame) -> DataFrame:
     letter = F.when(F.col("initial").isin("s", "u", "a"), F.col("initial")).otherwise("-")
     b = rows.groupBy("cid", F.expr("pos div " + str(BLOCK)).alias("block")).agg(F.array_sort(F.collect_list(F.struct("pos", letter.alias("i"), F.col("fault").alias("f")))).alias("x"))
     b = b.select("cid", "block", *[F.array_join(F.col("x")[c], "").alias(c) for c in ("i", "f")])
-    priced = b.repartition("cid").sortWithinPartitions("cid", F.desc("block")).mapInArrow(_priced, "cid string, block long, cost long, labels array<string>, ends array<int>")
-    return priced.repartition("cid").sortWithinPartitions("cid", "block").mapInArrow(_traced, "cid string, block long, cost long, edits string")
+    # by a stated number: blocks are small for the work that they are, so that tasks must not be put together by bytes
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    priced = b.repartition(parts, "cid").sortWithinPartitions("cid", F.desc("block")).mapInArrow(_priced, "cid string, block long, cost long, labels array<string>, ends array<int>")
+    return priced.repartition(parts, "cid").sortWithinPartitions("cid", "block").mapInArrow(_traced, "cid string, block long, cost long, edits string")
 
 
 def repaired_rows(rows: DataFrame, frame: DataFrame, solved: DataFrame) -> DataFrame:
