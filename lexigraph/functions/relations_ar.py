@@ -46,3 +46,24 @@ KIN = {
     "ابيه": "father", "والده": "father", "اباه": "father", "ابوه": "father", "عمه": "uncle", "جده": "grandfather", "خاله": "maternal_uncle", "اخيه": "brother", "اخوه": "brother",
     "اخاه": "brother", "ابنه": "son", "ولده": "son", "ابناه": "son", "حفيده": "grandson", "ابن اخيه": "nephew", "ابن اخته": "nephew", "صهره": "in_law", "زوجها": "husband", "ابنته": "daughter",
 }
+# The preposition between the links of a chain, the relations whose chains have two links or three, what ends a trigger that a chain may follow.
+OF, CHAIN_OF_TWO, CHAIN_OF_THREE, FROM_HIM, UPON, SON = "عن", ("took", "fiqh"), ("read",), "عنه", "علي", "بن"
+# The joined "and", words that only look as if they had it, words after which it belongs to the name.
+AND_PREFIX, AND_WORD = "و", None
+NO_AND = set("وهب وكيع واصل وضاح ورقاء واقد الوليد وهبان وجيه وحيد ولي ولده والده ولداه ولديه والدي".split())
+NAME_START = set("ابي ابو ابا ابن بن عبد ام بنت".split())
+COMMA = "،"
+# What describes the name before it, and where such a description is no trigger.
+DESCRIBES = r"(?:تلميذ|تلامذه|صاحب|شارح|مصنف|مولف|استاذ|والد|شيخ|خال|جد|قاضي بلده|الماضي|الاتي|المتقدم|المذكور)\b"
+APPOSITION = r"(?:تلميذ|من تلامذه|من تلاميذ)"
+VERBS = r"(?:تفقه|اخذ|قرا|سمع|روي|تخرج|تلميذ|تلامذه|صحب|لازم) "
+# How a name looks, and a work that stands for its author.
+NAME_LIKE = (r"(^| )(بن|ابن|بنت)( |$)", r"^(ابي|ابو|ابا|ام) ", r"\S+ (?:الدين|الايمه|الاسلام|المله|الشريعه|القضاه|المشايخ|العلماء|الحق)\b")
+SHORT_NAME_LIKE = r"(^| )ال\S{2,}ي$"
+LIST_WORD = r"^(?!ال)[ء-ي]{3,8}$"
+REFERENCE = r"\s*\bXREF(\d+)\b\s*"
+LATER = r"^(?:س?ياتي|تقدم|المذكور|الاتي|الماضي)\b"
+LEAD = r"^(?:و)?(?:علي|من) (?!بن )|^(?:صاحبه|صاحباه|تلميذه) (?=(?:ابو|ابي|ابا|الامام|القاضي|الشيخ|\S+ بن ))"
+# Fixed value: "companion of X" at the very beginning.
+OPENING = r"^(?:(?:الفقيه|الامام|القاضي|الشيخ|العلامه|المحدث|الزاهد|المقري)،? ){0,3}صاحب ((?:الامام |الشيخ |القاضي )?(?!ال)[^\s«\"'(]\S*(?: [^\s،.«]+){0,6})"
+OPENING_END = r" (?:و?كان|و?تفقه|و?روي|و?سمع|و?اخذ|و?هو|ثقه|يكني|مات|توفي)\b"

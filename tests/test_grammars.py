@@ -74,3 +74,72 @@ def test_transliterated_names(spark):
     assert [got[i] for i in range(len(want))] == [x[1:] for x in want]
     assert got[100][1] == "Kādîhan" and got[100][0].startswith("Fahreddin Hasan b. Mansûr")
     assert {(r.kind, r.word): r.n for r in R.missing_words(made.where("id > 100")).collect()} == {("ism", "زيد"): 1, ("nisba", "غريبي"): 1, ("ism", "الغريب"): 1}
+
+
+def relation_rows(spark, texts, **options):
+    from lexigraph.functions import relations_ar
+    from lexigraph.operators import mentions as M
+
+    d = table(spark, texts).select("id", T.fold_arabic(T.network_text(F.col("text")) if options.pop("notes", False) else F.col("text")).alias("text"))
+    return M.mentions_of(d, "text", relations_ar, **options).orderBy("id", "no").collect()
+
+
+def test_relation_mentions(spark):
+    rows = relation_rows(spark, [
+        "تفقّه على أبى بكر الأعمش، وأبى جعفر الهندوانىّ. وتفقّه عليه ابنه أحمد، وأبو نصر.", "وتفقه على مذهب أبي حنيفة، وبرع فيه.", "قرأ على علماء عصره وبلغ رتبة الفضل والكمال",
+        "أخذ عن قوام الدين الكاكي عن حسام الدين السغناقي عن حافظ الدين البخاري", "تفقه على شمس الأئمة الكردري، وأخذ العلوم عنه عن فخر الدين قاضي خان، عن ظهير الدين", None, "", "تفقه على أحمد بن حفص XREF4 الزاهد، ومحمد بن سلام، تلميذ أبي حفص",
+    ])
+    got = [[(r.role, r.name, r.kin, r.student) for r in rows if r.id == i] for i in range(8)]
+    assert {("teacher", "ابي بكر الاعمش", "", None), ("teacher", "ابي جعفر الهندواني", "", None), ("student", "احمد", "son", None)} <= set(got[0])
+    assert got[1] == got[2] == got[5] == got[6] == []
+    assert got[3] == [("teacher", "قوام الدين الكاكي", "", None), ("chain", "حسام الدين السغناقي", "", "قوام الدين الكاكي"), ("chain", "حافظ الدين البخاري", "", "حسام الدين السغناقي")]
+    assert [(r[0], r[3]) for r in got[4]][:2] == [("teacher", None), ("chain", "شمس الايمه الكردري")] and got[4][2][3] == "فخر الدين قاضي خان"
+    assert [(r.name, r.xref) for r in rows if r.id == 7] == [("احمد بن حفص الزاهد", "4"), ("محمد بن سلام", None)]
+
+
+def test_vocabulary_and_stop(spark):
+    text = "روى عن سفيان، وشعبة، وأبي حنيفة. قال: أخبرنا عن محمد بن علي"
+    assert [r.name for r in relation_rows(spark, [text], vocabulary=frozenset({"سفيان"}), stop="قال: ")] == ["سفيان", "شعبه", "ابي حنيفه"]
+
+
+def test_mentions_of_turns(spark, sf):
+    """The query against a plain reading of the same small pack."""
+    import re
+
+    from lexigraph.plans import QUERIES
+    from lexigraph.plans.network import TURNS
+
+    want = []
+    name = re.compile(r"\w{2,}(?: \w{2,}){0,2}")
+    for c in spark.read.parquet(f"{sf}/conversations.parquet").collect():
+        text, no = c.text.lower(), 0
+        for m in re.finditer(r"(?<![^\s,.])(?:(?:with|de|der)\b|(?:by|la|die)\b)", text):
+            teacher = re.match("with|der|de", m[0]) is not None
+            rest = re.sub(r"^\s*[:,]\s*", " ", text[m.end() :])
+            end = re.search(r"[.;:!?\n]", rest)
+            segment = rest[: end.start()] if end else rest[:160]
+            links = [x.strip(" ,") for x in re.split(r",?\s*\bfrom ", " " + segment)]
+            links = [x for x in links if x]
+            for k, link in enumerate(links if teacher and len(links) > 1 else [segment if teacher or not links else links[0]]):
+                out, student = [], None if k == 0 else before
+                for item in re.split(r" , | and ", " " + " ".join(link.replace(",", " , ").split()) + " "):
+                    item = " ".join(x for x in item.split() if x not in (",", "and")).strip("()'-[]")
+                    item = re.sub(r"(?: (?:of|it))+$", "", item).strip()
+                    item = re.sub(r"^(?:(?:sir|dr) )+", "", re.split(r" who\b", item)[0]).strip()
+                    if not item:
+                        continue
+                    kin = "brother" if re.match("with the( |$)", item) else "son" if re.match("the( |$)", item) else ""
+                    ok = not re.match(r"(?:the|and|that)\b", item) and (kin or name.fullmatch(item)) and len(item.split()) <= 14
+                    if ok:
+                        out.append((re.sub("^(with the|the)", "", item).strip() if kin else item, kin))
+                    elif out or len(item.split()) > 3:
+                        break
+                if teacher and len(links) > 1 and not out:
+                    break
+                for x, kin in out if student is None else out[:1]:
+                    want.append((c.conv_id, c.turn, no, ("teacher" if teacher else "student") if student is None else "chain", x, kin, student))
+                    no += 1
+                before = out[0][0] if out else None
+    got = [(r.conv_id, r.turn, r.no, r.role, r.name, r.kin, r.student) for r in QUERIES["ext05_relation_mentions"](spark, sf).collect()]
+    key = lambda r: r[:3]
+    assert len(want) > 50 and sorted(got, key=key) == sorted(want, key=key)
