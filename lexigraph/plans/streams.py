@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexigraph.operators.overlay import latest_in_stream
 from lexigraph.plans.registry import ORACLE_SQL, QUERIES
-from lexigraph.streaming import events as E
+from lexigraph.session import scratch
+from lexigraph.streaming import events as E, relations as R
 
 
 def _register(name: str, sql: str | None):
@@ -55,3 +56,33 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("stream_sessions", None)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.run_to_end(E.sessions(E.read_events(spark, sf_dir))).drop("batch")
+
+
+def _pairs(events: DataFrame) -> DataFrame:
+    """Clicks and purchases add a pair of a user and a target, errors delete it."""
+    op = F.when(F.col("event_type") == "error", "del").otherwise("add")
+    return events.where("event_type IN ('click', 'purchase', 'error')").select((F.col("user_id") % 50).alias("source"), (F.col("event_id") % 7).alias("target"), op.alias("op"), F.col("event_id").alias("at"), "ts")
+
+
+@_register("stream_relations", """WITH l AS (SELECT user_id % 50 AS source, event_id % 7 AS target, event_type = 'error' AS del, event_id FROM events WHERE event_type IN ('click', 'purchase', 'error')),
+d AS (SELECT source, target, coalesce(max(event_id) FILTER (WHERE del), -1) AS deleted FROM l GROUP BY ALL)
+SELECT l.source, l.target, count(*) AS n, array_to_string(list(event_id ORDER BY event_id), ' ') AS evidence FROM l JOIN d ON d.source = l.source AND d.target = l.target WHERE NOT del AND event_id > deleted GROUP BY ALL""")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs folded in a map state (STM-02): what stands after the whole log."""
+    live = E.run_to_end(R.folded_pairs(_pairs(E.read_events(spark, sf_dir))), "update")
+    last = _newest(live.drop("at"), ["source", "target"]).where("n > 0")
+    return last.select("source", "target", "n", F.array_join(F.transform("evidence", lambda x: x.cast("string")), " ").alias("evidence"))
+
+
+def rules():
+    return {"value": F.col("value").between(0, 100), "known type": F.col("event_type").isin("view", "click", "purchase", "error", "signup"), "props": F.get_json_object("props", "$.k").try_cast("int") > 4}
+
+
+@_register("stream_validated", """WITH e AS (SELECT event_id, list_filter([CASE WHEN coalesce(value BETWEEN 0 AND 100, false) THEN NULL ELSE 'value' END, CASE WHEN coalesce(event_type IN ('view', 'click', 'purchase', 'error', 'signup'), false) THEN NULL ELSE 'known type' END,
+CASE WHEN coalesce(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) > 4, false) THEN NULL ELSE 'props' END], lambda x: x IS NOT NULL) AS b FROM events) SELECT event_id, CASE WHEN len(b) = 0 THEN 'good' ELSE 'bad' END AS sink, array_to_string(b, ',') AS broken FROM e""")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that break a rule go to a sink of their own with the rules' names, the others to theirs (STM-05)."""
+    out, rejects = scratch(spark, "good"), scratch(spark, "bad")
+    R.run_validated(E.read_events(spark, sf_dir), rules(), out, rejects)
+    good = spark.read.parquet(out).select("event_id", F.lit("good").alias("sink"), F.lit("").alias("broken"))
+    return good.union(spark.read.parquet(rejects).select("event_id", F.lit("bad"), F.array_join("broken", ",")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from lexigraph.operators.sequences import numbered
 
@@ -60,3 +60,11 @@ def write_panel(readings: DataFrame, path: str, key: list[str], columns: list[st
     agree = readings.join(g.select(*key, *[F.col(c).alias(f"agreed_{c}") for c in columns]), key)
     n = agree.groupBy(*key).agg(*[F.count_if(F.col(c).eqNullSafe(F.col(f"agreed_{c}"))).alias(f"{c}_n") for c in columns])
     g.join(n, key).repartitionByRange(*key).sortWithinPartitions(*key).write.option("header", True).mode("overwrite").csv(path)
+
+
+def write_counting(df: DataFrame, path: str, counters: dict[str, Column] | None = None, form: str = "parquet") -> dict[str, int]:
+    """Writes df and gives `rows` and how many rows meet each counter's condition, gathered in the run that writes: nothing is read twice."""
+    seen = Observation()
+    marks = [F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in (counters or {}).items()]
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *marks).write.format(form).mode("overwrite").save(path)
+    return seen.get

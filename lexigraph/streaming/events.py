@@ -11,9 +11,10 @@ from lexigraph.session import scratch
 EVENTS = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()), T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
 
 
-def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """The events below a folder as a stream, times as timestamps."""
-    s = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events*").parquet(path)
+def read_events(spark: SparkSession, path: str, files: int | None = None) -> DataFrame:
+    """The events below a folder as a stream, times as timestamps; `files` a batch where given."""
+    reader = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events*")
+    s = (reader.option("maxFilesPerTrigger", files) if files else reader).parquet(path)
     return s.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
