@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexigraph.functions import names_tr
-from lexigraph.operators import transliterate as R
+from lexigraph.operators import transliterate as R, works as W
 from lexigraph.plans.registry import query
 
 #: Letters for letters, so that the first words of a document are a name in another script; none of them makes an article.
 LATIN, ARABIC = "abcdefghijklmnopqrstuvwxyz", "عبتدهفغحيجكلمنوثقرستطوشصعز"
 
 
-def _stems(t, table, id_col):
-    """The first four letters of the words of four letters and more."""
-    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), F.lit(0))
-    return t(table).select(id_col, F.transform(words, lambda w: F.substring(w, 1, 4)).alias("w"))
+#: Beginnings and inner phrases of titles that say how they are derived.
+TITLE_KINDS = [("^(?:The|An?) ", "digest"), ("^[A-I][a-z]+ ", "commentary"), (" (?:of|in) (.+)$", "gloss")]
+
+
+def _stems(t, table, id_col, letters=4):
+    """The first letters of the words that have so many."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit(f"[a-z]{{{letters},}}"), F.lit(0))
+    return t(table).select(id_col, F.transform(words, lambda w: F.substring(w, 1, letters)).alias("w"))
 
 
 def lexicon(t):
@@ -63,3 +67,28 @@ UNION ALL SELECT 'ism', w[3] FROM r WHERE a IS NOT NULL AND b IS NOT NULL AND c
 def _(t):
     """Words that the lexicon lacks, counted as the names are made (AGG-18, SNK-10)."""
     return R.missing_words(rendered(t))
+
+
+@query("grf14_works_graph", """
+WITH RECURSIVE d AS (SELECT doc_id, source, list_transform(regexp_extract_all(lower(text), '[a-z]{3,}')[1:9], lambda x: x[1:3]) AS w, regexp_extract(text, '^[^.]*', 0) AS t FROM documents),
+p AS (SELECT doc_id AS ord, source AS author, list_distinct([w[1] || ' ' || w[2], w[3] || ' ' || w[4]] || CASE WHEN doc_id % 7 = 0 THEN [w[9]] ELSE [] END) AS names,
+  CASE WHEN regexp_matches(t, '^(The|An?) .{2,}$') THEN 'digest' WHEN regexp_matches(t, '^[A-I][a-z]+ .{2,}$') THEN 'commentary' WHEN regexp_matches(t, ' (?:of|in) (.+)$') THEN 'gloss' END AS kind,
+  CASE WHEN doc_id % 3 > 0 THEN w[6] || ' ' || w[7] || CASE WHEN doc_id % 2 = 0 THEN '' ELSE ' ' || w[8] END END AS base_name FROM d WHERE len(w) = 9),
+n AS (SELECT DISTINCT ord, author, unnest(names) AS name FROM p),
+e AS (SELECT DISTINCT a.ord AS x, b.ord AS y FROM n a JOIN n b ON a.author = b.author AND a.name = b.name),
+g(ord, r) AS (SELECT ord, ord FROM p UNION SELECT e.x, g.r FROM g JOIN e ON e.y = g.ord),
+c AS (SELECT ord, min(r) AS work FROM g GROUP BY ord),
+f AS (SELECT n.name, min(c.work) AS base FROM n JOIN c ON c.ord = n.ord GROUP BY n.name),
+w AS (SELECT c.work, any_value(p.author) AS author, max(p.kind) FILTER (WHERE p.ord = c.work) AS kind, string_agg(CAST(p.ord AS VARCHAR), ' ' ORDER BY p.ord) AS items, arg_min(p.base_name, p.ord) FILTER (WHERE p.base_name IS NOT NULL) AS b FROM p JOIN c ON c.ord = p.ord GROUP BY c.work),
+k AS (SELECT work, list_filter(list_transform(range(1, len(string_split(b, ' '))), lambda i: array_to_string(string_split(b, ' ')[1:i], ' ')), lambda x: length(x) >= 3) AS starts FROM w WHERE b IS NOT NULL),
+s AS (SELECT work, min(f.base) AS prefix FROM (SELECT work, unnest(starts) AS start FROM k) k2 JOIN f ON f.name = k2.start AND f.base <> k2.work GROUP BY work)
+SELECT w.work, w.author, w.kind, w.items, coalesce(f.base, s.prefix) AS base FROM w LEFT JOIN f ON f.name = w.b AND f.base <> w.work LEFT JOIN s ON s.work = w.work""")
+def _(t):
+    """Documents as works of their sources: names joined by components, bases by whole names and by their beginnings (GRF-14, EXT-17)."""
+    d = _stems(t, "documents", "doc_id", 3).where("size(w) >= 9").join(t("documents").select("doc_id", "source", F.regexp_extract("text", "^[^.]*", 0).alias("t")), "doc_id")
+    w = lambda *ks: F.array_join(F.array(*[F.col("w")[k - 1] for k in ks]), " ")
+    kind, _rest = W.derived_title(F.col("t"), TITLE_KINDS)
+    names = F.array_distinct(F.filter(F.array(w(1, 2), w(3, 4), F.when(F.col("doc_id") % 7 == 0, w(9))), lambda x: x.isNotNull()))
+    base = F.when(F.col("doc_id") % 3 > 0, F.when(F.col("doc_id") % 2 == 0, w(6, 7)).otherwise(w(6, 7, 8)))
+    items = d.select(F.col("doc_id").alias("ord"), F.col("source").alias("author"), names.alias("names"), kind.alias("kind"), base.alias("base_name"))
+    return W.works_graph(items, least=3).withColumn("items", F.array_join(F.transform("items", lambda x: x.cast("string")), " "))

@@ -143,3 +143,63 @@ def test_mentions_of_turns(spark, sf):
     got = [(r.conv_id, r.turn, r.no, r.role, r.name, r.kin, r.student) for r in QUERIES["ext05_relation_mentions"](spark, sf).collect()]
     key = lambda r: r[:3]
     assert len(want) > 50 and sorted(got, key=key) == sorted(want, key=key)
+
+
+def test_titles_of_a_subject(spark):
+    from lexigraph.functions import works_ar
+    from lexigraph.operators import works as W
+
+    rows = [
+        "وصنّف «الهداية» و«كفاية المنتهى»، وشرح «الجامع الصغير». وقرأ عليه «القدورى». وذكره فى «الجواهر».", "ووضع «شرحا» على «الهداية»، وله من المصنفات: كتاب «المنتقى». قال فى «الأصل»", None, "", "لا شيء",
+    ]
+    got = [(r.id, r.title, r.verb) for r in W.titles_of(table(spark, rows), "text", works_ar).orderBy("id", "no").collect()]
+    assert got == [(0, "الهداية", None), (0, "كفاية المنتهى", None), (0, "الجامع الصغير", "sharh"), (1, "شرح الهداية", None), (1, "المنتقى", None)]
+
+
+@pytest.mark.parametrize("title, want", [
+    ("شرح الهداية", ("sharh", "الهدايه")), ("حاشية على شرح الوقاية", ("hashiya", "شرح الوقايه")), ("Şerhu’l-Hidâye", ("sharh", "Hidâye")), ("Hâşiye alâ Şerhi’l-Mevâkıf", ("hashiya", "Şerhi’l-Mevâkıf")),
+    ("Muhtasaru’l-Kudûrî", ("ikhtisar", "Kudûrî")), ("el-İnâye fî şerhi’l-Hidâye", ("sharh", "Hidâye")), ("el-Hidâye", (None, None)),
+])
+def test_kinds_of_titles(spark, title, want):
+    from lexigraph.functions import works_ar
+    from lexigraph.operators import works as W
+
+    t = F.lit(title)
+    small = F.concat(F.lower(F.substring(t, 1, 1)), t.substr(F.lit(2), F.length(t)))
+    c = F.when(t.rlike("[ء-ي]"), T.fold_arabic(t)).otherwise(small)
+    assert tuple(spark.range(1).select(*W.derived_title(c, works_ar.DERIVED)).first()) == want
+
+
+def test_works_graph(spark):
+    import random
+
+    from lexigraph.operators import works as W
+
+    r = random.Random(11)
+    pool = [f"{a} {b}" for a in ("alpha", "gamma", "ab") for b in ("one", "two", "red", "blue")] + ["alpha", "gamma", "ab"]
+    items = [(k, r.choice(["x", "y", "z", None]), r.sample(pool, r.choice([0, 1, 1, 2, 3])), r.choice(["base", "digest"]), r.choice([None, *pool, "alpha one more", "gamma blue and red", "ab one"])) for k in range(60)]
+    group = {k: k for k, *_ in items}
+    for _ in items:
+        for a in items:
+            for b in items:
+                if a[1] == b[1] and set(a[2]) & set(b[2]):
+                    group[a[0]] = group[b[0]] = min(group[a[0]], group[b[0]])
+    first = {}
+    for k, _, names, *_ in items:
+        for n in names:
+            first[n] = min(group[k], first.get(n, group[k]))
+    want = {}
+    for w in set(group.values()):
+        members = [x for x in items if group[x[0]] == w]
+        base_name = next((x[4] for x in members if x[4]), None)
+        base = None
+        if base_name:
+            words = base_name.split()
+            starts = [" ".join(words[:k]) for k in range(1, len(words))]
+            found = [first[n] for n in starts if len(n) >= 5 and n in first and first[n] != w]
+            base = first[base_name] if first.get(base_name, w) != w else min(found, default=None)
+        want[w] = (members[0][1], members[0][3], [x[0] for x in members], base)
+    for seed in (1, 2):
+        rows = random.Random(seed).sample(items, len(items))
+        got = W.works_graph(spark.createDataFrame(rows, "ord long, author string, names array<string>, kind string, base_name string").repartition(3))
+        assert {x.work: (x.author, x.kind, list(x["items"]), x.base) for x in got.collect()} == want
