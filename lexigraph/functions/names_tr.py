@@ -21,3 +21,13 @@ FATHER, SERVANT, SON, GOD = ("أبو", "ابو", "أبي", "ابي", "أبا"),
 CLEAN = [("[ً-ْٰـ]|\\([^)]*\\)|\\[[^\\]]*\\]", " "), ("(?U)\\bعبد(?=ال)", "عبد "), ("(?U)(?<!\\S)(أبو|ابو)(?=\\S)", "$1 ")]
 CUT = r"[\s،,.:؛;\-–—]+"
 NO_WORD = "^(?:[0-9٠-٩]+|و)$"
+
+# What a display name is taken from: a byname behind "known as", first words of honorifics, titles that are no nisba.
+SHOWN_AS = r"(?:المعروف|الشهير|المشهور|عرف)\s*(?:بـ|ب)\s*(ابن \S+|[^\s،,(.]+(?:\s(?:زاده|باشا|بك|جلبي|أفندي|حلبي|خان|القضاة|الأئمة|الإسلام|الشهيد))?)"
+HONOURS = (r"الملقب\s*(\S+ (?:الدين|الأئمة))", r"(\S+ الدين)", r"(\S+ الأئمة)")
+HONOUR_HEADS = (
+    "شمس فخر برهان ظهير حسام ركن نجم صدر تاج علاء جلال حافظ حميد نور سراج قوام زين بدر شرف كمال أكمل عز عماد نصير رضي مجد سيف جمال محيي قطب صفي شهاب تقي سعد نظام مجير عون بهاء معين ضياء رشيد أمين عفيف ولي حسن خير"
+).split()
+SHOWN_KUNYA = r"(?:أبو|ابو) (?:عبد )?[^\s،,.]+"
+NO_NISBA = "الحنفي القاضي الصوفي الشافعي الحنبلي المالكي الأصولي النحوي".split()
+JOINS = "بن ابن عبد أبو أبي ابو".split()

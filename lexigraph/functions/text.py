@@ -239,3 +239,35 @@ def short_name(name: Column, words: int = 2) -> Column:
     known = F.regexp_extract(name, r"(?:known as|el-ma'rûf bi|المعروف ب)\s*([^,،]+)", 1)
     parts = F.split(squeeze(name), " ")
     return F.when(known != "", F.trim(known)).when(F.size(parts) <= words, F.array_join(parts, " ")).otherwise(F.concat_ws(" ", F.element_at(parts, 1), F.element_at(parts, -1)))
+
+
+def display_name(name: Column, pack) -> Column:
+    """The short name that lists show: a byname behind "known as"; a lone name with article; an honorific or a kunya with the last nisba; the first name with it; the first words.
+
+    The last nisba is the last word of the pack's form that is not one of its titles and does not belong to the
+    word before it. Null names give null, empty ones empty.
+    """
+    bare = F.trim(F.regexp_replace(name, "[\u064b-\u0652\u0670ـ]", ""))
+    known = F.trim(F.regexp_extract(bare, pack.SHOWN_AS, 1))
+    words = F.filter(F.split(F.regexp_replace(bare, "[،,.]", " "), r"\s+"), lambda w: w != "")
+    first, second = F.try_element_at(words, F.lit(1)), F.try_element_at(words, F.lit(2))
+
+    def nisba(w: Column, i: Column) -> Column:
+        form = w.startswith("ال") & w.endswith("ي") & (F.length(w) > 4) & ~w.isin(*pack.NO_NISBA)
+        return (i > 1) & form & ~F.try_element_at(words, F.greatest(i, F.lit(1))).isin(*pack.JOINS)
+
+    last = F.try_element_at(F.filter(words, nisba), F.lit(-1))
+    found = F.concat(*[F.regexp_extract_all(bare, F.lit(p), F.lit(1)) for p in pack.HONOURS])
+    head = lambda x: F.element_at(F.split(x, " "), 1)
+    off = lambda x: x.substr(F.lit(2), F.length(x))
+    found = F.transform(found, lambda x: F.when(x.startswith("ب") & head(off(x)).isin(*pack.HONOUR_HEADS), off(x)).otherwise(x))
+    honour = F.try_element_at(F.filter(found, lambda x: head(x).isin(*pack.HONOUR_HEADS)), F.lit(1))
+    lead = F.coalesce(honour, F.nullif(F.regexp_extract(bare, pack.SHOWN_KUNYA, 0), F.lit("")))
+    son = F.coalesce(F.nullif(F.array_position(words, "بن"), F.lit(0)) - 1, F.size(words)).cast("int")
+    own = F.array_join(F.slice(words, F.lit(1), F.greatest(F.lit(1), F.least(son, F.lit(2)))), " ")
+    third = F.try_element_at(words, F.lit(3))
+    chain = F.array_join(F.slice(words, F.lit(1), F.when(third.isin("أبي", "ابن") & (F.size(words) > 3), 4).otherwise(3)), " ")
+    return (
+        F.when(name.isNull(), F.lit(None).cast("string")).when(known != "", known).when(F.size(words) == 0, "").when(first.startswith("ال") & ~F.coalesce(second == "بن", F.lit(False)), first)
+        .when(lead.isNotNull() & last.isNotNull(), F.concat_ws(" ", lead, last)).when(last.isNotNull(), F.concat_ws(" ", own, last)).when((son == 1) & (F.size(words) > 2), chain).otherwise(own)
+    )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexigraph.functions import names_tr
+from lexigraph.functions.text import display_name
 from lexigraph.operators import transliterate as R, works as W
 from lexigraph.plans.registry import query
 
@@ -69,6 +70,18 @@ def _(t):
     return R.missing_words(rendered(t))
 
 
+@query("str32_display_names", f"""WITH d AS (SELECT doc_id, list_transform(list_transform(regexp_extract_all(lower(text), '[a-z]{{4,}}')[1:5], lambda x: x[1:4]), lambda x: translate(x, '{LATIN}', '{ARABIC}')) AS w FROM documents)
+SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN w[5] WHEN doc_id % 5 = 1 THEN 'أبو ' || w[5] || ' ال' || w[4] || 'ي' WHEN doc_id % 5 = 2 THEN 'نجم الدين ال' || w[4] || 'ي' WHEN doc_id % 5 = 3 THEN w[1] || ' ال' || w[4] || 'ي' ELSE w[1] || ' بن ' || w[2] END AS shown FROM d WHERE len(w) = 5""")
+def _(t):
+    """Display names of five kinds of names (STR-32)."""
+    w = [F.translate(F.col("w")[k], LATIN, ARABIC) for k in range(5)]
+    chain = F.concat(w[0], F.lit(" بن "), w[1])
+    nisba = F.concat(F.lit("، ال"), w[3], F.lit("ي"))
+    kind = F.col("doc_id") % 5
+    name = F.when(kind == 0, F.concat(chain, nisba, F.lit("، المعروف ب"), w[4])).when(kind == 1, F.concat(chain, F.lit(" أبو "), w[4], nisba, F.lit(" الحنفي"))).when(kind == 2, F.concat(chain, nisba, F.lit("، الملقب نجم الدين"))).when(kind == 3, F.concat(chain, nisba)).otherwise(chain)
+    return _stems(t, "documents", "doc_id").where("size(w) >= 5").select("doc_id", name.alias("name")).select("doc_id", display_name(F.col("name"), names_tr).alias("shown"))
+
+
 @query("grf14_works_graph", """
 WITH RECURSIVE d AS (SELECT doc_id, source, list_transform(regexp_extract_all(lower(text), '[a-z]{3,}')[1:9], lambda x: x[1:3]) AS w, regexp_extract(text, '^[^.]*', 0) AS t FROM documents),
 p AS (SELECT doc_id AS ord, source AS author, list_distinct([w[1] || ' ' || w[2], w[3] || ' ' || w[4]] || CASE WHEN doc_id % 7 = 0 THEN [w[9]] ELSE [] END) AS names,

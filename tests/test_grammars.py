@@ -203,3 +203,15 @@ def test_works_graph(spark):
         rows = random.Random(seed).sample(items, len(items))
         got = W.works_graph(spark.createDataFrame(rows, "ord long, author string, names array<string>, kind string, base_name string").repartition(3))
         assert {x.work: (x.author, x.kind, list(x["items"]), x.base) for x in got.collect()} == want
+
+
+def test_display_names(spark):
+    from lexigraph.functions import names_tr
+
+    want = {
+        "الحسن بن منصور بن أبي القاسم الأوزجندي، الفرغاني الإمام الكبير، المعروف بقاضي خان": "قاضي خان", "عبيد الله بن الحسين بن دلال بن دلهم أبو الحسن، الكرخي": "أبو الحسن الكرخي",
+        "عبد العزيز بن أحمد بن نصر بن صالح الحلواني، الملقب شمس الأئمة": "شمس الأئمة الحلواني", "الحسين بن علي بن حجاج بن علي الإمام، الملقب حسام الدين الصغناقي": "حسام الدين الصغناقي", "خطيب زاده": "خطيب زاده",
+        "البزدوي": "البزدوي", "محمد بن أبي بكر": "محمد بن أبي بكر", "": "",
+    }
+    rows = spark.createDataFrame([*want.items(), (None, None)], "name string, want string").withColumn("got", T.display_name(F.col("name"), names_tr)).collect()
+    assert [(r.got, r.name) for r in rows] == [(r.want, r.name) for r in rows]
