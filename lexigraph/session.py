@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,3 +56,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """checkpoint() in the shared folder."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def let_go(spark: SparkSession) -> None:
+    """Asks the driver to forget what nothing refers to any more.
+
+    Shuffle files of rounds that are over stay on the executors' disks until the driver's JVM collects its garbage,
+    which on a large heap may be long after a job of many rounds.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
