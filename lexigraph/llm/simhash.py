@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lexigraph.llm.common import free_name, map_columns
 from lexigraph.operators.graph import connected_components
-from lexigraph.session import checkpointed, written
+from lexigraph.session import checkpointed, let_go, written
 
 WORDS, BITS, SEED = 4, 4, 42
 #: Rows that a shingle may have to be worked together with others; results do not depend on it.
@@ -418,19 +418,24 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     near = near.join(of_fp.select(F.col("fp").alias("src"), F.col("first").alias("a")), "src").join(of_fp.select(F.col("fp").alias("dst"), F.col("first").alias("b")), "dst").select("a", "b")
     near = near.union(sets.join(of_fp, "fp").where("key <> first").select(F.col("first").alias("a"), F.col("key").alias("b")))
     tried = checkpointed(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    let_go(docs.sparkSession)
     links = _verified(tried, sets, texts, words, similarity)
+    let_go(docs.sparkSession)
 
     # of copies one row sends its prefix, and a shingle of one set finds nobody; size and place of a row are one number
     rows = prints.join(sets.select("key", "doc"), ["key", "doc"]).dropDuplicates(["key", "doc"]).select("key", F.shiftleft(F.col("n").cast("long"), 32).alias("n"), F.posexplode("prefix").alias("at", "shingle"))
     rows = rows.select("shingle", "key", (F.col("n") + F.col("at")).alias("place"))
     rows = rows.withColumn("sets", F.count("*").over(Window.partitionBy("shingle"))).where("sets > 1")
     rows = written(rows.select("shingle", "key", F.shiftright("place", 32).cast("int").alias("n"), F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("at")), "near-rows")
+    let_go(docs.sparkSession)
     for candidates in (_hub_pairs, _pairs_across):
         parts = connected_components(links, "a", "b").withColumnRenamed("node", "key")
         apart = rows.join(parts, "key", "left").withColumn("component", F.coalesce("component", "key"))
+        let_go(docs.sparkSession)
         met = checkpointed(candidates(apart, similarity).join(tried, ["a", "b"], "left_anti"))
         links = links.union(_verified(met, sets, texts, words, similarity))
         tried = tried.union(met)
+        let_go(docs.sparkSession)
 
     same_id = prints.groupBy("doc").agg(F.collect_set("key").alias("keys")).where(F.size("keys") > 1)
     links = links.union(same_id.select(F.array_min("keys").alias("a"), F.explode("keys").alias("b")).where("a <> b"))
