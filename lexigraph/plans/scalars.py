@@ -184,7 +184,7 @@ SELECT a.k AS a, b.k AS b, round(12742 * asin(sqrt(pow(sin(radians(b.lat - a.lat
 def _(t):
     p = nation_points(t)
     a, b = p.select(F.col("k").alias("a"), F.col("lon").alias("x1"), F.col("lat").alias("y1")), p.select(F.col("k").alias("b"), F.col("lon").alias("x2"), F.col("lat").alias("y2"))
-    return a.join(F.broadcast(b), F.col("a") < F.col("b")).select("a", "b", F.round(N.haversine_km(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")), 4).alias("km"))
+    return a.join(b, F.col("a") < F.col("b")).select("a", "b", F.round(N.haversine_km(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")), 4).alias("km"))
 
 
 def nation_points(t):

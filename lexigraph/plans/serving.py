@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Window, functions as F
 
-from lexigraph.functions.text import quote
+from lexigraph.functions.text import fold_latin, quote
 from lexigraph.operators.joins import nearest_vectors
 from lexigraph.operators.sequences import numbered
 from lexigraph.plans.registry import ORACLE_SQL, query
@@ -136,3 +136,12 @@ def _(t):
 def _(t):
     """Extension: for stated query vectors the nearest of all others."""
     return nearest_vectors(t("embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0, 1).select(F.col("query").alias("q"), F.col("id").alias("best"))
+
+
+@query("top04_collated_words", r"SELECT lang, strip_accents(lower(word)) AS word, count(*) AS n, count(DISTINCT word) AS forms FROM (SELECT lang, unnest(regexp_extract_all(replace(text, 'ß', 'ss'), '\p{L}+')) AS word FROM documents) w GROUP BY ALL")
+def _(t):
+    """Words that are the same but for case and accents, by a collation: grouped, counted, and their forms counted (TOP-04, STR-03)."""
+    w = t("documents").select("lang", F.explode(F.regexp_extract_all(F.replace("text", F.lit("ß"), F.lit("ss")), F.lit(r"\p{L}+"), F.lit(0))).alias("form"))
+    forms = w.groupBy("lang", "form").agg(F.count("*").alias("n"))  # by bytes first, so that few rows are collated
+    g = forms.groupBy("lang", F.collate("form", "UNICODE_CI_AI").alias("word")).agg(F.sum("n").alias("n"), F.count("*").alias("forms"), F.min("form").alias("one"))
+    return g.select("lang", fold_latin(F.col("one")).alias("word"), "n", "forms")

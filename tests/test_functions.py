@@ -151,3 +151,15 @@ def test_sharded_writer(spark, tmp_path):
     sinks.write_sharded(spark.range(200).select(F.concat(F.lit("p"), "id").alias("id")), "id", str(tmp_path / "out"))
     back = spark.read.json(str(tmp_path / "out"))
     assert back.count() == 200 and back.where("shard <> int(substring(id, 2, 9)) % 64").count() == 0
+
+
+def test_collated_order(spark):
+    words = ["Zebra", "éclair", "eclair", "Eclair", "zèbre", "apple", "Äpfel"]
+    d = spark.createDataFrame([(w,) for w in words], "w string")
+    assert [r.w for r in d.orderBy(F.collate("w", "UNICODE")).collect()] == ["Äpfel", "apple", "eclair", "Eclair", "éclair", "Zebra", "zèbre"]
+    assert d.where(F.collate("w", "UNICODE_CI_AI") == F.lit("ECLAIR").cast("string")).count() == 3
+
+
+def test_recursive_roots(spark):
+    c = spark.createDataFrame([(1, None), (2, 1), (3, 2), (4, None), (5, 6), (6, 5)], "node long, parent long")
+    assert sorted(map(tuple, graph.recursive_roots(c).collect())) == [(1, 1, 0), (2, 1, 1), (3, 1, 2), (4, 4, 0)]
