@@ -103,7 +103,7 @@ def strip_marks(c: Column) -> Column:
 def heading_name(c: Column) -> Column:
     """Name in a heading: entry numbers, brackets, page marks and pious formulas off."""
     s = F.regexp_replace(c, "\n", " ")
-    s = F.regexp_replace(s, r"^\s*/?\s*(\[[٠-٩0-9]+\]\s*)?([٠-٩0-9]+\s*[-–.]\s*)?", "")
+    s = F.regexp_replace(s, r"^\s*/?\s*(\[[٠-٩0-9]+\]\s*)?(\[?[٠-٩0-9]+\s*[-–.]\s*)?", "")
     s = F.regexp_replace(s, "[«»()\\[\\]]", "")
     s = F.regexp_replace(s, r"\s*(رحمه الله( تعالى)?|رضي الله عنه|عليه السلام)\s*", " ")
     return F.btrim(squeeze(s), F.lit(" .،:-"))

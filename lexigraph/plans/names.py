@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lexigraph.functions import names_tr
-from lexigraph.functions.text import display_name
+from lexigraph.functions import names_ar, names_tr
+from lexigraph.functions.text import display_name, fold_arabic
+from lexigraph.operators.names import first_name_counts, name_variants, with_name_parts
 from lexigraph.operators import transliterate as R, works as W
 from lexigraph.plans.registry import query
 
@@ -70,6 +71,21 @@ def _(t):
     return R.missing_words(rendered(t))
 
 
+@query("ext01_parts_of_names", f"""WITH d AS (SELECT doc_id, list_transform(list_transform(regexp_extract_all(lower(text), '[a-z]{{4,}}')[1:4], lambda x: x[1:4]), lambda x: translate(x, '{LATIN}', '{ARABIC}')) AS w FROM documents)
+SELECT doc_id, w[1] || '|' || w[2] || '|عبد ال' || w[3] AS chain, 'ال' || w[4] || 'ي' AS nisbas FROM d WHERE len(w) = 4""")
+def _(t):
+    """Chains and nisbas of names (EXT-01, EXT-02)."""
+    p = with_name_parts(documents(t).select("doc_id", fold_arabic(F.col("name")).alias("name")), "name", names_ar)
+    return p.select("doc_id", F.array_join("parts.chain", "|").alias("chain"), F.array_join("parts.nisbas", "|").alias("nisbas"))
+
+
+@query("src11_first_names", f"""WITH d AS (SELECT source, list_transform(regexp_extract_all(lower(text), '[a-z]{{4,}}')[1:4], lambda x: x[1:4]) AS w FROM documents) SELECT translate(w[1], '{LATIN}', '{ARABIC}') AS first_name, count(DISTINCT source) AS n FROM d WHERE len(w) = 4 GROUP BY 1""")
+def _(t):
+    """In how many records (here sources, with all their names as variants) a first name begins a chain (SRC-11)."""
+    d = documents(t).join(t("documents").select("doc_id", "source"), "doc_id").select("source", fold_arabic(F.col("name")).alias("name"))
+    return first_name_counts(name_variants(d, "source", ["name"], names_ar)).select(F.col("first").alias("first_name"), "n")
+
+
 @query("str32_display_names", f"""WITH d AS (SELECT doc_id, list_transform(list_transform(regexp_extract_all(lower(text), '[a-z]{{4,}}')[1:5], lambda x: x[1:4]), lambda x: translate(x, '{LATIN}', '{ARABIC}')) AS w FROM documents)
 SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN w[5] WHEN doc_id % 5 = 1 THEN 'أبو ' || w[5] || ' ال' || w[4] || 'ي' WHEN doc_id % 5 = 2 THEN 'نجم الدين ال' || w[4] || 'ي' WHEN doc_id % 5 = 3 THEN w[1] || ' ال' || w[4] || 'ي' ELSE w[1] || ' بن ' || w[2] END AS shown FROM d WHERE len(w) = 5""")
 def _(t):

@@ -41,7 +41,7 @@ TEXT_QUERIES = {
     "str07_place_key": (X.place_key, _sq(rf"regexp_replace({_FOLD}, '[^\p{{L}}\p{{N}}_\s]', ' ', 'g')")),
     "str08_place_info_key": (X.place_info_key, _FOLD.replace("(text,", r"(regexp_replace(text, '[^\p{L}\p{N}_\s]', ' ', 'g'),")),
     "str09_strip_marks": (X.strip_marks, f"regexp_replace(text, '[{X.MARKS}]', '', 'g')"),
-    "str10_heading_name": (X.heading_name, "trim(" + _sq(r"regexp_replace(regexp_replace(regexp_replace(replace(text, chr(10), ' '), '^\s*/?\s*(\[[٠-٩0-9]+\]\s*)?([٠-٩0-9]+\s*[-–.]\s*)?', ''), '[«»()\[\]]', '', 'g'), '\s*(رحمه الله( تعالى)?|رضي الله عنه|عليه السلام)\s*', ' ', 'g')") + ", ' .،:-')"),
+    "str10_heading_name": (X.heading_name, "trim(" + _sq(r"regexp_replace(regexp_replace(regexp_replace(replace(text, chr(10), ' '), '^\s*/?\s*(\[[٠-٩0-9]+\]\s*)?(\[?[٠-٩0-9]+\s*[-–.]\s*)?', ''), '[«»()\[\]]', '', 'g'), '\s*(رحمه الله( تعالى)?|رضي الله عنه|عليه السلام)\s*', ' ', 'g')") + ", ' .،:-')"),
     "str11_lead_name": (X.lead_name, r"trim(substr(regexp_extract(trim(text), '^[^.:\n]*', 0), 1, 160))"),
     "str18_spacing": (X.spacing, _SPACED),
     "str23_quote": (lambda c: X.quote(c, 320), "CASE WHEN length(t) <= 320 THEN t WHEN e <> '' THEN e || ' …' ELSE rtrim(regexp_extract(substr(t, 1, 320), '(?s)^(.*) ', 1)) || ' …' END"),

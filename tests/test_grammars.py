@@ -215,3 +215,29 @@ def test_display_names(spark):
     }
     rows = spark.createDataFrame([*want.items(), (None, None)], "name string, want string").withColumn("got", T.display_name(F.col("name"), names_tr)).collect()
     assert [(r.got, r.name) for r in rows] == [(r.want, r.name) for r in rows]
+
+
+def test_parts_of_names(spark):
+    from lexigraph.functions import names_ar
+    from lexigraph.operators import names as P
+
+    texts = [
+        "٦ - إبراهيم بن أحمد بن أبى الفرج ابن أبى عبد الله بن الشريد الدمشقى، أبو إسحاق، المنعوت زين الدين", "[٥٥٦ - قوام الدين الأتقاني]", "أبو عبد الله البصري", "أبو العباس أحمد بن محمد", "عبدالله بن عبيد الله الكوفي الحنفي",
+        "كمال الدين ابن الهمام", "محمد بن محمد - مرتين - بن علي", None, "",
+    ]
+    d = table(spark, texts).select("id", T.fold_arabic(T.heading_name(F.col("text"))).alias("name"))
+    got = {r.id: (list(r.parts.chain), r.parts.kunya, list(r.parts.nisbas), list(r.parts.laqabs)) for r in P.with_name_parts(d, "name", names_ar).collect()}
+    assert got[0][0] == ["ابراهيم", "احمد", "ابو الفرج", "ابو عبد الله", "الشريد"] and got[0][1] == "ابو اسحاق" and "الدمشقي" in got[0][2] and got[0][3] == ["زين الدين"]
+    assert got[1] == ([], "", ["الاتقاني"], ["قوام الدين"]) and got[2] == ([], "ابو عبد الله", ["البصري"], [])
+    assert got[3] == (["احمد", "محمد"], "ابو العباس", [], []) and got[4] == (["عبد الله", "عبيد الله"], "", ["الكوفي"], [])
+    assert got[5] == ([], "", ["ابن الهمام"], ["كمال الدين"]) and got[6][0] == ["محمد", "محمد", "علي"] and got[7] == got[8] == ([], "", [], [])
+
+
+def test_name_variants_and_frequencies(spark):
+    from lexigraph.functions import names_ar
+    from lexigraph.operators import names as P
+
+    d = spark.createDataFrame([("a", "احمد بن محمد", "احمد بن محمد", None), ("b", "محمد الكوفي", "ابو بكر محمد بن علي", "محمد بن علي بن عمر"), ("c", "", None, None), ("d", "محمد", None, "محمد بن علي")], "key string, heading string, lead string, fixed string")
+    v = P.name_variants(d, "key", ["heading", "lead", "fixed"], names_ar)
+    assert {r.key: [list(n.chain) for n in r.names] for r in v.collect()} == {"a": [["احمد", "محمد"]], "b": [["محمد"], ["محمد", "علي"], ["محمد", "علي", "عمر"]], "d": [["محمد"], ["محمد", "علي"]]}
+    assert {r["first"]: r.n for r in P.first_name_counts(v).collect()} == {"احمد": 1, "محمد": 2}
