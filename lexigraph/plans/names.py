@@ -79,11 +79,11 @@ def _(t):
     return p.select("doc_id", F.array_join("parts.chain", "|").alias("chain"), F.array_join("parts.nisbas", "|").alias("nisbas"))
 
 
-@query("src11_first_names", f"""WITH d AS (SELECT source, list_transform(regexp_extract_all(lower(text), '[a-z]{{4,}}')[1:4], lambda x: x[1:4]) AS w FROM documents) SELECT translate(w[1], '{LATIN}', '{ARABIC}') AS first_name, count(DISTINCT source) AS n FROM d WHERE len(w) = 4 GROUP BY 1""")
+@query("src11_first_names", f"""WITH d AS (SELECT list_transform(regexp_extract_all(lower(text), '[a-z]{{4,}}')[1:4], lambda x: x[1:4]) AS w FROM documents) SELECT translate(w[1], '{LATIN}', '{ARABIC}') AS first_name, count(*) AS n FROM d WHERE len(w) = 4 GROUP BY 1""")
 def _(t):
-    """In how many records (here sources, with all their names as variants) a first name begins a chain (SRC-11)."""
-    d = documents(t).join(t("documents").select("doc_id", "source"), "doc_id").select("source", fold_arabic(F.col("name")).alias("name"))
-    return first_name_counts(name_variants(d, "source", ["name"], names_ar)).select(F.col("first").alias("first_name"), "n")
+    """In how many records a first name begins a chain (SRC-11)."""
+    d = documents(t).select("doc_id", fold_arabic(F.col("name")).alias("name"))
+    return first_name_counts(name_variants(d, "doc_id", ["name"], names_ar)).select(F.col("first").alias("first_name"), "n")
 
 
 @query("str32_display_names", f"""WITH d AS (SELECT doc_id, list_transform(list_transform(regexp_extract_all(lower(text), '[a-z]{{4,}}')[1:5], lambda x: x[1:4]), lambda x: translate(x, '{LATIN}', '{ARABIC}')) AS w FROM documents)

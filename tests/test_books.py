@@ -71,3 +71,46 @@ def test_books_as_a_source(spark, shelf):
         (None, "The Founder: a life", None, None, "born in the year", 1, 127), (1, "Adam", "Letter A", None, "first words\n\nmore of Adam", None, None), (2, "Aaron", "Letter A", None, "of Aaron", None, None),
         (None, "Chapter on merits of Basil", "Letter B", None, "merits", None, None), (1, "Saul", "Southern people", "south", "south", None, None),
     ]
+
+EXTRA = """
+alias:
+  بخارى القديمة: B1
+  قديم: nowhere
+new:
+  x:one: [[كاشغر, كاشغار], 39.5, 76.0, towns, Turkistan]
+label:
+  B1: Bukhara
+nisba:
+  البخاري: B1
+  الخاص: x:one
+ignore: [بصرى]
+prefixed_only:
+  - بصرى
+nisba_ignore: [الحلواني]
+"""
+
+
+def test_gazetteer_with_additions(spark, tmp_path):
+    from lexigraph.sources.gazetteer import Gazetteer, read_review
+
+    (tmp_path / "extra.yml").write_text(EXTRA, encoding="utf-8")
+    rows = [
+        ("B1", "بخارى", "", 39.8, 64.4, "capitals", "Transoxiana"), ("B2", "بخارى", "", 1.0, 1.0, "villages", "Iraq"), ("S1", "سمرقند", "شمرقند, ", 39.6, 67.0, "metropoles", "Transoxiana"), ("S2", "سمرقند", "", 0.0, 0.0, "metropoles", "Yemen"),
+        ("U1", "بصرى", "", 32.0, 36.0, "towns", "Sham"), ("H1", "حلوان", "", 34.0, 45.0, "towns", "Iraq"), ("W1", "نهر", "", 1.0, 1.0, "waters", "Iraq"), ("A1", "الاسكندرية", "", 31.0, 29.0, "towns", "Egypt"), ("T1", "مر", "", 1.0, 1.0, "towns", "Iraq"),
+    ]
+    g = Gazetteer(spark.createDataFrame(rows, "uri string, ar string, ar_other string, lat double, lon double, type string, region string"), read_review(spark, str(tmp_path / "extra.yml")))
+    names = {(r.name, r["rank"]): r.place for r in g.names.collect()}
+    assert names == {("بخاري", 1): "B1", ("بخاري", 2): "B2", ("سمرقند", 1): "S1", ("سمرقند", 2): "S2", ("شمرقند", 1): "S1", ("حلوان", 1): "H1", ("الاسكندريه", 1): "A1", ("كاشغر", 1): "x:one", ("كاشغار", 1): "x:one", ("بخاري القديمه", 1): "B1"}
+    assert {r.place: r.label for r in g.places.collect()}["B1"] == "Bukhara" and {(r.name, r.place) for r in g.prefixed.collect()} == {("بصري", "U1")}
+    nisbas = {r.nisba: r.place for r in g.nisbas.collect()}
+    assert nisbas["البخاري"] == "B1" and nisbas["السمرقندي"] == "S1" and nisbas["الاسكندري"] == "A1" and nisbas["الخاص"] == "x:one" and "الحلواني" not in nisbas
+
+
+def test_review_files(spark, tmp_path):
+    from lexigraph.sources.gazetteer import field_overrides, outside_people, read_review
+
+    (tmp_path / "overrides.yml").write_text("b:1:\n  ad: A Man, of Town\n  vefat: 150\nb:2:\n  vefat: null\n", encoding="utf-8")
+    (tmp_path / "external.yml").write_text("early:\n  ابن عمر | ابن العمر: [73, عبد الله]\nlate:\n  x: [256, \"Y, Z\"]\n", encoding="utf-8")
+    o = field_overrides(read_review(spark, str(tmp_path / "overrides.yml")), {"ad": "name", "vefat": "death_h"})
+    assert sorted(map(tuple, o.collect()), key=str) == sorted([("b:1", "name", "A Man, of Town"), ("b:1", "death_h", "150"), ("b:2", "death_h", None)], key=str)
+    assert sorted(map(tuple, outside_people(read_review(spark, str(tmp_path / "external.yml"))).collect())) == [("x", "Y, Z", 256), ("ابن العمر", "عبد الله", 73), ("ابن عمر", "عبد الله", 73)]
