@@ -163,3 +163,33 @@ def test_collated_order(spark):
 def test_recursive_roots(spark):
     c = spark.createDataFrame([(1, None), (2, 1), (3, 2), (4, None), (5, 6), (6, 5)], "node long, parent long")
     assert sorted(map(tuple, graph.recursive_roots(c).collect())) == [(1, 1, 0), (2, 1, 1), (3, 1, 2), (4, 4, 0)]
+
+
+def test_rows_with_null_texts_stay(spark, tmp_path):
+    from lexigraph.plans import QUERIES
+
+    rows = [(1, None, "a", "en", 0), (2, "same words here and there again", "a", "en", 1), (3, None, "b", "en", 0), (4, "same words here and there again", "b", "en", 1), (5, "", "b", "en", 0)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.cluster_id for r in QUERIES["cluster_components"](spark, str(tmp_path)).collect()} == {1: 1, 2: 2, 3: 1, 4: 2, 5: 5}
+    assert {r.doc_id: r.rep for r in QUERIES["ext_members"](spark, str(tmp_path)).collect()} == {1: 1, 2: 2, 3: 1, 4: 2, 5: 5}
+    assert {r.doc_id: r.n for r in QUERIES["agg29_text_frequency"](spark, str(tmp_path)).collect()} == {1: 2, 2: 2, 3: 2, 4: 2, 5: 1}
+
+
+def test_long_texts_are_not_cut(spark):
+    long = "x" * 250_000
+    d = spark.createDataFrame([("ال" + long, "ابنه " + long, "i" + long)], "a string, k string, c string")
+    rest, name, large = d.select(X.article_off(F.col("a")), extract.kin_of(F.col("k"), {"ابنه": "son"})[1], X.capitalised(F.col("c"))).first()
+    assert rest == long and name == long and large == "İ" + long
+
+
+def test_similar_sets_are_complete(spark):
+    import random
+
+    r = random.Random(9)
+    common = list(range(40))
+    sets = [(k, r.sample(common, 20) + r.sample(range(100, 400), r.randint(0, 30))) for k in range(60)] + [(100, []), (101, None), (102, [7]), (103, [7])]
+    sets += [(200 + k, sorted(set(sets[k][1]) - {sets[k][1][0]})) for k in range(20)]
+    got = {(x.a, x.b): (x.shared, x.n, x.m) for x in match.similar_sets(spark.createDataFrame(sets, "id long, items array<long>"), 0.6).collect()}
+    s = {k: set(v or ()) for k, v in sets}
+    want = {(a, b): (len(s[a] & s[b]), len(s[a]), len(s[b])) for a in s for b in s if a < b and s[a] and s[b] and len(s[a] & s[b]) >= 0.6 * len(s[a] | s[b])}
+    assert got == want and len(want) > 20
