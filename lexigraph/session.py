@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Used only where the session names no folder, as in local tests.
 LOCAL_SHARED = "/tmp/checkpoints"
+_made: list[str] = []
 
 
 def get_spark(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "lexigraph") -> SparkSession:
@@ -40,8 +41,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new folder name below the shared folder; clear_scratch() removes it."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _made.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Removes the folders that scratch() named in this process and gives their number. Call it when results are saved: tables that were made from them cannot be read any more."""
+    n = 0
+    while _made:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        n += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return n
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

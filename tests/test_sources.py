@@ -107,3 +107,15 @@ def test_writers(spark, tmp_path):
     S.write_panel(readings, str(tmp_path / "panel"), ["id"], ["name", "year"])
     row = spark.read.option("header", True).csv(str(tmp_path / "panel")).first()
     assert (row.id, row.readings, row["name"], row.year, row.name_n, row.year_n) == ("k", "3", "x", "2", "2", "2")
+
+
+def test_scratch_tables_go_when_asked(spark, monkeypatch):
+    from lexigraph import session
+
+    monkeypatch.setattr(session, "_made", [])
+    first = session.written(spark.range(3), "one")
+    path = first.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    assert first.count() == 3 and session.scratch(spark, "never-written") and session.clear_scratch(spark) == 1
+    import os
+
+    assert not os.path.exists(path) and session.clear_scratch(spark) == 0
