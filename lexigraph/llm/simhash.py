@@ -213,7 +213,7 @@ def _frequent(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """docs (doc_id, text): (doc, fp, n, key, bitmap, prefix): number, hash, bits and first shingles of the set of each text.
+    """docs (doc_id, text): (doc, fp, n, key, bitmap, BITS_256, prefix): number, hash, bits and first shingles of the set of each text.
 
     Of two sets of n and m shingles that are similar enough at least ceil(similarity * n) are shared; so one of
     the first n - ceil(similarity * n) + 1 of one set is among the first of the other, in any common order.
@@ -224,7 +224,7 @@ def _prefixes(docs: DataFrame, words: int, similarity: float) -> DataFrame:
 
     def run(ids, texts):
         known, rank = shared.value
-        fps, sizes, keys, bitmaps, firsts = [], [], [], [], []
+        fps, sizes, keys, bitmaps, signatures, firsts = [], [], [], [], [], []
         for t in texts:
             h, found, key = _shingle_set(t, words)
             n = len(found)
@@ -236,11 +236,13 @@ def _prefixes(docs: DataFrame, words: int, similarity: float) -> DataFrame:
             sizes.append(n)
             keys.append(key)
             bitmaps.append(_bitmap(found))
+            signatures.append(_signature(found))
             firsts.append(np.concatenate([found[~late], last])[:most].view(np.int64))
         ends = np.cumsum([0, *map(len, firsts)]).astype(np.int32)
-        return [ids, fps, sizes, keys, bitmaps, pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(firsts) if firsts else np.empty(0, np.int64)))]
+        words_ = np.array(signatures, np.int64).reshape(-1, len(BITS_256))
+        return [ids, fps, sizes, keys, bitmaps, *[pa.array(words_[:, k]) for k in range(len(BITS_256))], pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(firsts) if firsts else np.empty(0, np.int64)))]
 
-    return map_columns(docs, run, "doc long, fp long, n int, key long, bitmap binary, prefix array<long>")
+    return map_columns(docs, run, "doc long, fp long, n int, key long, bitmap binary, s0 long, s1 long, s2 long, s3 long, prefix array<long>")
 
 
 def _bitmap(found: np.ndarray) -> bytes:
@@ -294,12 +296,32 @@ def _hub_pairs(rows: DataFrame, similarity: float) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+#: Columns of a set's bits modulo 256, which go with its rows into the last round.
+BITS_256 = ("s0", "s1", "s2", "s3")
+
+
+def _signature(found: np.ndarray) -> np.ndarray:
+    """A bit for each shingle at its hash modulo 256, as four words."""
+    bits = np.zeros(256, bool)
+    bits[(found & np.uint64(255)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
+def _enough(cols: list[np.ndarray], x: np.ndarray, y: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether the rows x and y may be similar enough by their signatures; as _may_be_alike, so no pair that is gets lost."""
+    n, words = cols[1], [c.view(np.uint64) for c in cols[4:]]
+    both = sum(np.bitwise_count(w[x] & w[y]).astype(np.int32) for w in words)
+    bits = sum(np.bitwise_count(w).astype(np.int32) for w in words)
+    common = np.minimum(n[x] - (bits[x] - both), n[y] - (bits[y] - both))
+    return common >= similarity / (1 + similarity) * (n[x] + n[y]) - 1e-6
+
+
 def _across(cols: list[np.ndarray], similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(a, b, need) of the pairs of one shingle that are not in one component. cols: key, n, at, component of its rows.
+    """(a, b, need) of the pairs of one shingle that are not in one component. cols: key, n, at, component and the signature's words of its rows.
 
     Rows of the largest component are only compared with others, so a dense group costs no pairs of its own.
     """
-    key, n, at, component = cols
+    key, n, at, component = cols[:4]
     names, of = np.unique(component, return_inverse=True)
     if len(names) < 2:
         return
@@ -314,12 +336,14 @@ def _across(cols: list[np.ndarray], similarity: float) -> Iterator[tuple[np.ndar
         # a pair of two rows that are both compared with all is met from both: it is given by the one with the smaller key
         once = (key[x] < key[y]) | ~np.isin(y, mine)
         x, y, need = x[once], y[once], need[once]
+        like = _enough(cols, x, y, similarity)
+        x, y, need = x[like], y[like], need[like]
         yield np.minimum(key[x], key[y]), np.maximum(key[x], key[y]), need
 
 
 def _few(cols: list[np.ndarray], starts: np.ndarray, sizes: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The same for many shingles of few rows at once."""
-    key, n, at, component = cols
+    key, n, at, component = cols[:4]
     later = np.concatenate([np.arange(k - 1, -1, -1) for k in sizes]) if len(sizes) else np.empty(0, np.int64)
     rows = np.repeat(starts, sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     x = np.repeat(rows, later)
@@ -328,12 +352,14 @@ def _few(cols: list[np.ndarray], starts: np.ndarray, sizes: np.ndarray, similari
     x, y = x[apart], y[apart]
     good, need = _allowed(n[x], at[x], n[y], at[y], similarity, np.minimum, np.ceil)
     x, y, need = x[good], y[good], need[good]
+    like = _enough(cols, x, y, similarity)
+    x, y, need = x[like], y[like], need[like]
     return np.minimum(key[x], key[y]), np.maximum(key[x], key[y]), need
 
 
 def _pairs_across(rows: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): all pairs of sets in different components whose prefixes share enough. rows (shingle, key, n, at, component) are dealt and sorted by shingle and read as a stream."""
-    rows = rows.select("shingle", "key", "n", "at", "component").repartition("shingle").sortWithinPartitions("shingle", "key")
+    """(a, b): all pairs of sets in different components whose prefixes share enough. rows (shingle, key, n, at, component, BITS_256) are dealt and sorted by shingle and read as a stream."""
+    rows = rows.select("shingle", "key", "n", "at", "component", *BITS_256).repartition("shingle").sortWithinPartitions("shingle", "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
@@ -411,7 +437,7 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
     prints = written(_prefixes(texts, words, similarity), "near-sets")
-    sets = written(prints.groupBy("key").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bitmap").alias("bitmap")), "near-nodes")
+    sets = written(prints.groupBy("key").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bitmap").alias("bitmap"), *[F.first(c).alias(c) for c in BITS_256]), "near-nodes")
 
     of_fp = sets.groupBy("fp").agg(F.min("key").alias("first"))
     near = fingerprint_links(of_fp.select("fp"), bits)
@@ -432,6 +458,8 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         parts = connected_components(links, "a", "b").withColumnRenamed("node", "key")
         apart = rows.join(parts, "key", "left").withColumn("component", F.coalesce("component", "key"))
         let_go(docs.sparkSession)
+        if candidates is _pairs_across:
+            apart = apart.join(sets.select("key", *BITS_256), "key")
         met = checkpointed(candidates(apart, similarity).join(tried, ["a", "b"], "left_anti"))
         links = links.union(_verified(met, sets, texts, words, similarity))
         tried = tried.union(met)
