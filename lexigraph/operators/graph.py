@@ -90,11 +90,12 @@ def recursive_roots(children: DataFrame, max_hops: int = 40) -> DataFrame:
     """The same as roots() by a recursive common table expression, for trees that are not deep: down from the roots, a level a step.
 
     A cycle has no root, so its rows do not appear and nothing runs on; trees deeper than max_hops are an error.
+    LIMIT ALL lifts the bound on the rows of a recursion (spark.sql.cteRecursionRowLimit, a million).
     """
     return children.sparkSession.sql(
         f"""WITH RECURSIVE r(node, root, hops) MAX RECURSION LEVEL {int(max_hops)} AS (
         SELECT node, node, 0 FROM {{c}} WHERE parent IS NULL UNION ALL SELECT c.node, r.root, r.hops + 1 FROM {{c}} c JOIN r ON c.parent = r.node)
-        SELECT node, root, hops FROM r""", c=children)
+        SELECT node, root, hops FROM r LIMIT ALL""", c=children)
 
 
 def barycentre_layout(nodes: DataFrame, edges: DataFrame, sweeps: int = 24) -> DataFrame:

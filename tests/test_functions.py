@@ -193,3 +193,12 @@ def test_similar_sets_are_complete(spark):
     s = {k: set(v or ()) for k, v in sets}
     want = {(a, b): (len(s[a] & s[b]), len(s[a]), len(s[b])) for a in s for b in s if a < b and s[a] and s[b] and len(s[a] & s[b]) >= 0.6 * len(s[a] | s[b])}
     assert got == want and len(want) > 20
+
+
+def test_recursion_of_many_rows(spark):
+    c = spark.range(1, 301).select(F.col("id").alias("node"), F.when(F.col("id") > 1, F.floor(F.col("id") / 2)).alias("parent"))
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "100")
+    try:
+        assert graph.recursive_roots(c).where("root = 1").count() == 300
+    finally:
+        spark.conf.unset("spark.sql.cteRecursionRowLimit")
