@@ -202,3 +202,12 @@ def test_recursion_of_many_rows(spark):
         assert graph.recursive_roots(c).where("root = 1").count() == 300
     finally:
         spark.conf.unset("spark.sql.cteRecursionRowLimit")
+
+
+def test_gaps_are_dealt_once(spark):
+    d = spark.createDataFrame([(1, 2), (1, 2), (1, 7), (2, 4), (None, 3), (None, 5), (3, None)], "k long, n long")
+    g = sequences.gaps(d, ["k"], "n")
+    assert sorted(map(tuple, g.where("k is not null").collect())) == [(1, 3), (1, 4), (1, 5), (1, 6)]
+    # as in SQL a null key equals nothing
+    assert sorted(r.n for r in g.where("k is null").collect()) == [3, 4, 5]
+    assert "Join" not in g._jdf.queryExecution().optimizedPlan().toString()
