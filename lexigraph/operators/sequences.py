@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import heapq
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -57,14 +58,19 @@ def lanes(df: DataFrame, key: list[str], start: str, end: str, id_col: str) -> D
 
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values([start, end, id_col], kind="stable")
-        free: list = []
-        out = []
+        free: list = []  # lanes, the first on top
+        busy: list = []  # (end, lane)
+        out, n = [], 0
         for a, b in zip(rows[start], rows[end]):
-            lane = next((i for i, x in enumerate(free) if x <= a), len(free))
-            if lane == len(free):
-                free.append(b)
+            while busy and busy[0][0] <= a:
+                heapq.heappush(free, heapq.heappop(busy)[1])
+            # a start that is missing fits in no lane, an end that is missing frees none
+            if free and a == a:
+                lane = heapq.heappop(free)
             else:
-                free[lane] = b
+                lane, n = n, n + 1
+            if b == b:
+                heapq.heappush(busy, (b, lane))
             out.append(lane)
         return rows.assign(lane=out)
 

@@ -211,3 +211,13 @@ def test_gaps_are_dealt_once(spark):
     # as in SQL a null key equals nothing
     assert sorted(r.n for r in g.where("k is null").collect()) == [3, 4, 5]
     assert "Join" not in g._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lanes_of_many_at_once(spark):
+    # 20,000 intervals that all overlap, then some that fit in the first lanes again: no walk over the lanes
+    d = spark.range(20_000).select(F.lit("k").alias("k"), "id", F.col("id").alias("s"), (F.col("id") + 20_000).alias("e"))
+    d = d.union(spark.range(20_000, 20_005).select(F.lit("k"), "id", "id", F.col("id") + 1))
+    d = d.union(spark.createDataFrame([("n", 1, None, 5), ("n", 2, 1, None), ("n", 3, 9, 10)], "k string, id long, s long, e long"))
+    got = {r.id: r.lane for r in sequences.lanes(d.where("k = 'k'"), ["k"], "s", "e", "id").collect()}
+    assert all(got[i] == i for i in range(20_000)) and [got[20_000 + i] for i in range(5)] == [0, 0, 0, 0, 0]
+    assert {r.id: r.lane for r in sequences.lanes(d.where("k = 'n'"), ["k"], "s", "e", "id").collect()} == {2: 0, 3: 1, 1: 2}
