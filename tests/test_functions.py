@@ -221,3 +221,13 @@ def test_lanes_of_many_at_once(spark):
     got = {r.id: r.lane for r in sequences.lanes(d.where("k = 'k'"), ["k"], "s", "e", "id").collect()}
     assert all(got[i] == i for i in range(20_000)) and [got[20_000 + i] for i in range(5)] == [0, 0, 0, 0, 0]
     assert {r.id: r.lane for r in sequences.lanes(d.where("k = 'n'"), ["k"], "s", "e", "id").collect()} == {2: 0, 3: 1, 1: 2}
+
+
+def test_opposite_edges_meet_without_a_join(spark, tmp_path):
+    from lexigraph.plans import QUERIES
+
+    rows = [(1, 2)] * 2 + [(2, 1)] * 3 + [(3, 4), (4, 3), (5, 5), (6, 1), (None, 2), (7, None)]
+    spark.createDataFrame(rows, "l_suppkey long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    d = QUERIES["agg15_reverse_edges"](spark, str(tmp_path))
+    assert sorted(map(tuple, d.collect())) == [(2, 1, 3), (3, 4, 1), (6, 1, 1)]
+    assert "Join" not in d._jdf.queryExecution().optimizedPlan().toString()
