@@ -231,3 +231,13 @@ def test_opposite_edges_meet_without_a_join(spark, tmp_path):
     d = QUERIES["agg15_reverse_edges"](spark, str(tmp_path))
     assert sorted(map(tuple, d.collect())) == [(2, 1, 3), (3, 4, 1), (6, 1, 1)]
     assert "Join" not in d._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_votes_are_dealt_once(spark, tmp_path):
+    from lexigraph.plans import QUERIES
+
+    rows = [(1, 5.0), (1, 6.0), (1, 9.0), (1, None), (2, 3.0), (None, 4.0), (None, 4.0), (3, 8.0), (3, 8.0), (3, 2.0), (3, 2.0)]
+    spark.createDataFrame(rows, "l_orderkey long, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    d = QUERIES["agg07_support_vote"](spark, str(tmp_path))
+    assert sorted(map(tuple, d.collect())) == [(1, 5, 2), (3, 2, 2)]
+    assert d._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange") == 1
