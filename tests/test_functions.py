@@ -241,3 +241,13 @@ def test_votes_are_dealt_once(spark, tmp_path):
     d = QUERIES["agg07_support_vote"](spark, str(tmp_path))
     assert sorted(map(tuple, d.collect())) == [(1, 5, 2), (3, 2, 2)]
     assert d._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange") == 1
+
+
+def test_scores_have_as_many_tasks_as_rows_ask_for(spark, tmp_path):
+    from lexigraph.plans import QUERIES
+
+    spark.range(50_000).select(F.col("id").alias("c_custkey"), F.lit(1).alias("c_nationkey"), (F.col("id") % 20_000 / 2).alias("c_acctbal")).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(20).select(F.col("id").alias("s_suppkey"), F.lit(1).alias("s_nationkey"), (F.col("id") * 500.0).alias("s_acctbal")).write.parquet(f"{tmp_path}/supplier.parquet")
+    d = QUERIES["agg05_name_score"](spark, str(tmp_path))
+    c, s = [k % 20_000 / 2 for k in range(50_000)], [k * 500.0 for k in range(20)]
+    assert d.count() == sum(abs(x - y) <= 500 for x in c for y in s) and d.rdd.getNumPartitions() >= 12
