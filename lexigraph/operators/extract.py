@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import difflib
+import functools
+import typing
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -247,9 +249,15 @@ def parse_name(names: pd.Series) -> pd.DataFrame:
 
 
 @F.pandas_udf(T.DoubleType())
-def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Ratcliff-Obershelp likeness of two strings; null where one is null."""
-    return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y, autojunk=False).ratio() for x, y in zip(a, b)], dtype="float64")
+def sequence_ratio(batches: typing.Iterator[typing.Tuple[pd.Series, pd.Series]]) -> typing.Iterator[pd.Series]:
+    """Ratcliff-Obershelp likeness of two strings; null where one is null. A task remembers its last 65,536 pairs of short strings."""
+
+    def ratio(x: str, y: str) -> float:
+        return difflib.SequenceMatcher(None, x, y, autojunk=False).ratio()
+
+    known = functools.lru_cache(65_536)(ratio)
+    for a, b in batches:
+        yield pd.Series([None if x is None or y is None else known(x, y) if len(x) + len(y) < 512 else ratio(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
 @F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
