@@ -269,3 +269,10 @@ def test_likeness_of_copies_costs_no_pairs(spark, tmp_path):
                 known = names[x] is not None and names[y] is not None
                 want = round(difflib.SequenceMatcher(None, names[x], names[y], autojunk=False).ratio(), 6) if known else None
                 assert got[rep[x], rep[y]] == want
+
+
+def test_bitmaps_bound_what_sets_share(spark):
+    a, b = list(range(-300, 700)), list(range(0, 1000, 1)) + [4096 * 7 + 5]
+    d = spark.createDataFrame([(a, b)], "a array<long>, b array<long>").select(match._bitmap("a").alias("x"), match._bitmap("b").alias("y"))
+    left, right = d.select(match._alone("x", "y"), match._alone("y", "x")).first()
+    assert 0 < left <= len(set(a) - set(b)) and 0 < right <= len(set(b) - set(a))
