@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from lexigraph.session import written
+
 
 def rule_hits(df: DataFrame, text: str, rules: list[tuple[str, str, str]], before: int = 70, after: int = 70) -> DataFrame:
     """Rows of df beside (rule, label, at, evidence) for each rule (name, pattern, label) that its text matches: the first place and what stands around it.
@@ -153,6 +155,10 @@ def window_hits(triggers: DataFrame, places: DataFrame, reach: int) -> DataFrame
     return met.groupBy("id", "at", "kind").agg(F.min_by("place", "pos").alias("place"))
 
 
+#: Texts whose words a task of place_mentions() sorts.
+TEXTS = 2000
+
+
 def place_mentions(df: DataFrame, id_col: str, text: str, names: DataFrame, pack) -> DataFrame:
     """(id, at, kind, place, word): for each trigger of a text the first place behind it, or the last place before it where a pronoun refers there.
 
@@ -160,9 +166,13 @@ def place_mentions(df: DataFrame, id_col: str, text: str, names: DataFrame, pack
     without too; a place counts if it carries one, stands behind a preposition or right behind the trigger. The window of a
     trigger is pack.WINDOW words; it ends at punctuation and at the next trigger. A pronoun stands for the last place that counts before the trigger, if that is at most pack.REACH characters before the pronoun. `at` is the trigger's place in the text.
 
-    One explode of the words with their places, one join on the first word of names, and windows over the words
-    of one text. Null texts give no rows; rows of one id are one text, so ids must be unique.
+    Texts are dealt by their ids before their words are exploded, and all windows over the words of one text stay in that
+    dealing. Names are written first, so that the planner knows their size; where they are small no word is dealt. Null texts
+    give no rows; rows of one id are one text, so ids must be unique.
     """
+    # exploded words take many times the room of texts, so texts are dealt to as many tasks as their number asks for
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.count() // TEXTS)
+    df = df.repartition(parts, id_col)
     match = F.regexp_extract_all(F.col(text), F.lit(pack.TOKEN), F.lit(0))
     gap = F.slice(F.split(F.col(text), pack.TOKEN, -1), F.lit(1), F.size(match))
     words = df.select(F.col(id_col).alias("id"), match.alias("m"), gap.alias("g")).where(F.size("m") > 0)
@@ -177,12 +187,18 @@ def place_mentions(df: DataFrame, id_col: str, text: str, names: DataFrame, pack
     # names are met by their first word, with and without the prefix
     bare = F.regexp_replace("word", f"^(?:{pack.PREFIXES})(?=..)", "")
     heads = names.select("name", "place", F.split("name", " ").alias("ws")).where(F.size("ws") <= pack.WORDS).groupBy(F.col("ws")[0].alias("head")).agg(F.collect_list(F.struct(F.size("ws").alias("n"), "name", "place")).alias("names"))
-    looks = w.where("NOT stop").withColumn("v", F.explode(F.array_distinct(F.array(F.struct(F.lit(1).alias("whole"), F.col("word").alias("head")), F.struct(F.when(bare == F.col("word"), 1).otherwise(0).alias("whole"), bare.alias("head"))))))
-    run = F.array("v.head", *[F.coalesce(f"w{k}", F.lit("")) for k in range(1, pack.WORDS)])
-    fits = F.filter("names", lambda x: F.array_join(F.slice(run, F.lit(1), x["n"]), " ") == x["name"])
-    best = F.array_max(F.transform(fits, lambda x: F.struct(x["n"], F.col("v.whole").alias("whole"), x["name"], x["place"])))
-    hits = looks.join(heads, F.col("v.head") == F.col("head")).select("id", "i", best.alias("hit")).where("hit IS NOT NULL").groupBy("id", "i").agg(F.max("hit").alias("hit"))
-    w = w.join(hits, ["id", "i"], "left")
+    heads = written(heads, "heads")
+    w = w.withColumn("bare", F.when(~F.col("stop"), bare))
+
+    def longest(head: str, whole: Column) -> Column:
+        run = F.array(F.col(head), *[F.coalesce(f"w{k}", F.lit("")) for k in range(1, pack.WORDS)])
+        fits = F.filter(f"{head}_names", lambda x: F.array_join(F.slice(run, F.lit(1), x["n"]), " ") == x["name"])
+        return F.array_max(F.transform(fits, lambda x: F.struct(x["n"].alias("n"), whole.alias("whole"), x["name"].alias("name"), x["place"].alias("place"))))
+
+    for head in ("word", "bare"):
+        w = w.join(heads.toDF(f"{head}_head", f"{head}_names"), (F.col(head) == F.col(f"{head}_head")) & ~F.col("stop"), "left")
+    found = [longest("word", F.lit(1)), longest("bare", F.when(F.col("bare") == F.col("word"), 1).otherwise(0))]
+    w = w.withColumn("hit", F.array_max(F.array(*found))).drop("word_head", "word_names", "bare_head", "bare_names", "bare")
     reach = F.max(F.col("i") + F.col("hit.n")).over(of_text.rowsBetween(1 - pack.WORDS, -1))
     w = w.withColumn("inside", F.coalesce(reach > F.col("i"), F.lit(False)))
     counts = F.col("hit").isNotNull() & ~F.col("inside") & ((F.col("hit.whole") == 0) | F.coalesce(F.col("before").rlike(pack.PREPOSITION), F.lit(False)) | F.col("behind"))
