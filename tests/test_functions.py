@@ -276,3 +276,9 @@ def test_bitmaps_bound_what_sets_share(spark):
     d = spark.createDataFrame([(a, b)], "a array<long>, b array<long>").select(match._bitmap("a").alias("x"), match._bitmap("b").alias("y"))
     left, right = d.select(match._alone("x", "y"), match._alone("y", "x")).first()
     assert 0 < left <= len(set(a) - set(b)) and 0 < right <= len(set(b) - set(a))
+
+
+def test_layers_are_numbered_without_a_window_over_them(spark):
+    placed = graph._placed(spark.range(5000).select(F.col("id").alias("node"), (F.col("id") % 2).alias("layer")), ["node"])
+    assert {r.layer: (r.a, r.b) for r in placed.groupBy("layer").agg(F.min("pos").alias("a"), F.max("pos").alias("b")).collect()} == {0: (1.0, 2500.0), 1: (1.0, 2500.0)}
+    assert "partitionBy" not in str(placed) and "windowspecdefinition(layer" not in placed._jdf.queryExecution().optimizedPlan().toString()
