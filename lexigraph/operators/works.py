@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexigraph.operators.graph import connected_components
+from lexigraph.session import written
 
 TITLES = "no int, title string, verb string, snippet string"
 
@@ -59,13 +60,15 @@ def works_graph(items: DataFrame, least: int = 5) -> DataFrame:
     the one with the smallest ord. A base is looked up by its whole name, then by names that it begins with (a
     single word of at least `least` letters, or several words): of these the smallest ord; never the work itself. No step
     depends on the order of rows. Base names meet names by equi-joins on their beginnings; a hot name is one row in the join.
-    Null authors are one author; items without names are works of their own.
+    Null authors are one author; items without names are works of their own. Items, and items with their works, are
+    written once to the shared folder, so that what makes the items (which may be whole texts) runs once.
     """
+    items = written(items.select("ord", "author", "names", "kind", "base_name"), "works-items")
     names = items.select("ord", F.coalesce(F.col("author").cast("string"), F.lit("")).alias("by"), F.explode("names").alias("name")).distinct()
     firsts = names.groupBy("by", "name").agg(F.min("ord").alias("first"))
     links = names.join(firsts, ["by", "name"]).where("ord <> first").select(F.col("ord").alias("src"), F.col("first").alias("dst"))
     parts = connected_components(links).select(F.col("node").alias("ord"), F.col("component").alias("c"))
-    of = items.join(parts, "ord", "left").withColumn("work", F.coalesce("c", "ord")).drop("c")
+    of = written(items.join(parts, "ord", "left").withColumn("work", F.coalesce("c", "ord")).drop("c"), "works-of-items")
     works = of.groupBy("work").agg(F.min_by(F.struct("author", "kind"), "ord").alias("x"), F.array_sort(F.collect_list("ord")).alias("items"))
     alias = of.select("work", F.explode("names").alias("name")).groupBy("name").agg(F.min("work").alias("base"))
     asked = of.where("base_name IS NOT NULL").groupBy("work").agg(F.min_by("base_name", "ord").alias("base_name"))

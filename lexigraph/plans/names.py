@@ -18,10 +18,21 @@ LATIN, ARABIC = "abcdefghijklmnopqrstuvwxyz", "عبتدهفغحيجكلمنوث
 TITLE_KINDS = [("^(?:The|An?) ", "digest"), ("^[A-I][a-z]+ ", "commentary"), (" (?:of|in) (.+)$", "gloss")]
 
 
-def _stems(t, table, id_col, letters=4):
-    """The first letters of the words that have so many."""
-    words = F.regexp_extract_all(F.lower("text"), F.lit(f"[a-z]{{{letters},}}"), F.lit(0))
-    return t(table).select(id_col, F.transform(words, lambda w: F.substring(w, 1, letters)).alias("w"))
+#: Characters in which the first words of a text are looked for before the whole text is.
+HEAD = 500
+
+
+def _stems(t, table, id_col, letters=4, first=None, keep=()):
+    """The first letters of the words that have so many, beside the columns `keep`; `first`: of so many words at the beginning.
+
+    Where the head of a text holds more words than those, they are the text's: only the last word of a head may go on after it.
+    """
+    found = lambda text: F.regexp_extract_all(F.lower(text), F.lit(f"[a-z]{{{letters},}}"), F.lit(0))
+    words = found(F.col("text"))
+    if first:
+        head = found(F.substring("text", 1, HEAD))
+        words = F.slice(F.when(F.size(head) > first, head).otherwise(words), 1, first)
+    return t(table).select(id_col, F.transform(words, lambda w: F.substring(w, 1, letters)).alias("w"), *keep)
 
 
 def lexicon(t):
@@ -38,7 +49,7 @@ def documents(t):
     """A name for every document with four such words: w1 son of w2 son of the servant of w3, the w4-ite."""
     w = [F.translate(F.col("w")[k], LATIN, ARABIC) for k in range(4)]
     name = F.concat(w[0], F.lit(" بن "), w[1], F.lit(" بن عبد ال"), w[2], F.lit("، ال"), w[3], F.lit("ي"))
-    return _stems(t, "documents", "doc_id").where("size(w) >= 4").select("doc_id", name.alias("name"))
+    return _stems(t, "documents", "doc_id", first=4).where("size(w) >= 4").select("doc_id", name.alias("name"))
 
 
 def rendered(t):
@@ -95,7 +106,7 @@ def _(t):
     nisba = F.concat(F.lit("، ال"), w[3], F.lit("ي"))
     kind = F.col("doc_id") % 5
     name = F.when(kind == 0, F.concat(chain, nisba, F.lit("، المعروف ب"), w[4])).when(kind == 1, F.concat(chain, F.lit(" أبو "), w[4], nisba, F.lit(" الحنفي"))).when(kind == 2, F.concat(chain, nisba, F.lit("، الملقب نجم الدين"))).when(kind == 3, F.concat(chain, nisba)).otherwise(chain)
-    return _stems(t, "documents", "doc_id").where("size(w) >= 5").select("doc_id", name.alias("name")).select("doc_id", display_name(F.col("name"), names_tr).alias("shown"))
+    return _stems(t, "documents", "doc_id", first=5).where("size(w) >= 5").select("doc_id", name.alias("name")).select("doc_id", display_name(F.col("name"), names_tr).alias("shown"))
 
 
 @query("grf14_works_graph", """
@@ -114,7 +125,7 @@ s AS (SELECT work, min(f.base) AS prefix FROM (SELECT work, unnest(starts) AS st
 SELECT w.work, w.author, w.kind, w.items, coalesce(f.base, s.prefix) AS base FROM w LEFT JOIN f ON f.name = w.b AND f.base <> w.work LEFT JOIN s ON s.work = w.work""")
 def _(t):
     """Documents as works of their sources: names joined by components, bases by whole names and by their beginnings (GRF-14, EXT-17)."""
-    d = _stems(t, "documents", "doc_id", 3).where("size(w) >= 9").join(t("documents").select("doc_id", "source", F.regexp_extract("text", "^[^.]*", 0).alias("t")), "doc_id")
+    d = _stems(t, "documents", "doc_id", 3, 9, ("source", F.regexp_extract("text", "^[^.]*", 0).alias("t"))).where("size(w) >= 9")
     w = lambda *ks: F.array_join(F.array(*[F.col("w")[k - 1] for k in ks]), " ")
     kind, _rest = W.derived_title(F.col("t"), TITLE_KINDS)
     names = F.array_distinct(F.filter(F.array(w(1, 2), w(3, 4), F.when(F.col("doc_id") % 7 == 0, w(9))), lambda x: x.isNotNull()))

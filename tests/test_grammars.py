@@ -205,6 +205,48 @@ def test_works_graph(spark):
         assert {x.work: (x.author, x.kind, list(x["items"]), x.base) for x in got.collect()} == want
 
 
+def test_works_graph_makes_its_items_once(spark):
+    from lexigraph.operators import works as W
+
+    made = spark.sparkContext.accumulator(0)
+
+    def names(k):
+        made.add(1)
+        return [f"name {k % 5}", f"name {k}"]
+
+    rows = [(k, "x", "base", f"name {k % 7}") for k in range(40)]
+    items = spark.createDataFrame(rows, "ord long, author string, kind string, base_name string").withColumn("names", F.udf(names, "array<string>").asNondeterministic()("ord"))
+    assert sorted((x.work, len(x["items"])) for x in W.works_graph(items).collect()) == [(k, 8) for k in range(5)]
+    assert made.value == 40
+
+
+def test_works_graph_reads_texts_once(spark, sf, monkeypatch):
+    from lexigraph.operators import works as W
+    from lexigraph.plans import QUERIES
+
+    graph, seen = W.works_graph, []
+    monkeypatch.setattr(W, "works_graph", lambda items, least: seen.append(items) or graph(items, least))
+    QUERIES["grf14_works_graph"](spark, sf)
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan and plan.count("regexp_extract_all") > 0
+
+
+def test_first_stems(spark):
+    import random
+    import re
+
+    from lexigraph.plans import names as N
+
+    r = random.Random(5)
+    texts = ["", None, "one", "Alpha " * 8 + "1" * (N.HEAD - 50) + " gamma delta", "1" * (N.HEAD - 2) + "abcdefg " * 12, "ab " * N.HEAD + "İst KLM nine ΟΔΟΣ abc", "слово" * N.HEAD + " one two three four"]
+    texts += [" ".join("".join(r.choices("abcİ1é𝔞", k=r.randint(1, n))) for _ in range(r.randint(1, 300))) for n in range(3, 9) for _ in range(20)]
+    texts += [" " * (N.HEAD - k) + "word one-two" * 9 for k in range(1, 120)]
+    df = table(spark, texts).select("id", "text")
+    for letters, first in ((3, 9), (4, 4), (4, None)):
+        want = {k: None if x is None else [w[:letters] for w in re.findall(f"[a-z]{{{letters},}}", x.lower())][:first] for k, x in enumerate(texts)}
+        assert {x.id: x.w for x in N._stems(lambda _: df, "documents", "id", letters, first).collect()} == want
+
+
 def test_display_names(spark):
     from lexigraph.functions import names_tr
 
