@@ -14,8 +14,8 @@ from lexigraph.session import written
 
 #: Runs of words that make a document's set, and the similarity from which a pair is the same or is left to a person.
 WORDS, AUTO, PENDING = 5, 0.8, 0.6
-#: Width of a bin of agg05_name_score, which divides its reach of 500, and customers of a task.
-BIN, SCORED = 50, 4096
+#: Width of a bin of agg05_name_score, which divides its reach of 500, customers of a task, and slices of the customers of a bin.
+BIN, SCORED, SLICES = 50, 4096, 4
 
 
 def folded(t):
@@ -145,21 +145,24 @@ def _(t):
 
 
 @query("agg05_name_score", """
-WITH p AS (SELECT c_custkey AS a, s_suppkey AS b, c_nationkey = s_nationkey AS place, c_acctbal AS x, s_acctbal AS y FROM customer JOIN supplier ON c_nationkey = s_nationkey WHERE abs(c_acctbal - s_acctbal) <= 500)
+WITH p AS (SELECT c_custkey AS a, s_suppkey AS b, c_nationkey = s_nationkey AS place, c_acctbal AS x, s_acctbal AS y FROM customer JOIN supplier ON abs(c_acctbal - s_acctbal) <= 500)
 SELECT a, b, CASE WHEN place THEN 1.0 ELSE 0.0 END + CASE WHEN abs(x - y) <= 100 THEN 2.0 WHEN abs(x - y) <= 300 THEN 1.0 WHEN abs(x - y) > 1000 THEN -4.0 WHEN abs(x - y) > 400 THEN -1.0 ELSE 0.0 END AS score FROM p""")
 def _(t):
-    """Score of attributes with steps by distance (AGG-05, AGG-06). Only what is at most 500 apart is scored: it meets in narrow bins of one side and all bins in reach of the other.
+    """Score of attributes with steps by distance (AGG-05, AGG-06), of all pairs that are at most 500 apart, in one nation or in two.
 
-    Pairs are many more than rows, so tasks are as many as the rows ask for, and a number that is given is not merged again.
+    Customers in narrow bins meet suppliers in all bins in reach. Pairs are many more than rows, so tasks are as many as the rows ask
+    for, and a number that is given is not merged again; a bin's customers are cut in slices, so that bins are no bound on the tasks.
     """
-    c = t("customer").select(F.col("c_custkey").alias("a"), F.col("c_nationkey").alias("k"), F.col("c_acctbal").alias("x"))
-    s = t("supplier").select(F.col("s_suppkey").alias("b"), F.col("s_nationkey").alias("k"), F.col("s_acctbal").alias("y"))
+    c = t("customer").select(F.col("c_custkey").alias("a"), F.col("c_nationkey").alias("p"), F.col("c_acctbal").alias("x"))
+    s = t("supplier").select(F.col("s_suppkey").alias("b"), F.col("s_nationkey").alias("q"), F.col("s_acctbal").alias("y"))
     n = max(int(c.sparkSession.conf.get("spark.sql.shuffle.partitions")), c.count() // SCORED)
-    c = c.withColumn("bin", F.floor(F.col("x") / BIN)).repartition(n, "k", "bin")
-    s = s.withColumn("bin", F.explode(F.sequence(F.floor(F.col("y") / BIN) - 500 // BIN - 1, F.floor(F.col("y") / BIN) + 500 // BIN + 1))).repartition(n, "k", "bin")
+    c = c.withColumn("bin", F.floor(F.col("x") / BIN)).withColumn("slice", F.pmod(F.xxhash64("a"), F.lit(SLICES)).cast("int")).repartition(n, "bin", "slice")
+    s = s.withColumn("bin", F.explode(F.sequence(F.floor(F.col("y") / BIN) - 500 // BIN - 1, F.floor(F.col("y") / BIN) + 500 // BIN + 1)))
+    s = s.withColumn("slice", F.explode(F.array(*map(F.lit, range(SLICES))))).repartition(n, "bin", "slice")
     far = F.abs(F.col("x") - F.col("y"))
+    place = F.when(F.col("p") == F.col("q"), 1.0).otherwise(0.0)
     step = F.when(far <= 100, 2.0).when(far <= 300, 1.0).when(far > 1000, -4.0).when(far > 400, -1.0).otherwise(0.0)
-    return c.join(s.hint("merge"), ["k", "bin"]).where(far <= 500).select("a", "b", (F.lit(1.0) + step).alias("score"))
+    return c.join(s.hint("merge"), ["bin", "slice"]).where(far <= 500).select("a", "b", (place + step).alias("score"))
 
 
 @query("agg03_best_variant", """

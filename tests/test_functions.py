@@ -253,6 +253,17 @@ def test_scores_have_as_many_tasks_as_rows_ask_for(spark, tmp_path):
     assert d.count() == sum(abs(x - y) <= 500 for x in c for y in s) and d.rdd.getNumPartitions() >= 12
 
 
+def test_name_score_of_pairs_in_different_places(spark, tmp_path):
+    from lexigraph.plans import ORACLE_SQL, QUERIES
+    from tests.compare import compare, connect
+
+    spark.createDataFrame([(1, 1, 0.0), (2, 2, 450.0), (3, None, -99.5), (4, 1, None)], "c_custkey long, c_nationkey int, c_acctbal double").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(7, 1, 50.0), (8, 3, 500.0), (9, None, 0.0)], "s_suppkey long, s_nationkey int, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    d = QUERIES["agg05_name_score"](spark, str(tmp_path))
+    assert sorted(map(tuple, d.collect())) == [(1, 7, 3.0), (1, 8, -1.0), (1, 9, 2.0), (2, 7, 0.0), (2, 8, 2.0), (2, 9, -1.0), (3, 7, 1.0), (3, 9, 2.0)]
+    assert compare(d, connect(str(tmp_path)), ORACLE_SQL["agg05_name_score"]) == ""
+
+
 def test_likeness_of_copies_costs_no_pairs(spark, tmp_path):
     import difflib
 
