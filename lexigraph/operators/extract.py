@@ -305,6 +305,8 @@ def simplify(lines: pd.Series, tolerance: pd.Series) -> pd.Series:
 
 #: Scores of an alignment are whole millionths, so that ties are ties on every machine.
 MICRO = 1_000_000
+#: Centres of a block, in which heads meet the entries in reach.
+BLOCK = 64
 
 
 def align(heads: DataFrame, index: DataFrame, key: str, band: int = 40, gap: float = 0.35, least: float = 0.55, likeness: Callable[[Column, Column], Column] | None = None) -> DataFrame:
@@ -312,28 +314,34 @@ def align(heads: DataFrame, index: DataFrame, key: str, band: int = 40, gap: flo
 
     Global alignment in a band around the diagonal: a pair gains its likeness less a half, a gap costs `gap`; pairs
     below `least` are left out; of equal ways a pair goes before a head without entry, and that before an entry without head.
-    The likenesses of all pairs of the band are an equi-join on places and are worked out in all tasks. What is
-    sequential reads a head at a time: it holds one row of 2 * band + 1 scores and a byte for each cell of the band, so that a list of
-    100,000 heads takes some 8 MB. Null names are like nothing; lists that meet no other list give no rows.
+    The likenesses of all pairs of the band are worked out in all tasks, where heads meet the entries in reach by blocks of
+    centres, and are dealt once more, an array a head. What is sequential reads a head at a time: it holds one row of 2 * band + 1 scores and
+    a byte for each cell of the band, so that a list of 100,000 heads takes some 8 MB; what it pairs finds its names and its likeness by joins. Null names are like nothing; lists that meet no other list give no rows.
     """
     like = likeness or sequence_ratio
     place = lambda d, k, n: d.select(F.col(key).alias("of"), F.col("pos").cast("long").alias(n), F.col("name").alias(f"{n}_name"), F.row_number().over(Window.partitionBy(key).orderBy("pos")).alias(k))
     h, x = place(heads, "i", "head"), place(index, "j", "entry")
     sizes = h.groupBy("of").agg(F.max("i").alias("n")).join(x.groupBy("of").agg(F.max("j").alias("m")), "of")
-    h = h.join(sizes, "of").withColumn("centre", F.round(F.col("i").cast("double") * F.col("m") / F.col("n")).cast("int"))
-    cells = h.select("*", F.explode(F.sequence(F.greatest(F.lit(1), F.col("centre") - band), F.least(F.col("m"), F.col("centre") + band))).alias("j"))
-    cells = cells.join(x, ["of", "j"]).select("of", "i", "head", "n", "m", "centre", "j", "entry", F.coalesce(F.round(like(F.col("head_name"), F.col("entry_name")) * MICRO), F.lit(0)).cast("int").alias("r"))
-    row = F.array_sort(F.collect_list(F.struct("j", "entry", "r")))
-    rows = cells.groupBy("of", "i", "head", "n", "m", "centre").agg(row.alias("x")).select("of", "i", "head", "n", "m", "centre", *[F.col("x")[c].alias(c) for c in ("j", "entry", "r")])
+    centre = F.round(F.col("i").cast("double") * F.col("m") / F.col("n")).cast("int")
+    sized = h.join(sizes, "of").withColumn("centre", centre)
+    ratio = F.coalesce(F.round(like(F.col("head_name"), F.col("entry_name")) * MICRO), F.lit(0)).cast("int")
+    block = lambda c: F.floor(c / BLOCK)
+    near = x.select("*", F.explode(F.sequence(block(F.col("j") - band), block(F.col("j") + band))).alias("block"))
+    # a row for each cell stays where its block is
+    met = sized.withColumn("block", block(F.col("centre"))).repartition("of", "block").join(near.repartition("of", "block").hint("merge"), ["of", "block"]).where(F.abs(F.col("j") - F.col("centre")) <= band)
+    cells = met.select("of", "block", "i", "j", ratio.alias("r"))
+    rows = cells.groupBy("of", "block", "i").agg(F.array_sort(F.collect_list(F.struct("j", "r")))["r"].alias("r")).join(sizes, "of").select("of", "i", "n", "m", centre.alias("centre"), "r")
     cost, wide, low = round(gap * MICRO), 2 * band + 1, round(least * MICRO)
     far = -(1 << 60)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, done = None, []
         for batch in batches:
-            for key_, i, head, n, m, centre, js, entries, rs in zip(*[c.to_pylist() for c in batch.columns]):
+            likenesses = batch.column(5)
+            ends, values = likenesses.offsets.to_numpy(), likenesses.values.to_numpy()
+            for at_row, (key_, i, n, m, centre) in enumerate(zip(*[c.to_pylist() for c in batch.columns[:5]])):
                 if i == 1:
-                    of, back, taken = key_, [], []
+                    of, back, starts = key_, np.empty((n, wide), np.int8), np.empty(n, np.int64)
                     first, last = 0, np.concatenate([-cost * np.arange(min(m, band) + 1, dtype=np.int64), np.full(max(0, wide - min(m, band) - 1), far)])
                 start = max(0, centre - band)
                 width = min(m, centre + band) - start + 1
@@ -341,38 +349,38 @@ def align(heads: DataFrame, index: DataFrame, key: str, band: int = 40, gap: flo
                 a, b = max(start - 1, first), min(start + width, first + len(last))
                 if b > a:
                     up[a - start + 1 : b - start + 1] = last[a - first : b - first]
+                # the first cell of the first columns has no entry
                 gain = np.zeros(width, np.int64)
-                gain[np.asarray(js) - start] = np.asarray(rs, np.int64) - MICRO // 2
+                gain[max(0, 1 - start) :] = values[ends[at_row] : ends[at_row + 1]].astype(np.int64) - MICRO // 2
                 diagonal = up[:-1] + gain
                 if start == 0:
                     diagonal[0] = far
                 best = np.maximum(diagonal, up[1:] - cost)
                 steps = cost * np.arange(width, dtype=np.int64)
                 score = np.maximum.accumulate(best + steps) - steps
-                back.append((start, np.where(score == diagonal, 0, np.where(score == up[1:] - cost, 1, 2)).astype(np.int8).tobytes()))
-                taken.append((head, js[0], entries, rs))
+                back[i - 1, :width] = np.where(score == diagonal, 0, np.where(score == up[1:] - cost, 1, 2))
+                starts[i - 1] = start
                 first, last = start, score
                 if i == n:
                     k, j, found = n, m, []
                     while k and j:
-                        at, ways = back[k - 1]
-                        way = ways[j - at]
+                        way = back[k - 1, j - starts[k - 1]]
                         if way == 0:
-                            head_, j0, entries_, rs_ = taken[k - 1]
-                            if rs_[j - j0] >= low:
-                                found.append((of, head_, entries_[j - j0], rs_[j - j0] / MICRO))
+                            found.append((of, k, j))
                             j -= 1
                         elif way == 2:
                             j -= 1
                             continue
                         k -= 1
-                    done += found[::-1]
+                    done += found
             yield pa.RecordBatch.from_arrays([pa.array([d[c] for d in done], f.type) for c, f in enumerate(out)], schema=out)
             done = []
 
-    schema = T.StructType([T.StructField(key, heads.schema[key].dataType), T.StructField("head", T.LongType()), T.StructField("entry", T.LongType()), T.StructField("ratio", T.DoubleType())])
+    schema = T.StructType([T.StructField("of", heads.schema[key].dataType), T.StructField("i", T.IntegerType()), T.StructField("j", T.IntegerType())])
     out = to_arrow_schema(schema)
-    return rows.repartition("of").sortWithinPartitions("of", "i").mapInArrow(run, schema)
+    pairs = rows.repartition("of").sortWithinPartitions("of", "i").mapInArrow(run, schema)
+    pairs = pairs.join(h.select("of", "i", "head", "head_name"), ["of", "i"]).join(x, ["of", "j"]).select("of", "head", "entry", ratio.alias("r"))
+    return pairs.where(F.col("r") >= low).select(F.col("of").alias(key), "head", "entry", (F.col("r") / MICRO).alias("ratio"))
 
 
 def greedy_assignment(pairs: DataFrame, key: str) -> DataFrame:

@@ -213,3 +213,17 @@ def test_sessions_in_a_stream(spark, sf, table):
     closed = rows(spark, sf, "stream_sessions")  # sessions that the last watermark has not passed are still open
     assert closed and set(closed) <= set(map(tuple, want))
     assert all(w[0] > e["at"].max() - 8 * 3600 * max(1, w[2]) for w in want if tuple(w) not in set(closed))
+
+
+def test_cells_of_an_alignment_are_dealt_as_arrays(spark):
+    from pyspark.sql import functions as F
+
+    from lexigraph.operators import extract
+
+    names = lambda n: spark.range(n).select(F.lit("x").alias("book"), F.col("id").alias("pos"), F.concat(F.lit("n"), F.col("id").cast("string")).alias("name"))
+    d = extract.align(names(400), names(400).where("pos % 7 <> 0"), "book")
+    assert {(r.head, r.entry) for r in d.collect() if r.ratio == 1.0} == {(k, k) for k in range(400) if k % 7}
+    # what the sequential part is given is a row a head, and it keeps no names
+    plan = d._jdf.queryExecution().analyzed().toString()
+    given = next(line for line in plan.splitlines() if "MapInArrow" in line)
+    assert "entry" not in given and "head" not in given
