@@ -182,6 +182,18 @@ def test_long_texts_are_not_cut(spark):
     assert rest == long and name == long and large == "İ" + long
 
 
+def test_whole_sets_are_dealt_to_chunks_and_prefixes_are_not_written(spark, monkeypatch):
+    names = []
+    kept = match.written
+    monkeypatch.setattr(match, "written", lambda d, name: names.append(name) or kept(d, name))
+    sets = spark.range(40).select("id", F.when(F.col("id") < 39, F.concat(F.array(F.col("id") + 1000), F.sequence(F.lit(1), F.lit(30)))).otherwise(F.array(F.lit(5000))).alias("items"))
+    found = match.similar_sets(sets, 0.6)
+    assert {(r.a, r.b, r.shared, r.n, r.m) for r in found.collect()} == {(a, b, 30, 31, 31) for b in range(39) for a in range(b)}
+    # 741 pairs of 39 sets: no row that is dealt has a pair and a set
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert "prefixes" not in names and "CoGroup" in plan and "a_items" not in plan
+
+
 def test_similar_sets_are_complete(spark):
     import random
 
